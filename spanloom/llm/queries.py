@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from spanloom.llm.bpe_codec import op1_bpe_codec
+from spanloom.llm.decontamination import op6_decontamination
 from spanloom.llm.language_id import op10_language_id
 from spanloom.llm.secret_scan import op4_secret_scan
 from spanloom.llm.sharding import op7_sharding
+from spanloom.llm.substring_dedup import OP5_SQL, op5_substring_dedup
 from spanloom.llm.token_counts import op2_token_counts
 
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_token_counts": op2_token_counts,
     "op4_secret_scan": op4_secret_scan,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_substring_dedup": OP5_SQL,
+}
