@@ -5,6 +5,7 @@ from __future__ import annotations
 from spanloom.llm.bpe_codec import op1_bpe_codec
 from spanloom.llm.decontamination import op6_decontamination
 from spanloom.llm.language_id import op10_language_id
+from spanloom.llm.near_dedup import op8_near_dedup
 from spanloom.llm.secret_scan import op4_secret_scan
 from spanloom.llm.sharding import op7_sharding
 from spanloom.llm.substring_dedup import OP5_SQL, op5_substring_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_near_dedup": op8_near_dedup,
     "op10_language_id": op10_language_id,
 }
 
