@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from spanloom.llm.bpe_codec import op1_bpe_codec
 from spanloom.llm.decontamination import op6_decontamination
+from spanloom.llm.embedding_dedup import OP9_SQL, op9_embedding_dedup
 from spanloom.llm.language_id import op10_language_id
 from spanloom.llm.near_dedup import op8_near_dedup
 from spanloom.llm.secret_scan import op4_secret_scan
@@ -19,9 +20,11 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op8_near_dedup": op8_near_dedup,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {
     "op5_substring_dedup": OP5_SQL,
+    "op9_embedding_dedup": OP9_SQL,
 }
