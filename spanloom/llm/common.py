@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that one pass of array work holds at a time; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
@@ -96,7 +97,8 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray, powe
     return mix((total[stops] - total[starts]) * down[starts] + (stops - starts).astype(U64))
 
 
-_BYTES = mix(np.arange(1, 257).astype(U64))
+#: A scrambled value of each byte.
+BYTE_VALUES = mix(np.arange(1, 257).astype(U64))
 
 
 def word_spans(raw: np.ndarray, off: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,7 +122,7 @@ def word_spans(raw: np.ndarray, off: np.ndarray, inside: np.ndarray) -> tuple[np
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word's bytes."""
-    return range_hashes(_BYTES[raw], starts, stops)
+    return range_hashes(BYTE_VALUES[raw], starts, stops)
 
 
 _SPACES = np.ones(256, bool)
@@ -154,3 +156,26 @@ def signed(x: np.ndarray) -> np.ndarray:
 def segment_ids(first: np.ndarray) -> np.ndarray:
     """For each element, the document it belongs to; first: elements before each document."""
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
+
+
+def with_column_of(df: DataFrame, name: str, kind: str, make, prepare=None) -> DataFrame:
+    """``df`` with one more column that ``make(part, state)`` gives for each slice of rows; no exchange, no join.
+
+    prepare: gives a task's state. The name must be free in ``df`` (see :func:`free_name`).
+    """
+    fields = [*df.schema.names, name]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = prepare() if prepare else None
+        for batch in batches:
+            for part in slices(batch):
+                yield pa.RecordBatch.from_arrays([*part.columns, make(part, state)], fields)
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *T.StructType.fromDDL(f"`{name}` {kind}").fields]))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores as make it new in ``df``."""
+    while name in df.columns:
+        name += "_"
+    return name

@@ -29,8 +29,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spanloom.llm.common import U64, column, filled, mix, pick, plain_words, range_hashes, slices
+from spanloom.llm.common import U64, column, filled, free_name, mix, pick, plain_words, range_hashes, slices, with_column_of
 
 SIMILARITY = 0.8
 #: Walks, tables of each walk, and sampled positions of each table. Recall at the largest distance is tested.
@@ -244,5 +245,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
     return spark.createDataFrame([], SCHEMA) if out is None else out
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The documents in which no item is found; all columns stay as they are."""
+    name = free_name(docs, "contaminated")
+
+    def make(part: pa.RecordBatch, items: Items) -> pa.Array:
+        out = np.zeros(part.num_rows, bool)
+        out[[d for d, *_ in items.verify(items.regions(*plain_words(filled(part))))]] = True
+        return pa.array(out)
+
+    for ids, words in blocks(benchmark):
+        held = docs.sparkSession.sparkContext.broadcast((ids, words))  # at most BLOCK_WORDS words
+        docs = with_column_of(docs, name, "boolean", make, lambda held=held: Items(*held.value, similarity)).where(~F.col(name)).drop(name)
+    return docs
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

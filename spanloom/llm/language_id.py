@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import column, filled, pick, slices
+from spanloom.llm.common import column, filled, free_name, pick, slices, with_column_of
 
 #: n-grams of a profile.
 RANKS = 300
@@ -142,6 +142,13 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], ranks: int = RANKS
     return pick(docs, "doc_id", "text").mapInArrow(run, SCHEMA)
 
 
+def reject_unknown(docs: DataFrame, profiles: dict[str, list[int]], ranks: int = RANKS) -> DataFrame:
+    """The documents whose text has a language; all columns stay as they are."""
+    name = free_name(docs, "lang_pred")
+    make = lambda part, model: pa.array(model.predict(filled(part))[0], pa.string())
+    return with_column_of(docs, name, "string", make, lambda: Profiles(profiles, ranks)).where(F.col(name) != UNKNOWN).drop(name)
+
+
 def remainder(column: str, by: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % by
 

@@ -243,5 +243,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> Dat
     return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a string, b string").distinct()
 
 
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each group, the one of the least doc_id, and all documents without words; columns stay.
+
+    Rows of one doc_id and one text are one document. Rows that share a doc_id but not a text stay or go together.
+    """
+    decided = materialize(near_duplicates(docs, similarity), "near-duplicates")
+    kept = decided.where("kept").select(F.col("doc_id").alias("__kept"))
+    ids = docs["doc_id"].cast("bigint")
+    out = docs.join(kept, ids.eqNullSafe(kept["__kept"]), "left_semi")
+    n, ids_n = decided.agg(F.count("*"), F.countDistinct(F.coalesce("doc_id", F.lit(_NO_ID)))).first()
+    return out.dropDuplicates(["doc_id", "text"]) if n > ids_n else out
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -11,10 +11,12 @@ from spanloom.llm.secret_scan import op4_secret_scan
 from spanloom.llm.sharding import op7_sharding
 from spanloom.llm.substring_dedup import OP5_SQL, op5_substring_dedup
 from spanloom.llm.token_counts import op2_token_counts
+from spanloom.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,

@@ -24,8 +24,9 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spanloom.llm.common import column, filled, pick, slices
+from spanloom.llm.common import column, filled, free_name, pick, slices, with_column_of
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -232,5 +233,20 @@ def scan(docs: DataFrame) -> DataFrame:
     return pick(docs, "doc_id", "text").mapInArrow(run, SCHEMA)
 
 
+def redacted(docs: DataFrame) -> DataFrame:
+    """The documents with every secret masked, and n_chars, where there is one, counted anew; other columns stay."""
+    name = free_name(docs, "redacted")
+
+    def make(part: pa.RecordBatch, _) -> pa.Array:
+        texts = column(part, "text").to_pylist()
+        return pa.array([t if t is None else redact(t, find(t)[1]) for t in texts], pa.string())
+
+    out = with_column_of(docs, name, "string", make)
+    changed = {"text": F.col(name)}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("text").eqNullSafe(F.col(name)), F.col("n_chars")).otherwise(F.length(name)).cast(docs.schema["n_chars"].dataType)
+    return out.withColumns(changed).select(*[f"`{c}`" for c in docs.columns])
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
