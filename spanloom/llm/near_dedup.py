@@ -7,9 +7,13 @@ agree between two documents with the probability of their weighted Jaccard simil
 hashed. Documents of one word sequence are one class and are sampled as one.
 
 Classes that share a band are verified by the exact weighted Jaccard similarity of their whole texts: first each
-with one leader of the band's bucket, in rounds with other leaders for those that are still apart, and at the end
-every pair of classes of a bucket that lie in different groups and are not verified yet. A group of n copies so
-costs about n verifications a band, and no link between different groups is left out.
+with the least of its bucket; then, where a bucket still holds several groups, with its plainest class, the one with
+the least share of weight in shingles that no other such class has (the text that the others are edits of); and at
+the end every pair of classes of a bucket that lie in different groups and may be similar at all. Two classes of
+weights W whose shared shingles can weigh S at most reach the similarity t only if W + W' <= S (1 + t) / t. In each
+of PARTS parts of the shingles' hashes they share no more than either has there beside its own unique shingles, and S
+is the sum of that. The bound is a condition of the join, which also runs over classes of weight, and leaves out no
+link. A group of n copies so costs about n verifications a band.
 
 Defined cases: null texts and texts without words belong to no group; fewer than five words are one shingle;
 repeated rows and equal word sequences are one class; ties go to the least doc_id; an empty table gives no rows;
@@ -38,7 +42,11 @@ SAMPLES, BANDS = 32, 8
 BUCKETS = 1 << 16
 #: Bytes of text whose samples are drawn together.
 SAMPLED_BYTES = 1 << 19
-_SIGNED = "doc_id bigint, c1 bigint, c2 bigint, bands array<bigint>"
+#: Width of the classes of weight, as a ratio.
+STEP = 1.02
+#: Parts of the shingles' hashes for which shared weight is bounded.
+PARTS = 32
+_SIGNED = "doc_id bigint, c1 bigint, c2 bigint, bands array<bigint>, total double"
 _NO_ID = -(1 << 63)
 
 
@@ -162,28 +170,33 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
                 bands[has] = signed(bands_of(samples))
                 off = np.where(np.concatenate([[False], sizes > 0]), BANDS, 0).cumsum()
                 lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(bands[has].ravel()))
-                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), *map(pa.array, classes), lists], ["doc_id", "c1", "c2", "bands"])
+                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), *map(pa.array, classes), lists, pa.array(np.bincount(doc, weights, part.num_rows))], ["doc_id", "c1", "c2", "bands", "total"])
 
     signed_ = materialize(docs.mapInArrow(sign, _SIGNED), "signatures")
     name = F.concat_ws("-", F.hex("c1"), F.hex("c2")).alias("class")
-    known = signed_.where(F.size("bands") > 0).select(name, F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "bands")
-    classes = known.groupBy("class").agg(F.min("doc").alias("doc"), F.any_value("bands").alias("bands"))
-    members = materialize(classes.select("class", "doc", F.explode("bands").alias("key")), "bands")
+    known = signed_.where(F.size("bands") > 0).select(name, F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "bands", "total")
+    classes = known.groupBy("class").agg(F.min("doc").alias("doc"), F.any_value("bands").alias("bands"), F.any_value("total").alias("total"))
+    members = materialize(classes.select("class", "doc", "total", F.explode("bands").alias("key")), "bands")
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = materialize(members.join(shared, "key"), "shared-bands")
     texts = _texts_of(docs, members.select("class", "doc").distinct(), idf)
     tested: DataFrame | None = None
     links: DataFrame | None = None
     groups = members.select("class").distinct().withColumn("group", F.col("class"))
-    for choice in ("least", "greatest", "hashed", "every"):
-        own = materialize(members.select("key", "class").join(groups, "class"), "grouped-bands")
-        pairs = _pairs(own, choice)
+    for choice in ("least", "plainest", "every"):
+        own = members.select("key", "class", "total").join(groups, "class")
+        if choice != "least":
+            mixed = own.groupBy("key").agg((F.min("group") != F.max("group")).alias("mixed")).where("mixed").select("key")
+            own = materialize(own.join(mixed, "key"), "mixed-bands")
+            if own.isEmpty():
+                break
+            rests = _shareable_weights(texts, own.select("class").distinct(), idf) if choice == "plainest" else rests
+            own = own.join(rests, "class")
+        pairs = _every_pair(own, similarity) if choice == "every" else _leader_pairs(own, choice)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs.distinct(), "pairs")
         if pairs.isEmpty():
-            if choice == "every" or tested is None:
-                break
             continue
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = materialize(_verified(pairs, texts, idf, similarity), "links")
@@ -199,20 +212,63 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     return out.select("doc_id", class_id.alias("class_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
-def _pairs(own: DataFrame, choice: str) -> DataFrame:
-    """Pairs (a, b) of classes of one bucket and different groups: with the bucket's leader, or every pair."""
-    if choice == "every":
-        mixed = own.groupBy("key").agg((F.min("group") != F.max("group")).alias("mixed")).where("mixed").select("key")
-        own = materialize(own.join(mixed, "key"), "mixed-bands")
-        other = own.select("key", F.col("class").alias("other"), F.col("group").alias("other_group"))
-        return own.join(other, "key").where("group < other_group").select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b"))
-    entry = F.struct(F.xxhash64("class").alias("h"), "class", "group") if choice == "hashed" else F.struct("class", "group")
-    leader = (F.max if choice == "greatest" else F.min)(entry)
-    leaders = own.groupBy("key").agg(leader.alias("leader"), (F.min("group") != F.max("group")).alias("mixed")).where("mixed").select("key", "leader")
+def _leader_pairs(own: DataFrame, choice: str) -> DataFrame:
+    """Pairs (a, b) of each class with its bucket's leader, where they are of different groups."""
+    entry = F.struct("class", "group") if choice == "least" else F.struct((-F.col("rest") / F.col("total")).alias("share"), "class", "group")
+    leaders = own.groupBy("key").agg(F.min(entry).alias("leader"))
     pairs = own.join(leaders, "key").where(F.col("group") != F.col("leader.group"))
     return pairs.select(F.least("class", "leader.class").alias("a"), F.greatest("class", "leader.class").alias("b"))
 
 
+def _every_pair(own: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of classes of one bucket and different groups that may reach the similarity."""
+    slack, most = 1 + 1e-9, (1 + similarity) / similarity
+    rows = own.withColumn("rest", F.col("rest") * slack).where(F.col("rest") >= similarity * F.col("total"))
+    rows = rows.withColumn("share", -F.col("rest") / F.col("total"))
+    width = float(np.log(STEP))
+    top = F.least(F.col("total") / similarity, F.col("rest") * most - F.col("total"))
+    steps = F.sequence(F.floor(F.log(F.col("total") * similarity / slack) / width), F.floor(F.log(top * slack) / width))
+    # the one with the larger unique share asks: fewer weights can match it
+    one = rows.where(top * slack >= F.col("total") * similarity).withColumn("weight", F.explode(steps)).select("key", "weight", F.col("class").alias("x"), F.col("group").alias("group_x"), F.col("total").alias("total_x"), F.col("rest").alias("rest_x"), F.col("parts").alias("parts_x"), F.col("share").alias("share_x"))
+    two = rows.withColumn("weight", F.floor(F.log("total") / width))
+    asks = (F.col("share_x") > F.col("share")) | ((F.col("share_x") == F.col("share")) & (F.col("x") > F.col("class")))
+    both = F.col("total_x") + F.col("total")
+    shared = F.aggregate(F.zip_with("parts_x", "parts", lambda x, y: F.least(x, y)), F.lit(0.0), lambda x, y: x + y) * slack
+    fits = (both <= F.least("rest_x", "rest") * most) & (both <= shared * most)
+    pairs = one.join(two, ["key", "weight"]).where((F.col("group_x") != F.col("group")) & asks & fits)
+    return pairs.select(F.least("class", "x").alias("a"), F.greatest("class", "x").alias("b"))
+
+
+def _shareable_weights(texts: DataFrame, wanted: DataFrame, idf) -> DataFrame:
+    """(class, rest, parts): the weight of a class's shingles that another wanted class has too, whole and in parts."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                doc, hashes, weights, _, _ = features(column(part, "text"), idf.value)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(hashes)), column(part, "class").take(pa.array(doc)), pa.array(weights)], ["shingle", "class", "weight"])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                doc, hashes, weights, _, _ = features(column(part, "text"), idf.value)
+                own = np.bincount(doc * PARTS + (hashes % U64(PARTS)).astype(np.int64), weights, part.num_rows * PARTS)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * PARTS, pa.int32()), pa.array(own))
+                yield pa.RecordBatch.from_arrays([column(part, "class"), lists], ["class", "sums"])
+
+    texts = texts.join(wanted, "class", "left_semi").select("class", "text")
+    rows = texts.mapInArrow(each, "shingle bigint, class string, weight double")
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("class").alias("class"), F.sum("weight").alias("weight")).where("n = 1")
+    # the low bits of a negative long are those of the same unsigned number
+    alone = alone.groupBy("class", F.col("shingle").bitwiseAND(PARTS - 1).alias("part")).agg(F.sum("weight").alias("weight"))
+    alone = alone.groupBy("class").agg(F.map_from_entries(F.collect_list(F.struct("part", "weight"))).alias("alone"))
+    both = texts.mapInArrow(sums, "class string, sums array<double>").join(alone, "class", "left")
+    none = F.create_map().cast("map<bigint,double>")
+    parts = F.transform("sums", lambda w, i: F.greatest(F.lit(0.0), w - F.coalesce(F.try_element_at(F.coalesce("alone", none), i.cast("bigint")), F.lit(0.0))))
+    out = both.select("class", parts.alias("parts")).withColumn("rest", F.aggregate("parts", F.lit(0.0), lambda x, y: x + y))
+    return materialize(out, "shareable-weights")
+
+
 def _texts_of(docs: DataFrame, wanted: DataFrame, idf) -> DataFrame:
     """(class, text) of each wanted class: the text of its document whose word sequence is the class's."""
 
