@@ -7,6 +7,7 @@ sequence and merges that pair everywhere in the sequence, all sequences at once,
 from __future__ import annotations
 
 import json
+import unicodedata
 from itertools import chain
 
 import numpy as np
@@ -14,6 +15,8 @@ import regex
 
 #: Characters on which the pattern engine and the tokenizer library agree for sure; others take the library's own way.
 _FOREIGN = regex.compile(r"[^\x00-˿Ͱ-ͷͺ-Ϳ΄-ΊΌΎ-ΡΣ-ҁҊ-ԯ‐-‧‰-⁞₠-₿ぁ-ゖァ-ヺ一-龥가-힣]")
+#: White space to str.split() that is none to the patterns.
+_SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 _NONE = np.int64(1 << 40)
 
 
@@ -75,13 +78,21 @@ class Bpe:
                 part = self.library.normalizer.normalize_str(part)
             back = self.back
             return [bytes(map(back.__getitem__, w)).decode("utf-8", "surrogateescape") for w, _ in self.library.pre_tokenizer.pre_tokenize_str(part)]
+        return self.pattern.findall(self.normal(part))
+
+    def normal(self, part: str) -> str:
+        """A part without foreign characters as the library normalizes it."""
         if self.lowers:
             if not part.isascii():
-                import unicodedata
-
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")  # one character at a time: no final sigma
             part = part.lower()
-        return self.pattern.findall(part)
+        return part
+
+    def words(self, part: str) -> list[str] | None:
+        """The part cut at white space, which no pre-token of a lower-casing vocabulary spans; None if that may differ."""
+        if not self.lowers or _SEPARATORS.search(part) or (not part.isascii() and _FOREIGN.search(part)):
+            return None
+        return self.normal(part).split()
 
     def ranks(self, keys: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
@@ -126,7 +137,10 @@ class Bpe:
             moved = np.cumsum(keep) - 1
             sym, owner, rank = sym[keep], owner[keep], rank[keep]
             at = moved[hits]
-            redo = np.unique(np.concatenate([at, np.maximum(at - 1, 0)]))
+            changed = np.zeros(len(sym), bool)
+            changed[at] = True
+            changed[np.maximum(at - 1, 0)] = True
+            redo = np.flatnonzero(changed)
             rank[redo] = self._adjacent(sym, owner, redo)
         out, whose = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (done_sym, done_owner))
         order = np.argsort(whose, kind="stable")

@@ -37,6 +37,8 @@ LEXICON_BYTES = 48
 COUNTED = 250_000
 #: Merged words that a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 150_000
+#: Bytes of text that are encoded together.
+ENCODED_BYTES = 4 << 20
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -158,19 +160,27 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
-        model, seen = bpe.load(tokenizer), Counter()
+        model, seen, words = bpe.load(tokenizer), Counter(), Counter()
         for batch in batches:
             for part in slices(batch):
                 for text in filled(part).to_pylist():
                     for piece in model.parts(text)[::2]:
-                        seen.update(model.pre_tokens(piece))
-                if len(seen) > COUNTED:
-                    yield _counted(seen)
-                    seen.clear()
-        yield _counted(seen)
-
-    def _counted(seen: dict[str, int]) -> pa.RecordBatch:
+                        own = model.words(piece)
+                        if own is None:
+                            seen.update(model.pre_tokens(piece))
+                        else:
+                            words.update(own)
+                if len(seen) + len(words) > COUNTED:
+                    yield counted(model, seen, words)
+        yield counted(model, seen, words)
+
+    def counted(model: bpe.Bpe, seen: dict[str, int], words: dict[str, int]) -> pa.RecordBatch:
+        for word, n in words.items():
+            for token in model.pattern.findall(word):
+                seen[token] += n
+        words.clear()
         kept = [(w, n) for w, n in seen.items() if len(w) <= LEXICON_BYTES and (w.isascii() or w.isprintable())]
+        seen.clear()
         return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
 
     return pick(docs, "doc_id", "text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -214,7 +224,7 @@ def encode(docs: DataFrame, tokenizer: str, words: list[str] | None = None, with
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(bpe.load(tokenizer), Lexicon(blob.value))
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=ENCODED_BYTES):
                 coded = codec.encode(filled(part).to_pylist())
                 out = [column(part, "doc_id"), pa.array([n for n, _, _ in coded], pa.int64())]
                 out += [pa.array([hashlib.sha256(x[k].encode()).hexdigest() for x in coded], pa.string()) for k in (1, 2)]
@@ -229,42 +239,65 @@ class Codec:
     """Texts to (number of ids, ids joined by spaces, decoded text)."""
 
     def __init__(self, model: bpe.Bpe, lexicon: Lexicon):
-        self.model, self.lexicon, self.merged = model, lexicon, {}
-        piece = model.piece
+        self.model, self.lexicon = model, lexicon
+        self.name = list(map(str, range(model.size)))
+        self.merged: dict[str, tuple[str, str]] = {}
         ids, begins = lexicon.ids.tolist(), lexicon.begins.tolist()
-        self.listed = [self._entry(ids[a:b], piece) for a, b in zip(begins[:-1], begins[1:], strict=True)]
-        self.special = {s: self._entry([i], {i: s}) for s, i in model.special.items()}
+        self.listed = [self._entry(ids[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]
+        self.special = {s: (str(i), s) for s, i in model.special.items()}
 
-    @staticmethod
-    def _entry(ids: list[int], piece) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), " ".join(piece[i] for i in ids)
+    def _entry(self, ids: list[int]) -> tuple[str, str]:
+        if len(ids) == 1:
+            return self.name[ids[0]], self.model.piece[ids[0]]
+        return " ".join([self.name[i] for i in ids]), " ".join([self.model.piece[i] for i in ids])
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        model, tokens = self.model, []
-        for text in texts:
-            parts = model.parts(text)
-            own = model.pre_tokens(parts[0])
-            for special, part in zip(parts[1::2], parts[2::2], strict=True):
-                own.append((special,))  # a tuple is no pre-token
-                own += model.pre_tokens(part)
-            tokens.append(own)
-        unique = bpe.distinct(tokens)
-        entries = {t: self.special[t[0]] for t in unique if isinstance(t, tuple)}
-        unique = [t for t in unique if not isinstance(t, tuple)]
+        rows = [self._units(text) for text in texts]
+        units = bpe.distinct(rows)
+        tokens = {u: self.model.pattern.findall(u) if isinstance(u, str) else list(u[1:]) for u in units}
+        ids_of, piece_of = self._entries(bpe.distinct(list(tokens.values())))
+        ids, pieces = {}, {}
+        for unit, own in tokens.items():
+            if len(own) == 1:
+                ids[unit], pieces[unit] = ids_of[own[0]], piece_of[own[0]]
+            elif own:
+                ids[unit], pieces[unit] = " ".join([ids_of[t] for t in own]), " ".join([piece_of[t] for t in own])
+            else:
+                ids[unit], pieces[unit] = self.special[unit[0]]
+        out, id_of, name_of = [], ids.__getitem__, pieces.__getitem__
+        for row in rows:
+            line = " ".join(map(id_of, row))
+            out.append((line.count(" ") + 1 if row else 0, line, " ".join(map(name_of, row))))
+        return out
+
+    def _units(self, text: str) -> list[str | tuple]:
+        """Words between white space as strings; (special string,) and ("", pre-token) as tuples."""
+        parts, out = self.model.parts(text), []
+        for k, part in enumerate(parts):
+            if k % 2:
+                out.append((part,))
+            elif (words := self.model.words(part)) is not None:
+                out = out + words if out else words
+            else:
+                out += [("", t) for t in self.model.pre_tokens(part)]
+        return out
+
+    def _entries(self, unique: list[str]) -> tuple[dict[str, str], dict[str, str]]:
+        """The ids and the pieces of distinct pre-tokens: from the lexicon, else merged."""
         found = self.lexicon.find([t.encode("utf-8", "surrogateescape") for t in unique]).tolist()
         if len(self.merged) > REMEMBERED:
             self.merged.clear()
-        new = [t for t, k in zip(unique, found, strict=True) if k < 0 and t not in self.merged]
+        merged, listed = self.merged, self.listed
+        new = [t for t, k in zip(unique, found, strict=True) if k < 0 and t not in merged]
         if new:
-            ids, begins = model.merge(new)
-            ids, begins = ids.tolist(), begins.tolist()
-            self.merged.update((t, self._entry(ids[a:b], model.piece)) for t, a, b in zip(new, begins[:-1], begins[1:], strict=True))
-        entries.update((t, self.listed[k] if k >= 0 else self.merged[t]) for t, k in zip(unique, found, strict=True))
-        out = []
-        for own in tokens:
-            rows = list(map(entries.__getitem__, own))
-            out.append((sum(r[0] for r in rows), " ".join([r[1] for r in rows]), " ".join([r[2] for r in rows])))
-        return out
+            flat, begins = self.model.merge(new)
+            flat, begins = flat.tolist(), begins.tolist()
+            for t, a, b in zip(new, begins[:-1], begins[1:], strict=True):
+                merged[t] = self._entry(flat[a:b])
+        ids, pieces = {}, {}
+        for t, k in zip(unique, found, strict=True):
+            ids[t], pieces[t] = listed[k] if k >= 0 else merged[t]
+        return ids, pieces
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
