@@ -11,7 +11,7 @@ Z95 = 1.959963984540054
 
 def unit_hash(c: Column) -> Column:
     """H1: the first eight bytes of the SHA-256 as a number in [0, 1)."""
-    return (F.conv(F.substring(F.sha2(c, 256), 1, 16), 16, 10).cast("decimal(20,0)") / F.lit(2**64).cast("decimal(20,0)")).cast("double")
+    return (F.conv(F.substring(F.sha2(c, 256), 1, 16), 16, 10).cast("decimal(20,0)") / F.lit(str(2**64)).cast("decimal(20,0)")).cast("double")
 
 
 def stable_id(prefix: str, *parts: Column) -> Column:

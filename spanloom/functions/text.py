@@ -6,7 +6,7 @@ with Python's Unicode classes carry ``(?U)``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -22,6 +22,11 @@ ACCENTED, PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaa
 _QUOTED = r"([\\.\[\]{}()*+?^$|/-])"
 
 
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once; inside a lambda an expression would be computed for every element."""
+    return F.element_at(F.transform(F.array(c), use), 1)
+
+
 def clean(c: Column) -> Column:
     """Trimmed, with the strings that mean missing, and null, as empty."""
     t = F.trim(F.coalesce(c, F.lit("")))
@@ -257,8 +262,8 @@ def token_f1(a: Column, b: Column) -> Column:
     """F1 of the two multisets of words; 0 if either is empty."""
     x, y = (F.filter(F.split(normalise_answer(c), " "), lambda w: F.length(w) > 0) for c in (a, b))
     count = lambda arr, w: F.size(F.filter(arr, lambda v: v == w))
-    same = F.aggregate(F.array_distinct(x), F.lit(0), lambda s, w: s + F.least(count(x, w), count(y, w)))
-    return F.when(same == 0, 0.0).otherwise(2.0 * same / (F.size(x) + F.size(y)))
+    same = lambda x, y: F.aggregate(F.array_distinct(x), F.lit(0), lambda s, w: s + F.least(count(x, w), count(y, w)))
+    return let(F.struct(x.alias("x"), y.alias("y")), lambda p: F.coalesce(F.try_divide(2.0 * same(p["x"], p["y"]), F.size(p["x"]) + F.size(p["y"])), F.lit(0.0)))
 
 
 def has_format(c: Column) -> Column:

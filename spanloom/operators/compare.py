@@ -24,7 +24,7 @@ def disagreement(rows: DataFrame) -> DataFrame:
     middle = rows.groupBy(*keys).agg(F.median("value").alias("reference"))
     judged = rows.join(middle, keys).withColumn("stance", stance(F.col("value"), F.col("reference")))
     counts = [F.count_if(F.col("stance") == s).alias(s) for s in ("supporting", "conflicting", "inconclusive")]
-    out = judged.groupBy(*keys).agg(F.round(F.min("reference"), 4).alias("reference"), F.countDistinct("family").alias("families"), *counts)
+    out = judged.groupBy(*keys).agg(F.round(F.min("reference"), 8).alias("reference"), F.countDistinct("family").alias("families"), *counts)
     said = judged.where("stance <> 'inconclusive'").select(*keys, "stance", F.explode("conditions").alias("condition", "said"))
     sets = said.groupBy(*keys, "condition").agg(F.collect_set(F.when(F.col("stance") == "supporting", F.col("said"))).alias("a"), F.collect_set(F.when(F.col("stance") == "conflicting", F.col("said"))).alias("b"))
     differ = sets.where((F.size("a") > 0) & (F.size("b") > 0) & ~F.arrays_overlap("a", "b")).groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("condition")), ",").alias("differing"))

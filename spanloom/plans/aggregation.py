@@ -30,7 +30,7 @@ def family_count(spark: Spark, sf: str) -> DataFrame:
     """WITH r AS (SELECT l_partkey AS subject, l_suppkey AS facet, l_orderkey * 10 + l_linenumber AS claim, l_orderkey % 97 AS family, l_extendedprice * (1 + l_linenumber % 3 * 0.3) / l_quantity AS v, l_shipmode AS c FROM (SELECT *, l_returnflag AS l_shipmode FROM lineitem)),
     m AS (SELECT subject, facet, median(v) AS ref FROM r GROUP BY ALL),
     s AS (SELECT r.*, ref, CASE WHEN abs(v - ref) / ((abs(v) + abs(ref)) / 2) <= 0.25 THEN 'supporting' ELSE 'conflicting' END AS stance FROM r JOIN m USING (subject, facet)),
-    g AS (SELECT subject, facet, round(min(ref), 4) AS reference, count(DISTINCT family) AS families, count(*) FILTER (WHERE stance = 'supporting') AS supporting, count(*) FILTER (WHERE stance = 'conflicting') AS conflicting,
+    g AS (SELECT subject, facet, round(min(ref), 8) AS reference, count(DISTINCT family) AS families, count(*) FILTER (WHERE stance = 'supporting') AS supporting, count(*) FILTER (WHERE stance = 'conflicting') AS conflicting,
       list_distinct(list(c) FILTER (WHERE stance = 'supporting')) AS a, list_distinct(list(c) FILTER (WHERE stance = 'conflicting')) AS b FROM s GROUP BY ALL)
     SELECT subject, facet, reference, families, supporting, conflicting, CAST(0 AS BIGINT) AS inconclusive, CASE WHEN len(a) > 0 AND len(b) > 0 AND len(list_intersect(a, b)) = 0 THEN 'flag' ELSE '' END AS differing FROM g""",
 )
