@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanloom.plans import aggregation, relational, search, windows
+from spanloom.plans import aggregation, relational, search, structured, text, windows
 from spanloom.plans.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "aggregation", "relational", "search", "windows"]
+__all__ = ["ORACLES", "QUERIES", "aggregation", "relational", "search", "structured", "text", "windows"]
