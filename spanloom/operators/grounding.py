@@ -1,0 +1,106 @@
+"""Does the evidence carry the statement? Support reports and the three-way router."""
+
+from __future__ import annotations
+
+import re
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from spanloom.functions.text import STOPWORDS
+from spanloom.functions.unicode import quantities_of
+from spanloom.functions.vectorized import vectorized
+
+_REPORT = "struct<coverage:double,numbers:int,unsupported:string,negation:boolean,direction:boolean,causal:boolean,supported:boolean>"
+_WORD = re.compile(r"[^\W_]+")
+# Words of negation, of rising and falling, and of cause.
+NEGATIONS = {"no", "not", "never", "without", "none", "neither", "nor", "cannot"}
+UP = {"increase", "increased", "increases", "rise", "rose", "higher", "more", "above", "improved", "positive"}
+DOWN = {"decrease", "decreased", "decreases", "fall", "fell", "lower", "less", "below", "reduced", "negative"}
+CAUSES = {"cause", "causes", "caused", "because", "due", "leads", "led", "results"}
+_COMMON = set(STOPWORDS)
+
+
+def report(target: str, evidence: str) -> dict:
+    """The share of the target's content words that the evidence has, and what contradicts it."""
+    words, held = (set(_WORD.findall(t.casefold())) for t in (target, evidence))
+    content = {w for w in words if len(w) >= 3 and w not in _COMMON}
+    coverage = len(content & held) / len(content) if content else 1.0
+    asked, known = quantities_of(target), quantities_of(evidence)
+
+    def carried(q: dict) -> bool:
+        for k in known:
+            if q["unit"] and k["unit"] and q["unit"] != k["unit"]:
+                continue
+            if abs(float(q["value"]) - float(k["value"])) <= 1e-9 * max(abs(float(q["value"])), abs(float(k["value"]))):
+                return True
+        return False
+
+    missing = [q["raw"] for q in asked if not carried(q)]
+    one_sided = lambda a, b: bool(words & a) and not held & a and bool(held & b)
+    negation = bool(words & NEGATIONS) != bool(held & NEGATIONS) and bool(content & held)
+    direction = one_sided(UP, DOWN) or one_sided(DOWN, UP)
+    causal = bool(words & CAUSES) and not held & CAUSES
+    supported = coverage >= 0.6 and not missing and not direction and not negation
+    return {"coverage": coverage, "numbers": len(asked), "unsupported": ",".join(missing), "negation": negation, "direction": direction, "causal": causal, "supported": supported}
+
+
+@vectorized(_REPORT)
+def support(target: pd.Series, evidence: pd.Series) -> pd.DataFrame:
+    """One struct a row; null texts are empty."""
+    return pd.DataFrame([report(t or "", e or "") for t, e in zip(target, evidence, strict=True)], columns=["coverage", "numbers", "unsupported", "negation", "direction", "causal", "supported"])
+
+
+def difference_supported(a: Column, b: Column, stated: Column, slack: float = 0.01) -> Column:
+    """The stated number is the difference of two others, but for a hundredth."""
+    return F.abs(F.abs(a - b) - F.abs(stated)) <= slack
+
+
+#: Spans of a bundle, its characters, and bundles kept between steps.
+BUNDLE, CHARACTERS, BEAM = 3, 8_000, 5
+
+
+def best_bundle(target: str, spans: list[tuple[int, str]]) -> tuple[list[int], dict]:
+    """The bundle of spans that supports a target best, grown a span at a time from the BEAM best."""
+    score = lambda r: (r["supported"], not r["unsupported"], r["coverage"])
+    beam: list[tuple[tuple[int, ...], dict]] = [((), report(target, ""))]
+    best = beam[0]
+    for _ in range(BUNDLE):
+        grown = {}
+        for chosen, _r in beam:
+            for i in range(len(spans)):
+                key = tuple(sorted((*chosen, i)))
+                text = "\n".join(spans[k][1] for k in key)
+                if i not in chosen and key not in grown and len(text) <= CHARACTERS:
+                    grown[key] = report(target, text)
+        if not grown:
+            break
+        beam = sorted(grown.items(), key=lambda x: (*[-float(v) for v in score(x[1])], x[0]))[:BEAM]
+        if score(beam[0][1]) > score(best[1]):
+            best = beam[0]
+        if best[1]["supported"]:
+            break
+    return [spans[k][0] for k in best[0]], best[1]
+
+
+def route(pairs: DataFrame, spans: DataFrame) -> DataFrame:
+    """OPEN_AS_IS if the first span carries the target, OPEN_WIDENED if a bundle does, else QUARANTINE.
+
+    pairs: paper_id, pair_id, target. spans: paper_id, span_id, rank, quote, the spans of one paper. Papers are
+    independent; a task holds one paper's pairs and spans.
+    """
+
+    def one(pairs: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
+        listed = [(int(s), q or "") for s, q in spans.sort_values(["rank", "span_id"])[["span_id", "quote"]].itertuples(index=False)]
+        out = []
+        for row in pairs.itertuples():
+            first = report(row.target or "", listed[0][1]) if listed else None
+            if first and first["supported"]:
+                out.append((row.pair_id, "OPEN_AS_IS", str(listed[0][0]), first["coverage"]))
+                continue
+            chosen, found = best_bundle(row.target or "", listed)
+            out.append((row.pair_id, "OPEN_WIDENED" if found["supported"] else "QUARANTINE", ",".join(map(str, chosen)), found["coverage"]))
+        return pd.DataFrame(out, columns=["pair_id", "route", "bundle", "coverage"])
+
+    return pairs.groupBy("paper_id").cogroup(spans.groupBy("paper_id")).applyInPandas(one, "pair_id bigint, route string, bundle string, coverage double")
