@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanloom.plans import aggregation, relational, scoring, search, sets, structured, text, windows
+from spanloom.plans import aggregation, incremental, relational, scoring, search, sets, structured, text, windows
 from spanloom.plans.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "aggregation", "relational", "scoring", "search", "sets", "structured", "text", "windows"]
+__all__ = ["ORACLES", "QUERIES", "aggregation", "incremental", "relational", "scoring", "search", "sets", "structured", "text", "windows"]
