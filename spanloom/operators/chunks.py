@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 _PAGE = re.compile(r"<!--[^>]*PDF_PAGE:\s*(\d+)[^>]*-->")
 _HEADING = re.compile(r"^#{1,6}\s+(.*)$")
 _REFERENCES = re.compile(r"(?i)^#{1,6}\s*(references|bibliography)\b")
+#: A heading or a marker line, or a paragraph up to a blank line, a heading or a marker.
+_BLOCK = re.compile(r"(?m)^(?:#{1,6}\s|<!--)[^\n]*|[^\n]+(?:\n(?!\s*\n|#{1,6}\s|<!--)[^\n]+)*")
 SCHEMA = "part int, page int, section string, start int, stop int"
 
 
@@ -28,7 +30,7 @@ def chunks_of(text: str, most: int) -> list[tuple[int, int, str, int, int]]:
             out.append((len(out), page, section, begin, end))
         begin = None
 
-    for m in re.finditer(r"[^\n]+(?:\n(?!\s*\n)[^\n]+)*", text):
+    for m in _BLOCK.finditer(text):
         block = m[0]
         if _REFERENCES.match(block):
             break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 
@@ -60,12 +61,11 @@ def encoding_of(head: bytes) -> str:
     if head.startswith(b"\xef\xbb\xbf"):
         return "utf-8-sig"
     for name in ENCODINGS:
-        for cut in range(4):
-            try:
-                head[: len(head) - cut].decode(name)
-                return name
-            except UnicodeDecodeError:
-                continue
+        try:
+            codecs.getincrementaldecoder(name)().decode(head)
+            return name
+        except UnicodeDecodeError:
+            continue
     return ENCODINGS[-1]
 
 
