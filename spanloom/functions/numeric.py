@@ -80,7 +80,7 @@ def review_priority(risk: Column, ambiguity: Column, affected: Column) -> Column
 def composite_score(accuracy: Column, tokens_per_second: Column, rss_mb: Column, throttled: Column) -> Column:
     """Half accuracy, three tenths speed up to 15 tokens a second, two tenths memory of 7 GiB, less heat."""
     memory = F.greatest(F.lit(0.0), 1 - rss_mb / (7 * 1024))
-    return F.round(0.5 * accuracy + 0.3 * F.least(tokens_per_second / 15, F.lit(1.0)) + 0.2 * memory - F.when(throttled, 0.1).otherwise(0.0), 8)
+    return F.round(0.5 * accuracy + 0.3 * F.least(tokens_per_second / 15, F.lit(1.0)) + 0.2 * memory - F.when(throttled, 0.1).otherwise(0.0), 12)
 
 
 def dcg_gain(relevance: Column, rank: Column) -> Column:

@@ -240,7 +240,7 @@ def registry_diff(spark: Spark, sf: str) -> DataFrame:
     return compare.registry_diff(c.where("c_acctbal > 0").select("kind", "id"), c.where("c_acctbal < 5000").select("kind", "id"))
 
 
-@query("composite_score", "SELECT event_id, round(0.5 * (value / 100) + 0.3 * least(value / 15, 1.0) + 0.2 * greatest(0.0, 1 - value * 50 / 7168) - CASE WHEN event_id % 7 = 0 THEN 0.1 ELSE 0.0 END, 8) AS score FROM events")
+@query("composite_score", "SELECT event_id, round(0.5 * (value / 100) + 0.3 * least(value / 15, 1.0) + 0.2 * greatest(0.0, 1 - value * 50 / 7168) - CASE WHEN event_id % 7 = 0 THEN 0.1 ELSE 0.0 END, 12) AS score FROM events")
 def composite_score(spark: Spark, sf: str) -> DataFrame:
     """A39"""
     v = F.col("value")
