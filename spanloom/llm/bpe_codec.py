@@ -35,10 +35,10 @@ LEXICON_WORDS = 32_768
 LEXICON_BYTES = 48
 #: Distinct words that a task counts before it sends its counts on.
 COUNTED = 250_000
-#: Merged words that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 150_000
+#: Encoded words that a worker remembers from task to task; beyond it the memory starts anew.
+REMEMBERED = 200_000
 #: Bytes of text that are encoded together.
-ENCODED_BYTES = 4 << 20
+ENCODED_BYTES = 1 << 20
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -235,13 +235,16 @@ def encode(docs: DataFrame, tokenizer: str, words: list[str] | None = None, with
     return pick(docs, "doc_id", "text").mapInArrow(run, schema)
 
 
+_REMEMBERED: dict[int, tuple[dict, dict]] = {}
+
+
 class Codec:
     """Texts to (number of ids, ids joined by spaces, decoded text)."""
 
     def __init__(self, model: bpe.Bpe, lexicon: Lexicon):
         self.model, self.lexicon = model, lexicon
         self.name = list(map(str, range(model.size)))
-        self.merged: dict[str, tuple[str, str]] = {}
+        self.ids, self.pieces = _REMEMBERED.setdefault(id(model), ({}, {}))  # exact, so the same under any lexicon
         ids, begins = lexicon.ids.tolist(), lexicon.begins.tolist()
         self.listed = [self._entry(ids[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]
         self.special = {s: (str(i), s) for s, i in model.special.items()}
@@ -253,10 +256,11 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         rows = [self._units(text) for text in texts]
-        units = bpe.distinct(rows)
-        tokens = {u: self.model.pattern.findall(u) if isinstance(u, str) else list(u[1:]) for u in units}
+        ids, pieces = self.ids, self.pieces
+        if len(ids) > REMEMBERED:
+            ids.clear(), pieces.clear()
+        tokens = {u: self.model.pattern.findall(u) if isinstance(u, str) else list(u[1:]) for u in bpe.distinct(rows) if u not in ids}
         ids_of, piece_of = self._entries(bpe.distinct(list(tokens.values())))
-        ids, pieces = {}, {}
         for unit, own in tokens.items():
             if len(own) == 1:
                 ids[unit], pieces[unit] = ids_of[own[0]], piece_of[own[0]]
@@ -285,10 +289,8 @@ class Codec:
     def _entries(self, unique: list[str]) -> tuple[dict[str, str], dict[str, str]]:
         """The ids and the pieces of distinct pre-tokens: from the lexicon, else merged."""
         found = self.lexicon.find([t.encode("utf-8", "surrogateescape") for t in unique]).tolist()
-        if len(self.merged) > REMEMBERED:
-            self.merged.clear()
-        merged, listed = self.merged, self.listed
-        new = [t for t, k in zip(unique, found, strict=True) if k < 0 and t not in merged]
+        new = [t for t, k in zip(unique, found, strict=True) if k < 0]
+        merged = {}
         if new:
             flat, begins = self.model.merge(new)
             flat, begins = flat.tolist(), begins.tolist()
@@ -296,7 +298,7 @@ class Codec:
                 merged[t] = self._entry(flat[a:b])
         ids, pieces = {}, {}
         for t, k in zip(unique, found, strict=True):
-            ids[t], pieces[t] = listed[k] if k >= 0 else merged[t]
+            ids[t], pieces[t] = self.listed[k] if k >= 0 else merged[t]
         return ids, pieces
 
 

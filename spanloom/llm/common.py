@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one pass of array work holds at a time; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 #: Rows that one slice holds at most, however short its texts are.
 SLICE_ROWS = 16_384
 
