@@ -7,9 +7,10 @@ step that holds it, until the bytes below a candidate are within the tolerance o
 key. Steps run over the hash first and over doc_id where one hash is left, so that a group of equal texts is cut
 wherever the bytes ask for it. Then one range exchange orders the rows, and slots follow from counts of its parts.
 
-The law is `bytes`: shard sizes differ from the mean by no more than the tolerance and one row.
+The law is `bytes`: shard sizes differ from the mean by no more than the tolerance and one row (or the rows of one
+key, where several rows are equal in text and doc_id).
 Defined cases: a null text has no bytes (size 1, crc32 0); repeated rows are rows of their own, in any order among
-themselves; rows without doc_id come first within their text; an empty table gives no rows; other columns are
+themselves, in one shard; rows without doc_id come first within their text; an empty table gives no rows; other columns are
 ignored.
 """
 

@@ -36,6 +36,8 @@ SAMPLE = 20_000
 CANDIDATES, INDUCED = 2_000, 64
 #: Labelled toxic documents that an induced pattern must add.
 SUPPORT = 5
+#: Patterns that cover a labelled document before it asks for no more.
+COVER = 3
 #: Lengths in characters of the beginnings of words that are tried (0: the whole word), and how often one must occur.
 STEMS, LEVELS = (0, 3, 4, 5, 6, 7), (1, 2, 3)
 #: Sampled documents in which a voter must fire to be kept.
@@ -227,6 +229,7 @@ def _induced(rows: DataFrame) -> list[tuple[int, int, int]]:
     lift = (F.col("p") + 0.5) / (toxic + 1) / ((F.col("n") + 0.5) / (total - toxic + 1))
     top = counted.where((F.col("p") >= SUPPORT) & (F.col("p") > F.col("n")) & (lift >= 5)).orderBy(F.desc(F.col("p") * F.log(lift)), "stem", "hash", "level").limit(CANDIDATES)
     names = [(r["stem"], r["hash"] & 0xFFFFFFFFFFFFFFFF, r["level"]) for r in top.select("stem", "hash", "level").collect()]
+    names.sort(key=lambda x: (x[2], x[0] or max(STEMS) + 1))  # of equal gain the more general comes first
     if not names:
         return []
     voters = Voters(names)
@@ -244,14 +247,15 @@ def _induced(rows: DataFrame) -> list[tuple[int, int, int]]:
     hits = np.zeros((len(sets), len(names)), bool)
     for i, own in enumerate(sets):
         hits[i, own] = True
-    out, open_ = [], np.ones(len(sets), bool)
+    out, wanted, weight = [], np.full(len(sets), COVER), np.where(marks, 1, -2)
     while len(out) < INDUCED:
-        gain = hits[open_ & marks].sum(axis=0) - 2 * hits[open_ & ~marks].sum(axis=0)
+        gain = (weight * (wanted > 0)) @ hits
         best = int(gain.argmax())
         if gain[best] < SUPPORT:
             break
         out.append(names[best])
-        open_ &= ~hits[:, best]
+        wanted -= hits[:, best]
+        hits[:, best] = False
     return out
 
 
