@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions.numeric import unit_hash
+from spanloom.operators.ranks import placed
 
 
 def seeded(seed: int, *parts: Column) -> Column:
@@ -23,8 +24,7 @@ def stratified_split(papers: DataFrame, family: str, domain: str, evaluate: floa
     families = papers.groupBy(family).agg(F.min(domain).alias(domain))
     size = families.groupBy(domain).agg(F.count("*").alias("n"))
     quota = lambda share: F.least(F.greatest(F.floor(F.col("n") * share), F.lit(floor)), F.floor(F.col("n") / 5)) if floor else F.floor(F.col("n") * share)
-    place = F.row_number().over(Window.partitionBy(domain).orderBy(seeded(seed, F.col(family)), family))
-    ranked = families.withColumn("place", place).join(size, domain)
+    ranked = placed(families, [domain], [seeded(seed, F.col(family)), F.col(family)]).join(size, domain)
     first, second = quota(evaluate), quota(test)
     return ranked.select(family, domain, F.when(F.col("place") <= first, "evaluate").when(F.col("place") <= first + second, "test").otherwise("train").alias("split"))
 
@@ -63,8 +63,7 @@ def curriculum_mode(pair: Column, seed: int, open_share: float, closed_share: fl
 
 def quota_batches(rows: DataFrame, field: str, quota: int, order: list[Column]) -> DataFrame:
     """Batches that take so many rows of every field, in order."""
-    place = F.row_number().over(Window.partitionBy(field).orderBy(*order))
-    return rows.withColumn("batch", F.ceil(place / quota).cast("int"))
+    return placed(rows, [field], order).withColumn("batch", F.ceil(F.col("place") / quota).cast("int")).drop("place")
 
 
 def two_pass_selection(rows: DataFrame, field: str, quota: int, total: int, order: list[Column], key: str) -> DataFrame:

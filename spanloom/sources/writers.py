@@ -5,26 +5,23 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.operators.ranks import placed
 from spanloom.sources.readers import _fs
 
 
 def exact_parts(rows: DataFrame, order: list[str], parts: int) -> DataFrame:
     """K1: rows with a part from 0; sizes differ by one at most, the first parts are the larger ones.
 
-    Places come from counts of a range exchange's partitions, so no task sees all rows.
+    No task sees all rows (:func:`~spanloom.operators.ranks.placed`).
     """
     n = rows.count()
-    ranged = rows.repartitionByRange(max(1, parts), *order).sortWithinPartitions(*order).withColumns({"__p": F.spark_partition_id(), "__m": F.monotonically_increasing_id()})
-    firsts = ranged.groupBy("__p").agg(F.min("__m").alias("first"), F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shift = firsts.select("__p", (before - F.col("first")).alias("__shift"))  # a row a partition
-    place = F.col("__m") + F.col("__shift")
+    place = F.col("__place") - 1
     small, large = n // parts, n % parts
     part = F.when(place < large * (small + 1), F.floor(place / (small + 1))).otherwise(large + F.floor((place - large * (small + 1)) / max(1, small)))
-    return ranged.join(F.broadcast(shift), "__p").withColumn("part", part.cast("int")).drop("__p", "__m", "__shift")
+    return placed(rows, [], [F.col(c) for c in order], "__place").withColumn("part", part.cast("int")).drop("__place")
 
 
 def write_parts(rows: DataFrame, path: str, order: list[str], parts: int) -> None:
