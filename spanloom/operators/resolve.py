@@ -55,3 +55,69 @@ def merge_concepts(concepts: DataFrame, merges: DataFrame) -> DataFrame:
 def merged_events(merges: DataFrame, version: int) -> DataFrame:
     """The log of a merge."""
     return merges.select(F.lit(version).alias("version"), F.lit("MERGE").alias("event"), "source", "target")
+
+
+# Spellings of qualifier values that mean the same.
+QUALIFIER_VALUES = {"country": {"côte d'ivoire": "CI", "ivory coast": "CI", "ghana": "GH", "nigeria": "NG", "kenya": "KE"}, "feature": {"river": "RIVER", "stream": "RIVER", "lake": "LAKE", "basin": "BASIN"}}
+
+
+def qualifier_value(kind: Column, value: Column) -> Column:
+    """the canonical value of a qualifier of a kind; other values in lower case."""
+    low = F.lower(F.trim(value))
+    out = low
+    for name, values in QUALIFIER_VALUES.items():
+        table = F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+        out = F.when(kind == name, F.coalesce(F.try_element_at(table, low), low)).otherwise(out)
+    return out
+
+
+def context_fields(text: Column) -> Column:
+    """the fields of a text of the form "name: value; name: value"; parts without a name are left out."""
+    parts = F.filter(F.split(text, ";"), lambda p: F.rlike(p, F.lit("^[^:]+:.*[^ ]")))
+    pair = lambda p: F.struct(F.lower(F.trim(F.split_part(p, F.lit(":"), F.lit(1)))).alias("key"), F.trim(F.regexp_replace(p, "^[^:]*:", "")).alias("value"))
+    pairs = F.transform(parts, pair)
+    first = F.filter(pairs, lambda x, i: ~F.array_contains(F.transform(F.slice(pairs, F.lit(1), i), lambda y: y["key"]), x["key"]))
+    return F.map_from_entries(first)
+
+
+def grounded_conditions(conditions: Column, evidence: Column) -> Column:
+    """The names of conditions whose value stands in no evidence, word for word."""
+    return F.array_sort(F.filter(F.map_keys(conditions), lambda k: ~F.exists(evidence, lambda e: F.contains(e, F.try_element_at(conditions, k)))))
+
+
+def compatible_clusters(mentions: DataFrame, name: str, mention: str, qualifiers: str) -> DataFrame:
+    """(name, mention, cluster): mentions of a name in clusters of compatible qualifiers.
+
+    Equal qualifiers are one cluster. Two clusters merge while each is the only one that the other is compatible with;
+    mentions without qualifiers join the cluster if there is just one, else they are a cluster of their own. A task
+    holds the distinct qualifier sets of one name; the mentions are joined to their sets afterwards.
+    """
+    import json
+
+    import pandas as pd
+
+    signed = mentions.select(name, mention, F.to_json(F.map_from_entries(F.array_sort(F.map_entries(qualifiers)))).alias("signature"))
+    sets = signed.groupBy(name, "signature").agg(F.min(mention).alias("least"))
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        clusters = [(json.loads(s), [s], least) for s, least in sorted(zip(pdf["signature"], pdf["least"], strict=True)) if s != "{}"]
+        agree = lambda a, b: all(a[k] == b[k] for k in a.keys() & b.keys())
+        while True:
+            fits = [[j for j, (b, *_) in enumerate(clusters) if i != j and agree(a, b)] for i, (a, *_) in enumerate(clusters)]
+            pair = next(((i, f[0]) for i, f in enumerate(fits) if len(f) == 1 and fits[f[0]] == [i]), None)
+            if pair is None:
+                break
+            i, j = pair
+            clusters[i] = ({**clusters[i][0], **clusters[j][0]}, clusters[i][1] + clusters[j][1], min(clusters[i][2], clusters[j][2]))
+            del clusters[j]
+        rows = [(s, least) for _, held, least in clusters for s in held]
+        bare = pdf[pdf["signature"] == "{}"]["least"]
+        if len(bare):
+            rows.append(("{}", min(clusters[0][2], bare.iloc[0]) if len(clusters) == 1 else bare.iloc[0]))
+            if len(clusters) == 1:
+                rows = [(s, rows[-1][1]) for s, _ in rows]
+        return pd.DataFrame([(pdf[name].iloc[0], s, c) for s, c in rows], columns=[name, "signature", "cluster"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in sets.schema.fields}
+    named = sets.groupBy(name).applyInPandas(merge, f"{name} {kinds[name]}, signature string, cluster {kinds['least']}")
+    return signed.join(named, [name, "signature"]).select(name, mention, "cluster")

@@ -131,6 +131,18 @@ def policy(text: str) -> tuple[dict, str]:
     return value, hashlib.sha256(json.dumps(value, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
+def authority_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(entries, crosswalks) of an authority's snapshot; rows must be as many as its manifest says."""
+    manifest = json.loads(spark.read.text(f"{path}/manifest.json", wholetext=True).first()[0])
+    out = []
+    for name in ("entries", "crosswalks"):
+        df = spark.read.parquet(f"{path}/{name}")
+        if df.count() != manifest[name]:
+            raise ValueError(f"{name} of the snapshot are not what its manifest says")
+        out.append(df)
+    return out[0], out[1]
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
