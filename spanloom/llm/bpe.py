@@ -18,6 +18,12 @@ _FOREIGN = regex.compile(r"[^\x00-˿Ͱ-ͷͺ-Ϳ΄-ΊΌΎ-ΡΣ-ҁҊ-ԯ‐-‧‰-
 #: White space to str.split() that is none to the patterns.
 _SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 _NONE = np.int64(1 << 40)
+#: Bits of the slots' number in the table of pairs.
+_SLOTS = 18
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
 
 
 def byte_characters() -> dict[int, str]:
@@ -55,8 +61,8 @@ class Bpe:
         left, right = (np.array([vocab[p[i]] for p in pairs], np.int64) for i in (0, 1))
         made = np.array([vocab[a + b] for a, b in pairs], np.int64)
         keys = left * self.size + right
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.rank_of, self.made_by = keys[order], order, made
+        self.made_by = made
+        self._fill(keys)
         lowest = np.full(self.size, len(pairs), np.int64)  # of the pairs that hold a symbol
         ranks = np.arange(len(pairs))
         np.minimum.at(lowest, left, ranks)
@@ -94,9 +100,33 @@ class Bpe:
             return None
         return self.normal(part).split()
 
+    def _fill(self, keys: np.ndarray) -> None:
+        """An open-addressing table from pairs to ranks, filled round by round: in each, the first pair of a free slot."""
+        self.slot_key, self.slot_rank = np.full(1 << _SLOTS, -1, np.int64), np.full(1 << _SLOTS, _NONE, np.int64)
+        left, at = np.arange(len(keys)), _slots(keys)
+        while len(left):
+            free = np.flatnonzero(self.slot_key[at] < 0)
+            _, first = np.unique(at[free], return_index=True)
+            put = free[first]
+            self.slot_key[at[put]], self.slot_rank[at[put]] = keys[left[put]], left[put]
+            rest = np.ones(len(left), bool)
+            rest[put] = False
+            left, at = left[rest], (at[rest] + 1) & (len(self.slot_key) - 1)
+
     def ranks(self, keys: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.rank_of[at], _NONE)
+        at = _slots(keys)
+        found = self.slot_key[at]
+        out = np.where(found == keys, self.slot_rank[at], _NONE)
+        left = np.flatnonzero((found != keys) & (found >= 0))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & (len(self.slot_key) - 1)
+            found = self.slot_key[at]
+            hit = found == keys[left]
+            out[left[hit]] = self.slot_rank[at[hit]]
+            more = ~hit & (found >= 0)
+            left, at = left[more], at[more]
+        return out
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in a row, where each word's ids begin) by rank-synchronous merging."""

@@ -259,12 +259,19 @@ class Codec:
         ids, pieces = self.ids, self.pieces
         if len(ids) > REMEMBERED:
             ids.clear(), pieces.clear()
-        tokens = {u: self.model.pattern.findall(u) if isinstance(u, str) else list(u[1:]) for u in bpe.distinct(rows) if u not in ids}
-        ids_of, piece_of = self._entries(bpe.distinct(list(tokens.values())))
+        new = [u for u in bpe.distinct(rows) if u not in ids]
+        tokens, find_all = {}, self.model.pattern.findall
+        alone = [u for u in new if isinstance(u, str) and u.isalpha()]  # letters alone are one pre-token
+        for unit in new:
+            if not isinstance(unit, str):
+                tokens[unit] = unit[1:]
+            elif not unit.isalpha():
+                tokens[unit] = find_all(unit)
+        ids_of, piece_of = self._entries(bpe.distinct([alone, *tokens.values()]))
+        for unit in alone:
+            ids[unit], pieces[unit] = ids_of[unit], piece_of[unit]
         for unit, own in tokens.items():
-            if len(own) == 1:
-                ids[unit], pieces[unit] = ids_of[own[0]], piece_of[own[0]]
-            elif own:
+            if own:
                 ids[unit], pieces[unit] = " ".join([ids_of[t] for t in own]), " ".join([piece_of[t] for t in own])
             else:
                 ids[unit], pieces[unit] = self.special[unit[0]]
@@ -290,15 +297,16 @@ class Codec:
         """The ids and the pieces of distinct pre-tokens: from the lexicon, else merged."""
         found = self.lexicon.find([t.encode("utf-8", "surrogateescape") for t in unique]).tolist()
         new = [t for t, k in zip(unique, found, strict=True) if k < 0]
-        merged = {}
+        ids, pieces = {}, {}
+        for t, k in zip(unique, found, strict=True):
+            if k >= 0:
+                ids[t], pieces[t] = self.listed[k]
         if new:
             flat, begins = self.model.merge(new)
             flat, begins = flat.tolist(), begins.tolist()
+            names, parts = list(map(self.name.__getitem__, flat)), list(map(self.model.piece.__getitem__, flat))
             for t, a, b in zip(new, begins[:-1], begins[1:], strict=True):
-                merged[t] = self._entry(flat[a:b])
-        ids, pieces = {}, {}
-        for t, k in zip(unique, found, strict=True):
-            ids[t], pieces[t] = self.listed[k] if k >= 0 else merged[t]
+                ids[t], pieces[t] = " ".join(names[a:b]), " ".join(parts[a:b])
         return ids, pieces
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm.common import POWERS, POWERS_2, U64, column, filled, mix, pick, plain_words, range_hashes, signed, slices
 from spanloom.operators.graph import connected_components
-from spanloom.storage import materialize
+from spanloom.storage import discard, materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -176,7 +176,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     classes = known.groupBy("class").agg(F.min("doc").alias("doc"), F.any_value("bands").alias("bands"), F.any_value("total").alias("total"))
     members = materialize(classes.select("class", "doc", "total", F.explode("bands").alias("key")), "bands")
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = materialize(members.join(shared, "key"), "shared-bands")
+    bands, members = members, materialize(members.join(shared, "key"), "shared-bands")
+    discard(bands)
     texts = _texts_of(docs, members.select("class", "doc").distinct(), idf)
     tested: DataFrame | None = None
     links: DataFrame | None = None
@@ -201,6 +202,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         links = found if links is None else links.unionByName(found)
         linked = connected_components(links).withColumnRenamed("node", "class")
         groups = materialize(members.select("class").distinct().join(linked, "class", "left").select("class", F.coalesce("component", "class").alias("group")), "groups")
+    discard(texts)
     # back from classes to documents
     of_class = classes.select("class", "doc").join(groups, "class", "left").select("class", "doc", F.coalesce("group", "class").alias("group"))
     least = of_class.groupBy("group").agg(F.min("doc").alias("least"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.common import POWERS_2, SPACED, U64, column, filled, mix, offsets_of, pick, range_hashes, signed, slices, word_hashes, word_spans
-from spanloom.storage import materialize
+from spanloom.storage import discard, materialize
 
 WINDOW = 35
 KMER = 17
@@ -96,12 +96,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER, with
     found = materialize(rows.select("doc", "text").mapInArrow(edges, EDGES), "edges")
     repeated = found.groupBy("edge").agg(F.count("*").alias("times")).where("times > 1").select("edge")
     places = materialize(found.join(repeated, "edge"), "repeated-edges")
+    discard(found)
     paths = places.groupBy("edge", "path").agg(F.count("*").alias("times"), F.min(F.struct("doc", "start")).alias("copy"))
     branching = paths.groupBy("edge").agg(F.count("*").alias("ways")).where("ways > 1").select("edge", F.lit(True).alias("branches"))
     kinds = paths.join(branching, "edge", "left").select("edge", "path", (F.col("times") > 1).alias("whole"), F.coalesce("branches", F.lit(False)).alias("branches"), F.when(F.col("branches"), F.col("copy")).alias("copy")).where("whole or branches")
     expand = F.coalesce(F.struct("doc", "start") == F.col("copy"), F.lit(False))
     marks = places.join(kinds, ["edge", "path"]).select("doc", "edge", "start", "n", "whole", expand.alias("expand")).where("whole or expand")
     marks = materialize(marks, "marks")
+    discard(places)
 
     windows_schema = "edge bigint, window bigint, doc bigint, start int, whole boolean"
 

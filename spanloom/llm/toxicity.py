@@ -242,8 +242,9 @@ def _induced(rows: DataFrame) -> list[tuple[int, int, int]]:
                 has = [np.flatnonzero(c[skip:-2]).tolist() for c in counts]
                 yield pa.RecordBatch.from_arrays([pa.array(has, pa.list_(pa.int32())), column(part, "toxic")], ["has", "toxic"])
 
-    table = rows.mapInArrow(held, "has array<int>, toxic double").where(F.size("has") > 0).orderBy("has", "toxic").toArrow()  # at most the sample
-    sets, marks = table["has"].to_pylist(), np.asarray(table["toxic"]) > 0.5
+    table = rows.mapInArrow(held, "has array<int>, toxic double").where(F.size("has") > 0).toArrow()  # at most the sample
+    held_rows = sorted(zip(table["has"].to_pylist(), table["toxic"].to_pylist(), strict=True))  # the same order every time
+    sets, marks = [h for h, _ in held_rows], np.array([t > 0.5 for _, t in held_rows], bool)
     hits = np.zeros((len(sets), len(names)), bool)
     for i, own in enumerate(sets):
         hits[i, own] = True
@@ -270,12 +271,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Vot
                 counts, sizes = voters.counts(filled(part))
                 yield pa.RecordBatch.from_arrays([pa.array(counts.tolist(), pa.list_(pa.float64())), pa.array(sizes), column(part, "toxic")], ["counts", "size", "toxic"])
 
-    table = rows.mapInArrow(votes, "counts array<double>, size bigint, toxic double").orderBy("toxic", "size", "counts").toArrow()  # at most the sample
-    marks = np.asarray(table["toxic"]) if table.num_rows else np.zeros(0)
+    table = rows.mapInArrow(votes, "counts array<double>, size bigint, toxic double").toArrow()  # at most the sample
+    voted = sorted(zip(table["toxic"].to_pylist(), table["size"].to_pylist(), table["counts"].to_pylist(), strict=True))  # the same order every time
+    marks = np.array([t for t, _, _ in voted])
     width = len(voters.names) + 1
     if len(marks) < 10 or (marks > 0.5).all() or (marks <= 0.5).all():
         return voters, np.append(np.full(width, FALLBACK[1]), FALLBACK[0]), None
-    counts, sizes = np.array(table["counts"].to_pylist()), np.asarray(table["size"])
+    counts, sizes = np.array([c for *_, c in voted]), np.array([n for _, n, _ in voted])
     fired = (counts > 0).astype(float)
     kept = fired.sum(axis=0) >= FIRES
     model, q = fit_label_model(fired[:, kept], (marks > 0.5).astype(float))
