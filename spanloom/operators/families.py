@@ -37,8 +37,13 @@ def verdict(same_doi: Column, title: Column, abstract: Column, author: Column, g
 
 def score(pairs: DataFrame, papers: DataFrame, key: str, title: str, abstract: str) -> DataFrame:
     """Title and abstract overlap of each pair above the title floor."""
-    side = lambda name, k: papers.select(F.col(key).alias(k), title_tokens(F.col(title)).alias(f"t_{name}"), title_tokens(F.col(abstract), [""]).alias(f"a_{name}"), F.array_sort(F.array_distinct(F.regexp_extract_all(F.col(title), F.lit("[0-9]+"), 0))).alias(f"n_{name}"))
-    both = pairs.join(side("i", "i"), "i").join(side("j", "j"), "j")
+
+    def side(k: str) -> DataFrame:
+        words, every = title_tokens(F.col(title)), title_tokens(F.col(abstract), stop=[""])  # abstracts keep all words
+        digits = F.array_sort(F.array_distinct(F.regexp_extract_all(F.col(title), F.lit("[0-9]+"), 0)))
+        return papers.select(F.col(key).alias(k), words.alias(f"t_{k}"), every.alias(f"a_{k}"), digits.alias(f"n_{k}"))
+
+    both = pairs.join(side("i"), "i").join(side("j"), "j")
     scored = both.select("i", "j", overlap_share(F.col("t_i"), F.col("t_j")).alias("title"), overlap_share(F.col("a_i"), F.col("a_j")).alias("abstract"), (F.col("n_i") != F.col("n_j")).alias("numbers_differ"))
     return scored.where(F.col("title") >= TITLE_FLOOR)
 

@@ -163,10 +163,10 @@ def doi_keys(spark: Spark, sf: str) -> DataFrame:
     return read(spark, sf, "pages").select("page_id", F.regexp_replace(F.regexp_replace(F.lower(F.trim("url")), "^https?://", ""), "/+$", "").alias("key"))
 
 
-@query("work_ids", "SELECT o_orderkey, upper(regexp_extract('https://openalex.example/w' || o_orderkey, '([Ww][0-9]+)', 1)) AS work, CASE WHEN CAST(regexp_extract(CAST(o_orderdate AS VARCHAR), '([0-9]{4})', 1) AS INT) BETWEEN 1800 AND 2027 THEN CAST(regexp_extract(CAST(o_orderdate AS VARCHAR), '([0-9]{4})', 1) AS INT) END AS year FROM orders")
+@query("work_ids", "SELECT o_orderkey, upper(regexp_extract('https://works.example/w' || o_orderkey, '([Ww][0-9]+)', 1)) AS work, CASE WHEN CAST(regexp_extract(CAST(o_orderdate AS VARCHAR), '([0-9]{4})', 1) AS INT) BETWEEN 1800 AND 2027 THEN CAST(regexp_extract(CAST(o_orderdate AS VARCHAR), '([0-9]{4})', 1) AS INT) END AS year FROM orders")
 def work_ids(spark: Spark, sf: str) -> DataFrame:
     """F38 F40"""
-    return read(spark, sf, "orders").select("o_orderkey", T.work_id(F.concat(F.lit("https://openalex.example/w"), F.col("o_orderkey").cast("string"))).alias("work"), T.plausible_year(F.col("o_orderdate").cast("string"), 2026).alias("year"))
+    return read(spark, sf, "orders").select("o_orderkey", T.work_id(F.concat(F.lit("https://works.example/w"), F.col("o_orderkey").cast("string"))).alias("work"), T.plausible_year(F.col("o_orderdate").cast("string"), 2026).alias("year"))
 
 
 @query("line_lookup", "SELECT doc_id, list_filter(string_split(text, chr(10)), lambda s: contains(lower(s), 'the'))[1] AS line FROM documents")
