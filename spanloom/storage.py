@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where a session names none (tests), a fresh local one is set."""
+    """The folder of ``spark.checkpoint.dir``; where a local session names none (tests), a fresh local one is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="spanloom-")
         spark.conf.set("spark.checkpoint.dir", found)
