@@ -158,7 +158,12 @@ def lexical_candidates(spark: Spark, sf: str) -> DataFrame:
     return resolve.lexical_candidates(mentions, targets, "p_name", 5)
 
 
-@query("resolved_mentions")
+@query(
+    "resolved_mentions",
+    """WITH m AS (SELECT doc_id AS mention_id, left(regexp_replace(lower(text), '[^a-z0-9]+', '', 'g'), 6) AS name, lower(lang) AS kind, source AS paper_id FROM documents), r AS (SELECT name, kind, min(mention_id) AS concept_id FROM m WHERE mention_id % 3 = 0 GROUP BY ALL),
+    f AS (SELECT name, kind, count(DISTINCT paper_id) AS papers FROM m ANTI JOIN r USING (name, kind) GROUP BY ALL)
+    SELECT mention_id, coalesce('C' || concept_id, 'NEW-' || left(sha256(kind || chr(31) || name), 24)) AS target, CASE WHEN concept_id IS NOT NULL THEN 'LINKED' WHEN papers >= 2 THEN 'PROPOSED' ELSE 'REVIEW' END AS status FROM m LEFT JOIN r USING (name, kind) LEFT JOIN f USING (name, kind)""",
+)
 def resolved_mentions(spark: Spark, sf: str) -> DataFrame:
     """Mentions linked by keys, the rest grouped by name into proposals."""
     docs = read(spark, sf, "documents")

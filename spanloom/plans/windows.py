@@ -101,7 +101,12 @@ def running_budget(spark: Spark, sf: str) -> DataFrame:
     return read(spark, sf, "conversations").withColumn("used", used).where("used <= 600").select("conv_id", "turn")
 
 
-@query("bin_packing")
+@query(
+    "bin_packing",
+    """WITH RECURSIVE n AS (SELECT conv_id, turn, length(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
+    r AS (SELECT conv_id, turn, k, CAST(0 AS INT) AS chunk, size AS used FROM n WHERE k = 1 UNION ALL SELECT n.conv_id, n.turn, n.k, CAST(CASE WHEN used > 0 AND used + size > 800 THEN chunk + 1 ELSE chunk END AS INT), CASE WHEN used > 0 AND used + size > 800 THEN size ELSE used + size END FROM r JOIN n ON n.conv_id = r.conv_id AND n.k = r.k + 1)
+    SELECT conv_id, turn, chunk FROM r""",
+)
 def bin_packing(spark: Spark, sf: str) -> DataFrame:
     """Turns packed in order into chunks of at most 800 characters."""
     rows = read(spark, sf, "conversations").select("conv_id", "turn", F.length("text").alias("size"))
