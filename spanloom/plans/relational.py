@@ -75,7 +75,7 @@ a AS (SELECT event_id, 1 AS method, CAST(c_custkey AS BIGINT) AS target FROM m J
 c AS (SELECT event_id, 3 AS method, CAST(n_nationkey AS BIGINT) AS target FROM m JOIN nation ON n_nationkey = event_id % 40),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c), best AS (SELECT event_id, min(method) AS method FROM u GROUP BY event_id),
 t AS (SELECT event_id, method, min(target) AS target, count(DISTINCT target) AS n FROM u JOIN best USING (event_id, method) GROUP BY ALL)
-SELECT event_id, CASE coalesce(method, 0) WHEN 1 THEN 'authority' WHEN 2 THEN 'alias' WHEN 3 THEN 'primary' ELSE 'none' END AS method, CASE WHEN n = 1 THEN target END AS target, CASE WHEN n IS NULL THEN 'UNMATCHED' WHEN n = 1 THEN 'LINKED' ELSE 'AMBIGUOUS' END AS status FROM m LEFT JOIN t USING (event_id)""")
+SELECT event_id, CASE coalesce(method, 0) WHEN 1 THEN 'authority' WHEN 2 THEN 'alias' WHEN 3 THEN 'primary' ELSE 'none' END AS method, CASE WHEN n = 1 THEN target ELSE -1 END AS target, CASE WHEN n IS NULL THEN 'UNMATCHED' WHEN n = 1 THEN 'LINKED' ELSE 'AMBIGUOUS' END AS status FROM m LEFT JOIN t USING (event_id)""")
 def key_cascade(spark: Spark, sf: str) -> DataFrame:
     """Exact keys in order of trust; a method decides if it finds just one target."""
     events, customer, supplier, nation = read(spark, sf, "events", "customer", "supplier", "nation")
@@ -85,7 +85,7 @@ def key_cascade(spark: Spark, sf: str) -> DataFrame:
         "alias": m.join(supplier.select(F.col("s_suppkey").alias("user_id"), F.col("s_suppkey").alias("target")), "user_id"),
         "primary": m.join(nation.select(F.col("n_nationkey").cast("bigint").alias("place"), F.col("n_nationkey").cast("bigint").alias("target")), "place"),
     }
-    return joins.cascade(m, keys, "event_id")
+    return joins.cascade(m, keys, "event_id").na.fill(-1, ["target"])
 
 
 @query(
@@ -122,7 +122,7 @@ def span_containment(spark: Spark, sf: str) -> DataFrame:
 @query(
     "as_of_lookup",
     """WITH m AS (SELECT user_id, ts, event_id AS page FROM events WHERE event_type = (SELECT min(event_type) FROM events)), q AS (SELECT event_id, user_id, ts FROM events WHERE event_type <> (SELECT min(event_type) FROM events))
-    SELECT event_id, (SELECT arg_max(page, (ts, page)) FROM m WHERE m.user_id = q.user_id AND m.ts <= q.ts) AS page FROM q""",
+    SELECT event_id, coalesce((SELECT arg_max(page, (ts, page)) FROM m WHERE m.user_id = q.user_id AND m.ts <= q.ts), -1) AS page FROM q""",
 )
 def as_of_lookup(spark: Spark, sf: str) -> DataFrame:
     """The last page marker at or before each place, in the same document."""
@@ -130,7 +130,7 @@ def as_of_lookup(spark: Spark, sf: str) -> DataFrame:
     first = e.agg(F.min("event_type").alias("marker"))
     e = e.crossJoin(F.broadcast(first))  # one row
     marks = e.where("event_type = marker").select("user_id", "ts", F.col("event_id").alias("page"))
-    return joins.as_of(e.where("event_type <> marker").select("event_id", "user_id", "ts"), marks, "user_id", "ts", "page").select("event_id", "page")
+    return joins.as_of(e.where("event_type <> marker").select("event_id", "user_id", "ts"), marks, "user_id", "ts", "page").select("event_id", F.coalesce("page", F.lit(-1)).alias("page"))
 
 
 @query("crosswalked", "WITH e AS (SELECT n_nationkey AS a, n_regionkey AS b FROM nation), p AS (SELECT x.n_nationkey AS a, y.r_regionkey AS b FROM nation x, region y UNION ALL SELECT y.r_regionkey, x.n_nationkey FROM nation x, region y) SELECT DISTINCT a, b FROM p SEMI JOIN (SELECT a, b FROM e UNION SELECT b, a FROM e) USING (a, b)")

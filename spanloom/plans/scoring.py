@@ -123,12 +123,12 @@ def citation_audit(spark: Spark, sf: str) -> DataFrame:
     return rows.select("c_custkey", status.alias("status"), year.alias("chosen_year"))
 
 
-@query("document_years", "WITH l AS (SELECT p_partkey, unnest(['Published ' || (1990 + p_size % 20), 'cited in ' || (1980 + p_size % 30)]) AS line FROM part), y AS (SELECT p_partkey, CAST(regexp_extract(line, '((18|19|20)[0-9]{2})', 1) AS INT) AS year, max(CASE WHEN contains(lower(line), 'published') THEN 3 ELSE 1 END) AS s FROM l GROUP BY ALL), b AS (SELECT p_partkey, year, s, max(s) OVER (PARTITION BY p_partkey) AS m FROM y) SELECT p_partkey, CASE WHEN count(*) FILTER (WHERE s = m) = 1 THEN max(year) FILTER (WHERE s = m) END AS year FROM b GROUP BY p_partkey")
+@query("document_years", "WITH l AS (SELECT p_partkey, unnest(['Published ' || (1990 + p_size % 20), 'cited in ' || (1980 + p_size % 30)]) AS line FROM part), y AS (SELECT p_partkey, CAST(regexp_extract(line, '((18|19|20)[0-9]{2})', 1) AS INT) AS year, max(CASE WHEN contains(lower(line), 'published') THEN 3 ELSE 1 END) AS s FROM l GROUP BY ALL), b AS (SELECT p_partkey, year, s, max(s) OVER (PARTITION BY p_partkey) AS m FROM y) SELECT p_partkey, CASE WHEN count(*) FILTER (WHERE s = m) = 1 THEN max(year) FILTER (WHERE s = m) ELSE -1 END AS year FROM b GROUP BY p_partkey")
 def document_years(spark: Spark, sf: str) -> DataFrame:
     """a first page's year by the signals of its lines; a tie is none."""
     size = F.col("p_size")
     page = F.concat_ws("\n", F.concat(F.lit("Published "), (1990 + size % 20).cast("string")), F.concat(F.lit("cited in "), (1980 + size % 30).cast("string")))
-    return citations.document_year(read(spark, sf, "part").select("p_partkey", page.alias("page")), "p_partkey", "page")
+    return citations.document_year(read(spark, sf, "part").select("p_partkey", page.alias("page")), "p_partkey", "page").na.fill(-1, ["year"])
 
 
 @query("refined_rows", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'refined' ELSE o_orderstatus END AS status FROM orders")
@@ -172,12 +172,12 @@ def resolved_mentions(spark: Spark, sf: str) -> DataFrame:
     return resolve.resolve(mentions, registry)
 
 
-@query("registry_events", "SELECT n_nationkey AS id, CASE WHEN n_nationkey % 6 = 1 THEN 'RETIRED' ELSE 'ACTIVE' END AS state, CASE WHEN n_nationkey % 6 = 1 THEN n_nationkey - 1 END AS redirect FROM nation")
+@query("registry_events", "SELECT n_nationkey AS id, CASE WHEN n_nationkey % 6 = 1 THEN 'RETIRED' ELSE 'ACTIVE' END AS state, CASE WHEN n_nationkey % 6 = 1 THEN n_nationkey - 1 ELSE -1 END AS redirect FROM nation")
 def registry_events(spark: Spark, sf: str) -> DataFrame:
     """Concepts merged into others are retired with a redirect."""
     nations = read(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.lit("ACTIVE").alias("state"))
     merges = nations.where("id % 6 = 1").select(F.col("id").alias("source"), (F.col("id") - 1).alias("target"))
-    return resolve.merge_concepts(nations, merges)
+    return resolve.merge_concepts(nations, merges).na.fill(-1, ["redirect"])
 
 
 @query("group_budgets", "WITH w AS (SELECT lang AS k, count(*) AS w FROM documents GROUP BY lang), e AS (SELECT k, w, w * 48 / sum(w) OVER () AS x FROM w), f AS (SELECT k, floor(x) AS s, row_number() OVER (ORDER BY x - floor(x) DESC, w DESC, k) AS p FROM e) SELECT k, CAST(s + CASE WHEN p <= 48 - (SELECT sum(s) FROM f) THEN 1 ELSE 0 END AS BIGINT) AS share FROM f")
