@@ -34,11 +34,11 @@ LEXICON_WORDS = 32_768
 #: Longest word of the lexicon in UTF-8 bytes.
 LEXICON_BYTES = 48
 #: Distinct words that a task counts before it sends its counts on.
-COUNTED = 250_000
+COUNTED = 150_000
 #: Encoded words that a worker remembers from task to task; beyond it the memory starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Bytes of text that are encoded together.
-ENCODED_BYTES = 1 << 20
+ENCODED_BYTES = 1 << 19
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 

@@ -21,8 +21,20 @@ _BASE = U64(0x9E3779B97F4A7C15)
 _BASE_2 = U64(0xC2B2AE3D27D4EB4F)
 
 
+#: Rows of an Arrow batch at most, where the session keeps Spark's default of 10,000: texts are long.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(df: DataFrame) -> None:
+    """Ask the session for Arrow batches of few rows, unless it has a number of its own."""
+    if df.sparkSession.conf.get(_BATCH) == "10000":
+        df.sparkSession.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def pick(df: DataFrame, *names: str, types: dict[str, str] | None = None) -> DataFrame:
     """Just the named columns, cast; other columns never enter the plan, so their names cannot clash."""
+    bound_batches(df)
     kinds = {"doc_id": "bigint", "text": "string", **(types or {})}
     return df.select(*[F.col(f"`{n}`").cast(kinds.get(n, "string")).alias(n) for n in names])
 
@@ -163,6 +175,7 @@ def with_column_of(df: DataFrame, name: str, kind: str, make, prepare=None) -> D
 
     prepare: gives a task's state. The name must be free in ``df`` (see :func:`free_name`).
     """
+    bound_batches(df)
     fields = [*df.schema.names, name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
