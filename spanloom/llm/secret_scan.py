@@ -2,25 +2,37 @@
 
 Each text is a first layer. A layer is scanned for secrets, then unwrapped: percent escapes and Unicode escapes
 give one new layer each, every base64 or hexadecimal run whose bytes are text, or compressed text, gives one
-more. New layers go to the worklist until none is left; a layer whose text was seen before in this document is
-not taken again, which ends cycles. Spans found in a layer are mapped back, layer by layer, to code points of
-the document: through an escape to its own characters, through an encoded run to the whole run.
+more. New layers go to the worklist until none is left; a layer whose text was seen before in its place is not
+taken again, and data that lies within itself is not opened again, which ends cycles. Spans found in a layer are
+mapped back, layer by layer, to code points of the document: through an escape to its own characters, through an
+encoded run to the whole run.
+
+No match, escape or run crosses a character outside STRETCH, so each stretch of such characters is unwrapped by
+itself; the layers of a text with few escapes cost their stretches, not the text. All that a run holds maps to the
+whole run, so that of its data only the kinds found are kept: what is compressed is read as a stream, member after
+member, in pieces of CHUNK bytes that end between stretches, and is never held whole beyond HELD bytes.
+
+Nothing is left out for its size. Time grows with all that a document unpacks to, and in one stretch with its length
+times the depth of its escapes; memory with the longest stretch and, for data in data, with the depth.
 
 Defined cases: null and empty texts have no spans; repeated rows each give a row; an empty table gives no rows;
-other columns are ignored. Unpacked data beyond UNPACKED bytes a document is not unwrapped further (a guard
-against decompression bombs; the document's own text is always scanned whole).
+other columns are ignored. Compressed data that breaks off is read as far as it goes; damaged data is not opened,
+but what stands before a damaged further member is. Bytes after the last member are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Generator, Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,12 +50,21 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){16,}(?![0-9A-Fa-f])")
-#: Bytes that all layers of one document may unpack to.
-UNPACKED = 64 << 20
+#: Every character that a match of the patterns above may hold.
+STRETCH = re.compile(r"""[A-Za-z0-9+/_.=\-"'\x20:%\\&#;]{3,}""")
+_STRETCH_CHARS = "".join(c for c in map(chr, range(128)) if STRETCH.fullmatch(3 * c))
+#: Without one of these, a stretch has nothing to unwrap.
+WRAPPED = re.compile(r"%[0-9A-Fa-f]{2}|\\[ux]|&#|[A-Za-z0-9+/_-]{16}")
+CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+#: Bytes that one step of decompression gives, and bytes of opened data that are kept for the next reading.
+CHUNK, HELD = 1 << 20, 16 << 20
+_DAMAGED = (zlib.error, OSError, lzma.LZMAError, EOFError)
 SCHEMA = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
 
 Span = tuple[int, int, int]  # start, place in KINDS, end
 Mapping = Callable[[int, int], tuple[int, int]]
+Source = Callable[[], Iterator[bytes]]  # reads data from its beginning, each time anew
+Task = Generator["Task", set, set]
 
 
 def base_spans(text: str) -> list[Span]:
@@ -115,31 +136,79 @@ def _escape(run: str) -> list[tuple[str, int]] | None:
         return None
 
 
-def _unpacked(data: bytes, room: int) -> bytes:
-    """Compressed layers taken off, as long as there is room; data that isn't compressed stays."""
+def _opener(head: bytes) -> Callable | None:
+    """What makes a decompressor of data that begins so."""
+    if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78":
+        return partial(zlib.decompressobj, 47)
+    return bz2.BZ2Decompressor if head[:3] == b"BZh" else lzma.LZMADecompressor if head[:6] == b"\xfd7zXZ\0" else None
+
+
+def _members(source: Source, opener: Callable) -> Iterator[bytes]:
+    """The opened data, one member after another. Damage in the first member is an error, later it is the end."""
+    chunks, first = source(), True
+    data, kind = next(chunks, b""), opener()
     while True:
-        kind = zlib.decompressobj(47) if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" else bz2.BZ2Decompressor() if data[:3] == b"BZh" else lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\0" else None
-        if kind is None or room <= 0:
-            return data
         try:
-            opened = kind.decompress(data, room)
-        except (zlib.error, OSError, lzma.LZMAError, EOFError):
-            return data
-        if opened == data:
-            return data
-        data, room = opened, room - len(opened)
+            opened = kind.decompress(data, CHUNK)
+        except _DAMAGED:
+            if first:
+                raise
+            return
+        if opened:
+            yield opened
+        if kind.eof:
+            data = kind.unused_data
+            while len(data) < 6 and (more := next(chunks, b"")):
+                data += more
+            if (opener := _opener(data[:6])) is None:
+                return
+            kind, first = opener(), False
+            continue
+        data = getattr(kind, "unconsumed_tail", b"")
+        if not data and not opened and not (data := next(chunks, b"")):
+            return
+
+
+@dataclass
+class Look:
+    """What one reading of data tells: its first bytes, mark, whether it is text, and how to read it again."""
+
+    head: bytes
+    mark: bytes
+    text: bool
+    source: Source
+
 
+def _look(source: Source) -> Look:
+    head, size, text, kept = b"", 0, True, []
+    digest, decoder = hashlib.blake2b(digest_size=16), codecs.getincrementaldecoder("utf-8")()
+    for chunk in source():
+        head += chunk[: 6 - len(head)]
+        size += len(chunk)
+        digest.update(chunk)
+        kept = [*kept, chunk] if kept is not None and size <= HELD else None
+        text = text and _decoded(decoder, chunk) is not None
+        if not text and len(head) == 6 and not _opener(head):
+            break
+    text = text and size > 0 and _decoded(decoder, b"", True) is not None
+    return Look(head, digest.digest(), text, source if kept is None else partial(_once, b"".join(kept)))
 
-def _plain(data: bytes) -> str | None:
-    """Bytes as text, if they are text."""
+
+def _once(data: bytes) -> Iterator[bytes]:
+    yield data
+
+
+def _decoded(decoder: codecs.IncrementalDecoder, data: bytes, final: bool = False) -> str | None:
+    """The bytes as text, if they are text."""
     try:
-        text = data.decode()
+        text = decoder.decode(data, final)
     except UnicodeDecodeError:
         return None
-    return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
+    return None if CONTROL.search(text) else text
 
 
-def _runs(text: str, room: int) -> Iterator[tuple[str, Mapping]]:
+def _runs(text: str) -> Iterator[tuple[bytes, tuple[int, int]]]:
+    """The bytes of the encoded runs that may be text or compressed, each with its place."""
     for pattern in (BASE64, HEX_RUN):
         for m in pattern.finditer(text):
             run = m[0].rstrip("=")
@@ -152,8 +221,8 @@ def _runs(text: str, room: int) -> Iterator[tuple[str, Mapping]]:
                     data = base64.b64decode(run.translate({0x2D: 0x2B, 0x5F: 0x2F}) + "=" * (-len(run) % 4), validate=True)
             except ValueError:
                 continue
-            if inner := _plain(_unpacked(data, room)):
-                yield inner, lambda a, b, where=m.span(): where
+            if _opener(data[:6]) or _decoded(codecs.getincrementaldecoder("utf-8")(), data, True):
+                yield data, m.span()
 
 
 def _mapped(maps: list[Mapping], start: int, end: int) -> tuple[int, int]:
@@ -162,26 +231,88 @@ def _mapped(maps: list[Mapping], start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
-def layers(text: str) -> Iterator[tuple[str, list[Mapping]]]:
-    """The text and all layers below it, each with the mappings back to the document, innermost first."""
-    region = (0, len(text))
-    work: list[tuple[str, list[Mapping], tuple[int, int]]] = [(text, [], region)]
-    seen = {(_mark(text), region)}  # a text may come again elsewhere in the document, not in the same place
-    room = UNPACKED
+def _stretches(text: str) -> Iterator[tuple[int, int]]:
+    """Where the text has stretches with something to unwrap."""
+    if WRAPPED.search(text):
+        for m in STRETCH.finditer(text):
+            if WRAPPED.search(text, *m.span()):
+                yield m.span()
+
+
+def _below(text: str, above: set[bytes]) -> Task:
+    """The spans of a stretch and of all layers below it. above: marks of the data that the stretch lies in."""
+    out: set[Span] = set()
+    work: list[tuple[str, list[Mapping]]] = [(text, [])]  # with the mappings back to the stretch, innermost first
+    seen, opened = {_mark(text)}, set()  # data may come again elsewhere in the stretch, not in the same place
     while work:
-        layer, maps, region = work.pop()
-        yield layer, maps
-        found: list[tuple[str, Mapping, tuple[int, int]]] = []
-        if "%" in layer and (x := _unescaped(layer, PERCENT, _percent)):
-            found.append((*x, region))
-        if ("\\" in layer or "&#" in layer) and (x := _unescaped(layer, ESCAPE, _escape)):
-            found.append((*x, region))
-        found += [(inner, back, _mapped(maps, *back(0, 1))) for inner, back in _runs(layer, room)]
-        for inner, back, where in found:
-            if (key := (_mark(inner), where)) not in seen and room > 0:
+        layer, maps = work.pop()
+        for start, kind, end in base_spans(layer):
+            start, end = _mapped(maps, start, end)
+            out.add((start, kind, end))
+        for data, where in _runs(layer):
+            start, end = _mapped(maps, *where)
+            key = (hashlib.blake2b(data, digest_size=16).digest(), start, end)
+            if key not in opened:
+                opened.add(key)
+                out.update((start, kind, end) for kind in (yield _held(data, above)))
+        for there, pattern, meaning in (("%" in layer, PERCENT, _percent), ("\\" in layer or "&#" in layer, ESCAPE, _escape)):
+            if there and (x := _unescaped(layer, pattern, meaning)) and (key := _mark(x[0])) not in seen:
                 seen.add(key)
-                room -= len(inner)
-                work.append((inner, [back, *maps], where))
+                work.append((x[0], [x[1], *maps]))
+    return out
+
+
+def _held(data: bytes, above: set[bytes]) -> Task:
+    """The kinds of secrets that the data of a run holds, as text or compressed, in any layer."""
+    kinds: set[int] = set()
+    own: set[bytes] = set()
+    look: Look | None = _look(partial(_once, data))
+    while look and look.mark not in above:
+        above.add(look.mark)
+        own.add(look.mark)
+        if look.text:
+            decoder, kept = codecs.getincrementaldecoder("utf-8")(), []
+            for chunk in look.source():
+                piece = decoder.decode(chunk)
+                cut = len(piece.rstrip(_STRETCH_CHARS))
+                if cut:
+                    kinds |= yield _kinds("".join([*kept, piece[:cut]]), above)
+                    kept = []
+                kept.append(piece[cut:])
+                if len(kinds) == len(KINDS):
+                    break
+            else:
+                kinds |= yield _kinds("".join(kept), above)
+        opener = _opener(look.head)
+        try:
+            look = _look(partial(_members, look.source, opener)) if opener and len(kinds) < len(KINDS) else None
+        except _DAMAGED:
+            look = None
+    above -= own
+    return kinds
+
+
+def _kinds(text: str, above: set[bytes]) -> Task:
+    """The kinds of secrets in a text and all layers below it."""
+    kinds = {kind for _, kind, _ in base_spans(text)}
+    for start, end in _stretches(text):
+        if len(kinds) == len(KINDS):
+            break
+        kinds |= {kind for _, kind, _ in (yield _below(text[start:end], above))}
+    return kinds
+
+
+def _done(task: Task) -> set:
+    """What a task returns. Tasks yield tasks and get their results, so that depth is not Python's."""
+    stack, value = [task], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as e:
+            stack.pop()
+            value = e.value
+    return value
 
 
 def _mark(text: str) -> bytes:
@@ -190,15 +321,11 @@ def _mark(text: str) -> bytes:
 
 def find(text: str | None) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans) of a text, in code points of the text."""
-    base: list[Span] = []
-    every: set[Span] = set()
-    for layer, maps in layers(text or ""):
-        spans = base_spans(layer)
-        if not maps:
-            base = spans
-        for start, kind, end in spans:
-            start, end = _mapped(maps, start, end)
-            every.add((start, kind, end))
+    text = text or ""
+    base = base_spans(text)
+    every = set(base)
+    for at, stop in _stretches(text):
+        every.update((at + start, kind, at + end) for start, kind, end in _done(_below(text[at:stop], set())))
     return base, sorted(every)
 
 

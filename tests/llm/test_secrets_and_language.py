@@ -1,7 +1,9 @@
 """Operators 4 and 10."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import re
 import zlib
 
@@ -66,6 +68,37 @@ def test_cycles_and_bombs_end():
     assert secret_scan.find(bomb)[0] == plain(bomb)
 
 
+def places(text: str, wanted: int = 1) -> list[str]:
+    return [text[a:b] for a, k, b in secret_scan.find(text)[1] if k == wanted]
+
+
+def test_long_texts_are_unwrapped_whole():
+    inner = wrap("base64", f"key {KEY}")
+    text = "%41 \\u0041\n" + "\n" * (35 << 20) + wrap("percent", wrap("unicode", inner)) + f"\n{inner}"
+    assert places(text) == [wrap("percent", wrap("unicode", inner)), inner]
+
+
+def test_runs_that_open_to_much_hide_nothing():
+    filler = b"\n" * (65 << 20)
+    run, clean = (base64.b64encode(gzip.compress(filler + x.encode(), 1)).decode() for x in (f"key {KEY}", "key"))
+    later = wrap("base64", f"key {KEY}")
+    assert places(f"{run}\n{later}") == [run, later] and places(f"{clean}\n{later}") == [later]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress])
+def test_every_member_is_opened(pack):
+    run = base64.b64encode(pack(b"nothing here, ") + pack(f"key {KEY}".encode())).decode()
+    assert places(f"see {run}") == [run]
+
+
+def test_pieces_end_between_stretches(monkeypatch):
+    monkeypatch.setattr(secret_scan, "CHUNK", 7)
+    monkeypatch.setattr(secret_scan, "HELD", 9)
+    text = f"é😀é😀, password: token: abcdefghij, {wrap('gzip', 'é' * 30 + KEY)}, é"
+    run = wrap("gzip", wrap("gzip", text))
+    assert secret_scan.find(text)[1] and secret_scan.find(run)[1] == [(0, 1, len(run))]
+
+
 def test_scan_of_odd_rows(odd_docs, no_docs):
     rows = secret_scan.scan(odd_docs).collect()
     assert len(rows) == 9 and all(r["spans"] == "" for r in rows) and secret_scan.scan(no_docs).count() == 0
