@@ -125,6 +125,13 @@ def components(spark: Spark, sf: str) -> DataFrame:
     return connected_components(edges.where("a <> b"))
 
 
+@query("components_whole")
+def components_whole(spark: Spark, sf: str) -> DataFrame:
+    """Over all orders, where one component holds every node; too slow in recursive SQL."""
+    edges = read(spark, sf, "orders").select(F.col("o_custkey").alias("a"), F.floor(F.col("o_custkey") / 4).alias("b")).distinct()
+    return connected_components(edges.where("a <> b"))
+
+
 _TITLE = "list_sort(list_distinct(list_filter(regexp_extract_all(lower(p_name || ' ' || p_brand || p_size), '[a-z0-9]+'), lambda w: length(w) > 2)))"
 _PAIRS = f"""WITH t AS (SELECT p_partkey AS k, {_TITLE} AS w, list_sort(list_distinct(regexp_extract_all(p_name || ' ' || p_brand || p_size, '[0-9]+'))) AS n FROM part),
 singles AS (SELECT k, 'w ' || unnest(w) AS b FROM t), wholes AS (SELECT k, 't ' || array_to_string(w, ' ') AS b FROM t WHERE len(w) > 0),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from spanloom.cli import main
 from spanloom.functions import unicode as U
 from spanloom.operators import ranks, resolve
+from spanloom.plans.registry import QUERIES
 from spanloom.sources.cursor import fetch_with_retries
 from spanloom.streaming import progress
 
@@ -53,3 +54,20 @@ def test_places_are_exact_with_null_keys(spark):
 
 def test_command_line_lists(capsys):
     assert main(["list"]) == 0 and "bm25_topk" in capsys.readouterr().out
+
+
+def test_components_of_all_orders_equal_union_find(spark, tmp_path):
+    keys = [k for k in range(5, 700) if k % 7]  # some parents are no customers
+    spark.createDataFrame([(k,) for k in keys], "o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for k in keys:
+        a, b = sorted((root(k), root(k // 4)))
+        parent[b] = a
+    got = {r["node"]: r["component"] for r in QUERIES["components_whole"](spark, str(tmp_path)).collect()}
+    assert got == {x: root(x) for x in parent} and {k for k in keys if k % 5 == 0} <= got.keys()
