@@ -88,7 +88,7 @@ def qualifier_values(spark: Spark, sf: str) -> DataFrame:
 @query("spoken_texts")
 def spoken_texts(spark: Spark, sf: str) -> DataFrame:
     """Numbers as words, and the strict projection."""
-    rows = read(spark, sf, "conversations").select("conv_id", "turn", F.left("text", F.lit(60)).alias("t"))
+    rows = read(spark, sf, "conversations").select("conv_id", "turn", F.col("text").alias("t"))
     return rows.select("conv_id", "turn", U.speakable(F.concat("t", F.lit(" at 1,250.5 mg/l"))).alias("spoken"), U.strictly_projected(F.col("t")).alias("flat"))
 
 

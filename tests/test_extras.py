@@ -71,3 +71,10 @@ def test_components_of_all_orders_equal_union_find(spark, tmp_path):
         parent[b] = a
     got = {r["node"]: r["component"] for r in QUERIES["components_whole"](spark, str(tmp_path)).collect()}
     assert got == {x: root(x) for x in parent} and {k for k in keys if k % 5 == 0} <= got.keys()
+
+
+def test_spoken_texts_are_whole(spark, tmp_path):
+    text = "many words " * 20 + "and the end"
+    spark.createDataFrame([(1, 0, text)], "conv_id long, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    row = QUERIES["spoken_texts"](spark, str(tmp_path)).first()
+    assert row["flat"] == text and row["spoken"].startswith(f"{text} at one thousand")
