@@ -187,6 +187,28 @@ def with_column_of(df: DataFrame, name: str, kind: str, make, prepare=None) -> D
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *T.StructType.fromDDL(f"`{name}` {kind}").fields]))
 
 
+#: Keys that may be split at once: a key is hot once it holds more than one row in HOT of all.
+HOT = 1_024
+#: Rows of a key that one task takes in any case.
+COLD_ROWS = 1_000
+
+
+def hot_join(rows: DataFrame, side: DataFrame, keys: list[str], times: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``side``, a written table of one row a key; ``times``: how many of ``rows`` hold the key.
+
+    The rows of a hot key are dealt over several tasks and its one row of ``side`` is repeated for each of them. Hot
+    keys each hold more than a share of all rows, so there are at most HOT of them, and only these are broadcast.
+    """
+    total = side.agg(F.sum(times)).first()[0] or 0
+    share = max(total // HOT, COLD_ROWS)
+    ways = F.greatest(F.ceil(F.col(times) / F.lit(share)), F.lit(1))
+    hot = side.where(F.col(times) > share).select(*keys, ways.alias("__ways"))
+    salt = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("__ways")), F.lit(0))
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).drop("__ways")
+    wide = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), ways - 1)))
+    return dealt.join(wide, [*keys, "__salt"], how).drop("__salt")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, with as many underscores as make it new in ``df``."""
     while name in df.columns:

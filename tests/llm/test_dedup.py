@@ -46,13 +46,47 @@ def test_repeats_equal_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == brute_removed(texts, substring_dedup.WINDOW)
 
 
-def test_every_window_has_an_edge():
+def test_every_window_has_one_run():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 50, 4000).astype(np.uint64)
     first = np.array([0, 10, 10, 1000, 4000])
-    _, _, whose, start, n = substring_dedup.picked_edges(words, first)
+    _, path, after, whose, start, n = substring_dedup.bucket_runs(words, first)
     covered = sorted((d, s + k) for d, s, m in zip(whose, start, n, strict=True) for k in range(m))
     assert covered == [(d, s) for d in range(4) for s in range(first[d + 1] - first[d] - 34)]
+    follows = (whose[1:] == whose[:-1]) & (start[1:] == (start + n)[:-1])
+    assert (after[:-1] == np.where(follows, path[1:], 0)).all() and after[-1] == 0
+
+
+def test_periodic_text_makes_few_runs():
+    text = "left right " * 90_000  # 1 MB
+    edge, *_ = substring_dedup.bucket_runs(*substring_dedup._words(pa.array([text])))
+    assert len(edge) <= 2
+
+
+def test_equal_and_periodic_rows_lose_every_window(spark):
+    rng = random.Random(4)
+    text = " ".join(str(rng.randrange(10**6)) for _ in range(400))
+    docs = spark.createDataFrame([(7, text)] * 10_000 + [(8, "left right " * 90_000), (9, "alone " + text[: len(text) // 2])], "doc_id bigint, text string").repartition(16)
+    got = substring_dedup.remove_repeats(docs).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    half = len(text[: len(text) // 2].split())
+    whole = text[len(text) // 2] == " " or text[len(text) // 2 - 1] == " "
+    assert sorted(map(tuple, got)) == [(7, 400, 400, 10_000), (8, 180_000, 180_000, 1), (9, half + 1, half if whole else half - 1, 1)]
+
+
+def test_chains_end_at_branches_and_ends(spark):
+    rows = [(1, 2, 3, 2, 2), (2, 2, 4, 3, 3), (3, 2, 5, 4, 4), (4, 3, 6, 9, 9), (9, 5, 1, 0, 0), (10, 2, 1, 9, 9), (11, 2, 1, 0, 12), (12, 2, 2, 0, 0)]
+    paths = spark.createDataFrame(rows, "path bigint, times bigint, n int, lo bigint, hi bigint")
+    got = sorted(tuple(r) for r in substring_dedup.chains(paths).select("path", "head", "ahead").collect())
+    assert got == [(2, 1, 3), (3, 1, 7)]  # 4 has more places than 3, 9 more predecessors than one, 11 two successors
+
+
+def test_hot_edges_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr("spanloom.llm.common.COLD_ROWS", 3)
+    monkeypatch.setattr("spanloom.llm.common.HOT", 8)
+    texts = repeated_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_removed(texts, substring_dedup.WINDOW)
 
 
 def test_repeats_of_odd_rows(odd_docs, no_docs):
