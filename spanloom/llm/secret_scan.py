@@ -1,19 +1,21 @@
 """Secret scan by a recursive decoding worklist (operator 4).
 
 Each text is a first layer. A layer is scanned for secrets, then unwrapped: percent escapes and Unicode escapes
-give one new layer each, every base64 or hexadecimal run whose bytes are text, or compressed text, gives one
-more. New layers go to the worklist until none is left; a layer whose text was seen before in its place is not
+give one new layer each, every base64 or hexadecimal run gives one more, which is decompressed first where it is
+compressed. Base64 may be broken over lines, or follow a ``/``, ``_`` or ``-`` of other text. Bytes and escapes that
+are no text stay as they stand and hide nothing of what is around them. New layers go to the worklist until none is left; a layer whose text was seen before in its place is not
 taken again, and data that lies within itself is not opened again, which ends cycles. Spans found in a layer are
 mapped back, layer by layer, to code points of the document: through an escape to its own characters, through an
 encoded run to the whole run.
 
-No match, escape or run crosses a character outside STRETCH, so each stretch of such characters is unwrapped by
+No match, escape or run on one line crosses a character outside STRETCH, so each stretch of such characters is unwrapped by
 itself; the layers of a text with few escapes cost their stretches, not the text. All that a run holds maps to the
 whole run, so that of its data only the kinds found are kept: what is compressed is read as a stream, member after
 member, in pieces of CHUNK bytes that end between stretches, and is never held whole beyond HELD bytes.
 
 Nothing is left out for its size. Time grows with all that a document unpacks to, and in one stretch with its length
-times the depth of its escapes; memory with the longest stretch and, for data in data, with the depth.
+times the depth of its escapes; memory with the longest stretch and, for data in data, with the depth. Beginnings of base64 within a run are tried only
+where the first bytes look like text or compressed data.
 
 Defined cases: null and empty texts have no spans; repeated rows each give a row; an empty table gives no rows;
 other columns are ignored. Compressed data that breaks off is read as far as it goes; damaged data is not opened,
@@ -47,11 +49,16 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 #: Without one of these in the lower-cased text, ASSIGN cannot match.
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
+ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){16,}(?![0-9A-Fa-f])")
+#: Base64 that is broken over lines of one length, as mail and key files do after 76 or 64 characters.
+LINES64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{60,80}\r?\n)+[A-Za-z0-9+/_-]+={0,2}")
+#: Where base64 may begin within a run.
+PARTED = re.compile(r"[+/_-](?=[A-Za-z0-9+/_-]{16})")
+#: The shortest secret has 14 bytes.
+HEX_RUN = re.compile(r"[0-9A-Fa-f]{28,}")
 #: Every character that a match of the patterns above may hold.
-STRETCH = re.compile(r"""[A-Za-z0-9+/_.=\-"'\x20:%\\&#;]{3,}""")
+STRETCH = re.compile(r"""[A-Za-z0-9+/_.=\-"'\x20:%\\&#;{}]{3,}""")
 _STRETCH_CHARS = "".join(c for c in map(chr, range(128)) if STRETCH.fullmatch(3 * c))
 #: Without one of these, a stretch has nothing to unwrap.
 WRAPPED = re.compile(r"%[0-9A-Fa-f]{2}|\\[ux]|&#|[A-Za-z0-9+/_-]{16}")
@@ -116,11 +123,16 @@ def _unescaped(text: str, pattern: re.Pattern, meaning: Callable[[str], list[tup
     return "".join(parts), back
 
 
-def _percent(run: str) -> list[tuple[str, int]] | None:
-    try:
-        return [(c, 3 * len(c.encode())) for c in bytes.fromhex(run.replace("%", "")).decode()]
-    except UnicodeDecodeError:
-        return None
+def _percent(run: str) -> list[tuple[str, int]]:
+    out, at = [], 0
+    for c in bytes.fromhex(run.replace("%", "")).decode(errors="surrogateescape"):
+        if 0xDC80 <= ord(c) < 0xDD00:  # a byte that is no text keeps its escape
+            out += [(x, 1) for x in run[at : at + 3]]
+            at += 3
+        else:
+            out.append((c, 3 * len(c.encode())))
+            at += out[-1][1]
+    return out
 
 
 def _escape(run: str) -> list[tuple[str, int]] | None:
@@ -129,11 +141,15 @@ def _escape(run: str) -> list[tuple[str, int]] | None:
         return [(chr(n), len(run))] if n < 0x110000 and not 0xD800 <= n < 0xE000 else None
     if run[1] == "x":
         return [(chr(int(run[2:], 16)), 4)]
-    units = b"".join(int(x, 16).to_bytes(2, "big") for x in run.split("\\u")[1:])
-    try:
-        return [(c, 12 if ord(c) > 0xFFFF else 6) for c in units.decode("utf-16-be")]
-    except UnicodeDecodeError:
-        return None
+    if run[2] == "{":
+        n = int(run[3:-1], 16)
+        return [(chr(n), len(run))] if n < 0x110000 and not 0xD800 <= n < 0xE000 else None
+    out, at = [], 0
+    for c in b"".join(int(x, 16).to_bytes(2, "big") for x in run.split("\\u")[1:]).decode("utf-16-be", "surrogatepass"):
+        n = 12 if ord(c) > 0xFFFF else 6
+        out += [(x, 1) for x in run[at : at + n]] if 0xD800 <= ord(c) < 0xE000 else [(c, n)]
+        at += n
+    return out
 
 
 def _opener(head: bytes) -> Callable | None:
@@ -171,7 +187,7 @@ def _members(source: Source, opener: Callable) -> Iterator[bytes]:
 
 @dataclass
 class Look:
-    """What one reading of data tells: its first bytes, mark, whether it is text, and how to read it again."""
+    """What one reading of data tells: its first bytes, mark, whether to scan it as text, and how to read it again."""
 
     head: bytes
     mark: bytes
@@ -187,10 +203,8 @@ def _look(source: Source) -> Look:
         size += len(chunk)
         digest.update(chunk)
         kept = [*kept, chunk] if kept is not None and size <= HELD else None
-        text = text and _decoded(decoder, chunk) is not None
-        if not text and len(head) == 6 and not _opener(head):
-            break
-    text = text and size > 0 and _decoded(decoder, b"", True) is not None
+        text = text and _is_text(decoder, chunk)
+    text = size > 0 and (not _opener(head) or text and _is_text(decoder, b"", True))
     return Look(head, digest.digest(), text, source if kept is None else partial(_once, b"".join(kept)))
 
 
@@ -198,31 +212,49 @@ def _once(data: bytes) -> Iterator[bytes]:
     yield data
 
 
-def _decoded(decoder: codecs.IncrementalDecoder, data: bytes, final: bool = False) -> str | None:
-    """The bytes as text, if they are text."""
+def _is_text(decoder: codecs.IncrementalDecoder, data: bytes, final: bool = False) -> bool:
     try:
-        text = decoder.decode(data, final)
+        decoder.decode(data, final)
     except UnicodeDecodeError:
-        return None
-    return None if CONTROL.search(text) else text
+        return False
+    return True
+
+
+def _decode64(run: str) -> bytes:
+    """The bytes of base64 in either alphabet; a last character that completes no byte is left."""
+    run = run[:-1] if len(run) % 4 == 1 else run
+    return base64.b64decode(run.translate({0x2D: 0x2B, 0x5F: 0x2F}) + "=" * (-len(run) % 4))
+
+
+def _begins_data(run: str) -> bool:
+    """Do the run's first bytes look like text or like compressed data?"""
+    head = _decode64(run[:24])
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    return bool(_opener(head[:6])) or _is_text(decoder, head) and not CONTROL.search(head.decode(errors="ignore"))
 
 
 def _runs(text: str) -> Iterator[tuple[bytes, tuple[int, int]]]:
-    """The bytes of the encoded runs that may be text or compressed, each with its place."""
-    for pattern in (BASE64, HEX_RUN):
-        for m in pattern.finditer(text):
-            run = m[0].rstrip("=")
-            try:
-                if pattern is HEX_RUN:
-                    data = bytes.fromhex(run)
-                elif len(run) % 4 == 1:
-                    continue
-                else:
-                    data = base64.b64decode(run.translate({0x2D: 0x2B, 0x5F: 0x2F}) + "=" * (-len(run) % 4), validate=True)
-            except ValueError:
-                continue
-            if _opener(data[:6]) or _decoded(codecs.getincrementaldecoder("utf-8")(), data, True):
-                yield data, m.span()
+    """The bytes of the encoded runs, each with its place."""
+    for m in BASE64.finditer(text):
+        run = m[0].rstrip("=")
+        yield _decode64(run), m.span()
+        for cut in PARTED.finditer(run):
+            if _begins_data(run[cut.end() : cut.end() + 24]):
+                yield _decode64(run[cut.end() :]), (m.start() + cut.end(), m.end())
+    yield from _broken_runs(text)
+    for m in HEX_RUN.finditer(text):
+        for odd in range(1 + len(m[0]) % 2):
+            at, stop = m.start() + odd, m.end() - (len(m[0]) - odd) % 2
+            yield bytes.fromhex(text[at:stop]), (at, stop)
+
+
+def _broken_runs(text: str) -> Iterator[tuple[bytes, tuple[int, int]]]:
+    """The bytes of base64 that is broken over lines, with its place."""
+    if "\n" in text:
+        for m in LINES64.finditer(text):
+            lines = m[0].rstrip("=").split()
+            if len({len(x) for x in lines[:-1]}) == 1 and len(lines[-1]) <= len(lines[0]):
+                yield _decode64("".join(lines)), m.span()
 
 
 def _mapped(maps: list[Mapping], start: int, end: int) -> tuple[int, int]:
@@ -271,10 +303,10 @@ def _held(data: bytes, above: set[bytes]) -> Task:
         above.add(look.mark)
         own.add(look.mark)
         if look.text:
-            decoder, kept = codecs.getincrementaldecoder("utf-8")(), []
+            decoder, kept = codecs.getincrementaldecoder("utf-8")("replace"), []
             for chunk in look.source():
                 piece = decoder.decode(chunk)
-                cut = len(piece.rstrip(_STRETCH_CHARS))
+                cut = len(piece.rstrip(_STRETCH_CHARS + "\r\n"))
                 if cut:
                     kinds |= yield _kinds("".join([*kept, piece[:cut]]), above)
                     kept = []
@@ -299,6 +331,8 @@ def _kinds(text: str, above: set[bytes]) -> Task:
         if len(kinds) == len(KINDS):
             break
         kinds |= {kind for _, kind, _ in (yield _below(text[start:end], above))}
+    for data, _ in _broken_runs(text):
+        kinds |= yield _held(data, above)
     return kinds
 
 
@@ -326,6 +360,8 @@ def find(text: str | None) -> tuple[list[Span], list[Span]]:
     every = set(base)
     for at, stop in _stretches(text):
         every.update((at + start, kind, at + end) for start, kind, end in _done(_below(text[at:stop], set())))
+    for data, (start, end) in _broken_runs(text):
+        every.update((start, kind, end) for kind in _done(_held(data, set())))
     return base, sorted(every)
 
 

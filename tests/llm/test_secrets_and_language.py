@@ -62,6 +62,35 @@ def test_escapes_map_to_their_characters():
     assert secret_scan.find(text)[1] == [(2, 0, 22)] and text[2:22] == "pass%77ord=abcdefgh1"
 
 
+def escaped(text: str) -> str:
+    return "".join(f"%{b:02x}" for b in text.encode())
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "see\n" + base64.encodebytes(f"{'some words before ' * 5}key {KEY} and {'more words ' * 9}".encode()).decode() + "end",
+        "see\r\n" + base64.encodebytes(f"{'some words before ' * 5}key {KEY}".encode()).decode().replace("\n", "\r\n") + "end of it",
+        "path/" + wrap("base64", f"key {KEY}"),
+        "id_" + wrap("urlsafe", f"key {KEY}"),
+        "a/b-" + wrap("base64", f"key {KEY}") + "/more",
+        "%ff" + escaped(f"key {KEY}") + "%80",
+        "\\ud800" + wrap("unicode", f"key {KEY}"),
+        "".join(f"\\u{{{ord(c):x}}}" for c in f"key {KEY}"),
+        base64.b64encode(b"\x01\x00" + f"key {KEY}".encode() + b"\x00").decode(),
+        base64.b64encode(b"\xff\xfe" + f"key {KEY}".encode()).decode(),
+        "f" + f"key {KEY}".encode().hex(),
+    ],
+)
+def test_layers_among_other_bytes(text):
+    assert places(text) and KEY not in secret_scan.redact(text, secret_scan.find(text)[1])
+
+
+def test_the_shortest_secret_in_hex():
+    run = b"token=abcdefgh".hex()
+    assert len(run) == 28 and places(f"x {run}.", 0) == [run]
+
+
 def test_cycles_and_bombs_end():
     assert secret_scan.find("%25" * 2000)[1] == []
     bomb = base64.b64encode(zlib.compress(b"a" * (80 << 20))).decode()
