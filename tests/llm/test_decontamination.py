@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from spanloom.llm import decontamination as D
 from spanloom.llm.common import plain_words
@@ -31,19 +32,31 @@ def test_seeds_survive_the_edits():
         assert D.seed_length(n, d) * (d + 1) >= n - d
 
 
-def test_recall_at_the_largest_distance():
-    rng = random.Random(3)
-    items = [np.array([rng.getrandbits(63) for _ in range(rng.randrange(15, 60))], np.uint64) for _ in range(40)]
-    block, hit = D.Items(list(range(40)), items), 0
-    for trial in range(300):
-        k = trial % 40
-        own = items[k].tolist()
-        for _ in range(int(block.edits[k])):
-            j, kind = rng.randrange(len(own)), rng.randrange(3)
-            own[j : j + (kind != 1)] = [] if kind == 2 else [rng.getrandbits(63)]
-        doc = np.array([rng.getrandbits(63) for _ in range(20)] + own + [rng.getrandbits(63) for _ in range(20)], np.uint64)
-        hit += any(m[1] == k for m in block.verify(block.regions(doc, np.array([0, len(doc)]))))
-    assert hit / 300 >= 0.97
+def edited(item, edits, rng):
+    own = item.tolist()
+    for _ in range(edits):
+        j, kind = rng.randrange(len(own)), rng.randrange(3)
+        own[j : j + (kind != 1)] = [] if kind == 2 else [rng.getrandbits(63)]
+    return own
+
+
+@pytest.mark.parametrize(("size", "most_passed"), [(5, 1), (12, 0.85), (20, 0.35), (35, 0.05), (60, 0.02), (120, 0.02), (350, 0.02)])
+def test_recall_and_selectivity(size, most_passed):
+    """Items edited as often as allowed are found; of windows that share one run with an item few meet it."""
+    rng = random.Random(size)
+    fresh = lambda n: [rng.getrandbits(63) for _ in range(n)]
+    items = [np.array(fresh(size), np.uint64) for _ in range(100)]
+    block = D.Items(list(range(100)), items)
+    q, hits, windows, met = D.seed_length(size, int(block.edits[0])), 0, 0, 0
+    for k, item in enumerate(items):
+        doc = np.array(fresh(20) + edited(item, int(block.edits[k]), rng) + fresh(20), np.uint64)
+        hits += any(m[1] == k for m in block.verify(block.windows(doc, np.array([0, len(doc)]))))
+        at = rng.randrange(size - q + 1)
+        doc = np.array(fresh(size) + item[at : at + q].tolist() + fresh(size), np.uint64)
+        found = block.windows(doc, np.array([0, len(doc)]))
+        windows += len(found.doc)
+        met += len(block.meetings(found)[0])
+    assert hits >= 96 and windows >= 100 and met <= most_passed * windows
 
 
 def test_results_equal_brute_force(spark, sf):
