@@ -1,18 +1,22 @@
 """Toxicity by weak supervision (operator 3).
 
 Voters look at whole texts: fixed lexicons and phrases, patterns of punctuation and capitals, and induced patterns:
-words, or beginnings of words, that occur so many times, found in labelled documents by greedy coverage. A generative label model (a latent class with one rate of
-firing for each voter and class, fitted by expectation maximisation) estimates the voters' accuracies; the
-annotators' label is one more voter with an accuracy of its own. Correlations that the class leaves between voters
-are estimated from its residuals, and correlated voters share their weight. A logistic regression on the voters'
-counts is then trained on the posterior labels, and scores every text.
+words, or beginnings of words, that occur so many times, found in labelled documents by greedy coverage. A voter
+fires or abstains.
+
+A generative label model explains the votes by a latent class, toxic or clean, and within a class by components.
+Voters fire independently at each component's rates, so that components that fire together, or one instead of the
+other, carry the voters' correlations within a class; the class's rates are the voters' accuracies. The model is
+fitted by expectation maximisation. Labels are no votes: those of one document in ORIENT give the first components
+of either class, which stay in as a prior of twice as many rows.
+A logistic regression on the voters' counts is then trained on the posterior labels, and scores every text.
 
 The label model and the classifier are fitted on at most SAMPLE labelled documents, taken by a hash of their ids.
 
 Defined cases: null and empty texts score by the classifier's intercept; repeated labels of one doc_id are averaged;
-equal labelled texts are one example; without labels, or with one class only, the score rests on the fixed voters
-with FALLBACK weights; repeated rows each give a row; an empty table gives no rows; a null doc_id is not learned
-from and not held out; other columns are ignored.
+equal labelled texts are one example; without labels of both classes the score rests on the fixed voters with
+FALLBACK weights; repeated rows each give a row; a long text is one slice of array work and its voters count all of
+it; an empty table gives no rows; a null doc_id is not learned from and not held out; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,6 +46,10 @@ COVER = 3
 STEMS, LEVELS = (0, 3, 4, 5, 6, 7), (1, 2, 3)
 #: Sampled documents in which a voter must fire to be kept.
 FIRES = 3
+#: One labelled document in ORIENT gives its label to the label model's prior, which weighs PRIOR times all rows.
+ORIENT, PRIOR = 4, 2
+#: Components of a class at most, rows of the class's mean that smooth each, and steps of expectation maximisation.
+COMPONENTS, SMOOTH, STEPS = 6, 3, 50
 #: Weights without any labels: intercept, and each fired voter.
 FALLBACK = (-3.0, 4.0)
 
@@ -110,7 +118,7 @@ class Voters:
         total = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[off])
         exclaims = raw == 0x21
         exclaims[1:] &= raw[:-1] == 0x21
-        exclaims[:1] = False
+        exclaims[off[:-1][off[:-1] < len(raw)]] = False  # the mark before is another text's
         upper, lower = total((raw >= 0x41) & (raw <= 0x5A)), total((raw >= 0x61) & (raw <= 0x7A))
         out[:, -2] = total(exclaims)
         out[:, -1] = (upper >= 20) & (upper > lower)
@@ -135,40 +143,78 @@ class Table:
 
 @dataclass
 class LabelModel:
-    """Rates of firing by class, weights after shared correlations, residual correlations, the class's prior."""
+    """Components of each class: their shares of all rows and the rate at which each voter fires in them."""
+
+    share: np.ndarray
+    rate: np.ndarray
+    toxic: np.ndarray
 
-    prior: float
-    fires_toxic: np.ndarray
-    fires_clean: np.ndarray
-    weight: np.ndarray
-    correlation: np.ndarray
+    def belongs(self, votes: np.ndarray) -> np.ndarray:
+        """The probability of each component, row by row."""
+        gain = votes @ np.log(self.rate).T + (1 - votes) @ np.log(1 - self.rate).T + np.log(self.share)
+        odds = np.exp(gain - gain.max(axis=1, keepdims=True))
+        return odds / odds.sum(axis=1, keepdims=True)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        gain = votes * np.log(self.fires_toxic / self.fires_clean) + (1 - votes) * np.log((1 - self.fires_toxic) / (1 - self.fires_clean))
-        return 1 / (1 + np.exp(-(np.log(self.prior / (1 - self.prior)) + gain @ self.weight)))
-
-
-def fit_label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 3, steps: int = 30) -> tuple[LabelModel, np.ndarray]:
-    """The label model and the posterior of each row. votes: rows by voters, 0 or 1; labels: the annotators' votes."""
-    every = np.column_stack([votes, labels])
-    n, m = every.shape
-    q, weight, model = np.where(labels > 0.5, 0.9, 0.1), np.ones(m), None
-    for _ in range(rounds):
-        for _ in range(steps):
-            toxic, clean = (q @ every + 0.5) / (q.sum() + 1), ((1 - q) @ every + 0.5) / ((1 - q).sum() + 1)
-            low = toxic < clean  # a voter for toxicity says nothing where it fires less often on it
-            toxic, clean = np.where(low, every.mean(axis=0), toxic), np.where(low, every.mean(axis=0), clean)
-            toxic, clean = np.clip(toxic, 1e-4, 1 - 1e-4), np.clip(clean, 1e-4, 1 - 1e-4)
-            model = LabelModel(float(np.clip(q.mean(), 0.001, 0.999)), toxic, clean, weight, np.eye(m))
-            q = model.posterior(every)
-        rest = every - (q[:, None] * toxic + (1 - q[:, None]) * clean)
-        scale = np.sqrt((rest * rest).mean(axis=0)) + 1e-9
-        model.correlation = (rest.T @ rest) / n / np.outer(scale, scale)
-        shared = np.maximum(model.correlation - 0.05, 0)
-        np.fill_diagonal(shared, 0)
-        weight = 1 / (1 + shared.sum(axis=0))
-        model.weight = weight
-    return model, model.posterior(every)
+        return self.belongs(votes)[:, self.toxic].sum(axis=1)
+
+    def accuracies(self, toxic: bool) -> np.ndarray:
+        """The rate at which each voter fires in a class."""
+        own = self.toxic == toxic
+        return self.share[own] @ self.rate[own] / self.share[own].sum()
+
+    def correlations(self, toxic: bool) -> np.ndarray:
+        """The correlations of the voters within a class."""
+        own, mean = self.toxic == toxic, self.accuracies(toxic)
+        rest = self.rate[own] - mean
+        covariance = (rest * (self.share[own] / self.share[own].sum())[:, None]).T @ rest
+        spread = np.sqrt(mean * (1 - mean))
+        out = covariance / np.outer(spread, spread)
+        np.fill_diagonal(out, 1)
+        return out
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
+
+
+def _components(votes: np.ndarray, weight: np.ndarray, most: int = COMPONENTS) -> tuple[np.ndarray, np.ndarray]:
+    """(weight, rates) of a class's first components, from rows that orient it: clusters of their votes by k-means.
+
+    The first centre is the most frequent pattern; each further one lies farthest from those before it, weighed by how
+    often it occurs.
+    """
+    patterns, which = np.unique(votes, axis=0, return_inverse=True)
+    times = np.bincount(which, weight, len(patterns))
+    centres = patterns[times.argmax()][None]
+    distance = lambda: ((patterns[:, None] - centres[None]) ** 2).sum(axis=2)
+    while len(centres) < min(most, len(patterns)):
+        centres = np.vstack([centres, patterns[(distance().min(axis=1) * times).argmax()]])
+    for _ in range(20):
+        member = (distance().argmin(axis=1)[:, None] == np.arange(len(centres))) * times[:, None]
+        size = member.sum(axis=0)
+        centres = np.where(size[:, None] > 0, member.T @ patterns / np.maximum(size, 1e-9)[:, None], centres)
+    mean = (times @ patterns + 0.01) / (times.sum() + 0.02)
+    return size, (member.T @ patterns + SMOOTH * mean) / (size + SMOOTH)[:, None]
+
+
+def fit_label_model(votes: np.ndarray, oriented: np.ndarray) -> tuple[LabelModel, np.ndarray]:
+    """The label model and the posterior of each row.
+
+    votes: rows by voters, 0 or 1; oriented: the labels, 0 to 1, of the rows that orient the classes, else nan.
+    """
+    known = ~np.isnan(oriented)
+    sides = [_components(votes[known], w) for w in (oriented[known], 1 - oriented[known])]
+    toxic = np.repeat([True, False], [len(n) for n, _ in sides])
+    first_share = np.concatenate([n for n, _ in sides]) + 1e-3
+    first_share /= first_share.sum()
+    first_rate = np.clip(np.concatenate([r for _, r in sides]), 1e-4, 1 - 1e-4)
+    model = LabelModel(first_share, first_rate, toxic)
+    for _ in range(STEPS):
+        own, prior = model.belongs(votes), PRIOR * len(votes) * first_share
+        n = own.sum(axis=0) + prior
+        model = LabelModel(n / n.sum(), np.clip((own.T @ votes + prior[:, None] * first_rate) / n[:, None], 1e-4, 1 - 1e-4), toxic)
+    return model, model.posterior(votes)
 
 
 def fit_classifier(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
@@ -178,7 +224,7 @@ def fit_classifier(x: np.ndarray, q: np.ndarray, ridge: float = 1.0, steps: int
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
+        p = _sigmoid(x @ w)
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (p - q) + penalty * w)
         w = w - step
         if np.abs(step).max() < 1e-8:
@@ -192,7 +238,7 @@ def inputs(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of about ``sample`` labelled documents, equal texts once; toxic is the mean label."""
+    """(text, toxic, orients) of about ``sample`` labelled documents, equal texts once; toxic is the mean label."""
     marks = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("double").alias("toxic")).where("doc_id is not null and toxic is not null")
     marks = marks.groupBy("doc_id").agg(F.avg("toxic").alias("toxic"))
     total = marks.count()
@@ -200,7 +246,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         marks = marks.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < F.lit(int((1 << 20) * sample / total)))
     # about `sample` rows of 16 bytes
     found = pick(docs, "doc_id", "text").where("text is not null").join(F.broadcast(marks), "doc_id")
-    return found.groupBy(F.md5("text").alias("key")).agg(F.any_value("text").alias("text"), F.avg("toxic").alias("toxic")).select(F.lit(0).cast("bigint").alias("doc_id"), "text", "toxic")
+    return found.groupBy(F.md5("text").alias("key")).agg(F.any_value("text").alias("text"), F.avg("toxic").alias("toxic")).select("text", "toxic", (F.pmod(F.xxhash64("key"), F.lit(ORIENT)) == 0).alias("orients"))
 
 
 def _induced(rows: DataFrame) -> list[tuple[int, int, int]]:
@@ -269,18 +315,20 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Vot
         for batch in batches:
             for part in slices(batch):
                 counts, sizes = voters.counts(filled(part))
-                yield pa.RecordBatch.from_arrays([pa.array(counts.tolist(), pa.list_(pa.float64())), pa.array(sizes), column(part, "toxic")], ["counts", "size", "toxic"])
+                yield pa.RecordBatch.from_arrays([pa.array(counts.tolist(), pa.list_(pa.float64())), pa.array(sizes), column(part, "toxic"), column(part, "orients")], ["counts", "size", "toxic", "orients"])
 
-    table = rows.mapInArrow(votes, "counts array<double>, size bigint, toxic double").toArrow()  # at most the sample
-    voted = sorted(zip(table["toxic"].to_pylist(), table["size"].to_pylist(), table["counts"].to_pylist(), strict=True))  # the same order every time
-    marks = np.array([t for t, _, _ in voted])
+    table = rows.mapInArrow(votes, "counts array<double>, size bigint, toxic double, orients boolean").toArrow()  # at most the sample
+    voted = sorted(zip(table["toxic"].to_pylist(), table["orients"].to_pylist(), table["size"].to_pylist(), table["counts"].to_pylist(), strict=True))  # the same order every time
+    marks, orients = np.array([t for t, *_ in voted]), np.array([o for _, o, *_ in voted], bool)
     width = len(voters.names) + 1
-    if len(marks) < 10 or (marks > 0.5).all() or (marks <= 0.5).all():
+    if not len(marks) or (marks > 0.5).all() or (marks <= 0.5).all():
         return voters, np.append(np.full(width, FALLBACK[1]), FALLBACK[0]), None
-    counts, sizes = np.array([c for *_, c in voted]), np.array([n for _, n, _ in voted])
+    for side in (marks > 0.5, marks <= 0.5):  # each class has at least one label that orients it
+        orients[np.flatnonzero(side)[0]] |= not orients[side].any()
+    counts, sizes = np.array([c for *_, c in voted]), np.array([n for _, _, n, _ in voted])
     fired = (counts > 0).astype(float)
     kept = fired.sum(axis=0) >= FIRES
-    model, q = fit_label_model(fired[:, kept], (marks > 0.5).astype(float))
+    model, q = fit_label_model(fired[:, kept], np.where(orients, marks, np.nan))
     x = inputs(counts, sizes)
     used = np.append(kept, True)
     weights = np.zeros(width + 1)
@@ -295,7 +343,7 @@ def score(docs: DataFrame, voters: Voters, weights: np.ndarray) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 x = inputs(*voters.counts(filled(part)))
-                p = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -35, 35)))
+                p = _sigmoid(x @ weights[:-1] + weights[-1])
                 yield pa.RecordBatch.from_arrays([column(part, "doc_id"), pa.array(p)], ["doc_id", "score"])
 
     return pick(docs, "doc_id", "text").mapInArrow(run, SCHEMA)

@@ -1,12 +1,17 @@
 """Operators 7 and 3."""
 
+import math
+import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spanloom.llm import sharding, toxicity
+from spanloom.llm.common import plain_word_list
 
 
 def check_shards(rows, texts, shards=sharding.SHARDS):
@@ -51,11 +56,54 @@ def test_label_model_finds_accuracies_and_correlation():
     fire = lambda good, bad: np.where(y, rng.random(6000) < good, rng.random(6000) < bad).astype(float)
     a, b, c = fire(0.8, 0.05), fire(0.7, 0.1), fire(0.6, 0.05)
     twin = np.where(rng.random(6000) < 0.95, c, 1 - c)
-    labels = np.where(rng.random(6000) < 0.05, ~y, y).astype(float)
-    model, q = toxicity.fit_label_model(np.column_stack([a, b, c, twin]), labels)
-    assert model.fires_toxic[:3] == pytest.approx([0.8, 0.7, 0.6], abs=0.06) and model.fires_clean[:3] == pytest.approx([0.05, 0.1, 0.05], abs=0.03)
-    assert model.correlation[2, 3] > 0.5 > abs(model.correlation[0, 1]) and model.weight[2] < model.weight[0]
-    assert ((q > 0.5) == y).mean() > 0.95
+    votes = np.column_stack([a, b, c, twin])
+    model, q = toxicity.fit_label_model(votes, np.where(np.arange(6000) % 4 == 0, y, np.nan))
+    assert model.accuracies(True)[:3] == pytest.approx([0.8, 0.7, 0.6], abs=0.06) and model.accuracies(False)[:3] == pytest.approx([0.05, 0.1, 0.05], abs=0.03)
+    for toxic in (True, False):
+        correlation = model.correlations(toxic)
+        assert correlation[2, 3] > 0.5 > abs(correlation[0, 1])
+    good, bad = np.array([0.8, 0.7, 0.6]), np.array([0.05, 0.1, 0.05])
+    chance = lambda rate: np.prod(np.where(votes[:, :3] > 0, rate, 1 - rate), axis=1)
+    best = 0.2 * chance(good) > 0.8 * chance(bad)  # the twin adds nothing to its original
+    assert ((q > 0.5) == y).mean() > (best == y).mean() - 0.01
+
+
+def plain_counts(text, induced):
+    """Votes of a text from their definition, one after another."""
+    words = plain_word_list(text)
+    out = [sum(w in entries.split() for w in words) for entries in toxicity.LEXICONS.values()]
+    for entries in toxicity.PHRASES.values():
+        out.append(sum(words[i : i + len(e.split())] == e.split() for e in entries for i in range(len(words))))
+    for stem, length, times in induced:
+        out.append(sum((w[:length] == stem and len(w) >= length) if length else w == stem for w in words) // times)
+    out.append(len(re.findall("(?<=!)!", text)))
+    upper, lower = len(re.findall("[A-Z]", text)), len(re.findall("[a-z]", text))
+    return [*out, int(upper >= 20 and upper > lower)]
+
+
+def test_votes_and_scores_equal_a_plain_version(spark):
+    rng = random.Random(5)
+    vocabulary = "You you IDIOT idiots shut up get LOST stupid kill plain wörds über Überall zorrible zorrow are pathetic rat! scum!! !!! a to go hell drop dead".split()
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(40))) for _ in range(120)] + ["", "A" * 30, "SHUT UP " * 9, "é" * 5000]
+    induced = [("zor", 3, 1), ("übe", 3, 2), ("plain", 0, 1), ("zorri", 5, 1)]
+    hashes = lambda stem, length: next(h for _, h in toxicity.stems(pa.array([stem]), (length,)))[0]
+    voters = toxicity.Voters([(length, int(hashes(stem, length)), times) for stem, length, times in induced])
+    counts, sizes = voters.counts(pa.array(texts))
+    wanted = [plain_counts(t, induced) for t in texts]
+    assert counts.tolist() == wanted and sizes.tolist() == [len(plain_word_list(t)) for t in texts]
+    weights = np.linspace(-1, 1, len(voters.names) + 2)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, voters, weights).collect()}
+    for i, (own, n) in enumerate(zip(wanted, sizes, strict=True)):
+        x = [min(math.log1p(c), 2) for c in own] + [min(20 * sum(own[:-2]) / max(n, 20), 2)]
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-sum(a * b for a, b in zip([*x, 1], weights, strict=True)))))
+
+
+def test_repeated_labels_are_averaged_and_null_ids_ignored(spark):
+    docs = spark.createDataFrame([(1, "one"), (1, "two"), (2, "three"), (None, "four"), (3, None), (4, "three")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (None, 1), (3, 1), (4, 0), (2, None)], "doc_id bigint, toxic int")
+    got = sorted((r["text"], r["toxic"]) for r in toxicity.labelled_sample(docs, labels).collect())
+    assert got == [("one", 0.5), ("three", 0.5), ("two", 0.5)]
 
 
 def test_held_out_quality(spark):
