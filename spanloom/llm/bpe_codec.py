@@ -2,8 +2,8 @@
 
 Pre-tokens are counted over all documents. The most frequent ones are compiled into a minimal acyclic automaton
 whose edges carry the number of words before them, so that the sum along a word's path is the word's place in
-the table of id outputs, and equal endings share states. The compiled arrays are one file that every worker maps
-into memory. A pre-token outside the lexicon is merged exactly by :class:`~spanloom.llm.bpe.Bpe`.
+the table of id outputs, and equal endings share states. The compiled arrays are one file in the shared folder, which
+Spark hands to every executor once and each Python worker maps into memory, so that workers share its pages. A pre-token outside the lexicon is merged exactly by :class:`~spanloom.llm.bpe.Bpe`.
 
 Defined cases: a null text is empty (0 ids, the hash of the empty string, an empty decoded text); repeated rows
 each give a row; an empty table gives no rows; other columns are ignored; words of any length are encoded whole.
@@ -15,19 +15,20 @@ from __future__ import annotations
 
 import hashlib
 import mmap
-import os
-import tempfile
+import uuid
+from collections import Counter
 from collections.abc import Iterator
 
-
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanloom.llm import bpe
-from spanloom.llm.common import column, filled, pick, slices
-from spanloom.storage import discard, materialize
+from spanloom.llm.common import bound_batches, column, filled, free_name, pick, slices
+from spanloom.storage import discard, materialize, shared_dir
 
 #: Words that the lexicon holds at most. The compiled file stays under 4 MB, whatever the corpus's size.
 LEXICON_WORDS = 32_768
@@ -45,14 +46,9 @@ SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 class Lexicon:
     """A minimal acyclic transducer from words to id sequences, as arrays in one memory-mapped file."""
 
-    def __init__(self, blob: bytes):
-        fd, path = tempfile.mkstemp(prefix="lexicon-")
-        try:
-            os.write(fd, blob)
-            self.map = mmap.mmap(fd, len(blob), access=mmap.ACCESS_READ)
-        finally:
-            os.close(fd)
-            os.unlink(path)  # the mapping outlives the name, so nothing stays behind
+    def __init__(self, path: str):
+        with open(path, "rb") as f:
+            self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         head = np.frombuffer(self.map, np.int64, 4)
         at, parts = 32, []
         for n in (head[0], head[0], head[0], head[1], head[2], head[3]):
@@ -158,8 +154,6 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(word, n) of every pre-token of every text; tasks add up before the exchange."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
         model, seen, words = bpe.load(tokenizer), Counter(), Counter()
         for batch in batches:
             for part in slices(batch):
@@ -196,45 +190,93 @@ def frequent_words(docs: DataFrame, tokenizer: str, most: int = LEXICON_WORDS) -
         left -= by_power.get(power, 0)
         power -= 1
     least = 1 << (power + 1)
-    if power >= 0:
-        low, high = 1 << power, 1 << (power + 1)  # words with n >= high fit
-        while high - low > 1:
-            mid = (low + high) // 2
-            if counts.where(F.col("n") >= mid).count() <= most:
-                high = mid
-            else:
-                low = mid
-        least = high
+    if power >= 0:  # every count of this power has a word, so that `left` counts and one more decide
+        inside = counts.where((F.col("n") >= 1 << power) & (F.col("n") < least)).groupBy("n").count()
+        for n, words_of in inside.orderBy(F.desc("n")).limit(left + 1).collect():
+            left -= words_of
+            if left < 0:
+                break
+            least = n
     words = [r[0] for r in counts.where(F.col("n") >= least).select("word").collect()]
     discard(counts)
     return sorted(words)
 
 
+def ship_lexicon(spark: SparkSession, words: list[str], tokenizer: str) -> str:
+    """Compile the lexicon into one file of the shared folder and hand it to all executors; returns its name."""
+    name = f"lexicon-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(compile_lexicon(words[:LEXICON_WORDS], bpe.load(tokenizer))))  # bounded by LEXICON_WORDS
+    out.close()
+    spark.sparkContext.addFile(path.toString())
+    return name
+
+
+_CODECS: dict[tuple[str, str], "Codec"] = {}
+
+
+def _codec(tokenizer: str, lexicon: str) -> "Codec":
+    """This worker's codec; it keeps the last one from task to task."""
+    if (tokenizer, lexicon) not in _CODECS:
+        _CODECS.clear()
+        _CODECS[tokenizer, lexicon] = Codec(bpe.load(tokenizer), Lexicon(SparkFiles.get(lexicon)))
+    return _CODECS[tokenizer, lexicon]
+
+
+def _coded(part: pa.RecordBatch, codec: Codec, with_ids: bool) -> Iterator[pa.Array]:
+    """n_tokens, the two hashes and, with ``with_ids``, the ids and the decoded text of each row."""
+    coded = codec.encode(filled(part).to_pylist())
+    yield pa.array([n for n, _, _ in coded], pa.int64())
+    for k in (1, 2):
+        yield pa.array([hashlib.sha256(x[k].encode()).hexdigest() for x in coded], pa.string())
+    if with_ids:
+        ends = np.cumsum([0, *(n for n, _, _ in coded)])
+        flat = np.array(" ".join([ids for n, ids, _ in coded if n]).split(), np.int32)
+        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        yield pa.array([x[2] for x in coded], pa.string())
+
+
 def encode(docs: DataFrame, tokenizer: str, words: list[str] | None = None, with_ids: bool = False) -> DataFrame:
     """Every whole text as token ids and back.
 
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``with_ids`` also ids array<int> and decoded.
     ``words``: the lexicon; None compiles the frequent words of ``docs``.
     """
-    spark = docs.sparkSession
     words = frequent_words(docs, tokenizer) if words is None else words
-    blob = spark.sparkContext.broadcast(compile_lexicon(words[:LEXICON_WORDS], bpe.load(tokenizer)))  # bounded by LEXICON_WORDS
+    lexicon = ship_lexicon(docs.sparkSession, words, tokenizer)
     schema = SCHEMA + (", ids array<int>, decoded string" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(bpe.load(tokenizer), Lexicon(blob.value))
+        codec = _codec(tokenizer, lexicon)
         for batch in batches:
             for part in slices(batch, most=ENCODED_BYTES):
-                coded = codec.encode(filled(part).to_pylist())
-                out = [column(part, "doc_id"), pa.array([n for n, _, _ in coded], pa.int64())]
-                out += [pa.array([hashlib.sha256(x[k].encode()).hexdigest() for x in coded], pa.string()) for k in (1, 2)]
-                if with_ids:
-                    out += [pa.array([[int(i) for i in x[1].split()] for x in coded], pa.list_(pa.int32())), pa.array([x[2] for x in coded], pa.string())]
-                yield pa.RecordBatch.from_arrays(out, [c.split()[0] for c in schema.split(", ")])
+                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), *_coded(part, codec, with_ids)], [c.split()[0] for c in schema.split(", ")])
 
     return pick(docs, "doc_id", "text").mapInArrow(run, schema)
 
 
+def with_tokens(docs: DataFrame, tokenizer: str, words: list[str] | None = None) -> DataFrame:
+    """The documents with all their columns and, after them, n_tokens, ids_sha256, decoded_sha256 and ids array<int>.
+
+    A name that the documents hold already gets an underscore.
+    """
+    words = frequent_words(docs, tokenizer) if words is None else words
+    lexicon = ship_lexicon(docs.sparkSession, words, tokenizer)
+    kinds = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType(), "ids": T.ArrayType(T.IntegerType())}
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(free_name(docs, n), k) for n, k in kinds.items())])
+    bound_batches(docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(tokenizer, lexicon)
+        for batch in batches:
+            for part in slices(batch, most=ENCODED_BYTES):
+                *coded, _ = _coded(part, codec, True)
+                yield pa.RecordBatch.from_arrays([*part.columns, *coded], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 _REMEMBERED: dict[int, tuple[dict, dict]] = {}
 
 

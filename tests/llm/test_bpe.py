@@ -26,21 +26,27 @@ def test_counts_equal_the_library():
     assert got == [len(x.ids) for x in library.encode_batch(texts(), add_special_tokens=False)]
 
 
-def test_codec_equals_the_library_with_and_without_a_lexicon():
+def lexicon_of(words, model, folder):
+    path = folder / "lexicon"
+    path.write_bytes(bpe_codec.compile_lexicon(words, model))
+    return bpe_codec.Lexicon(str(path))
+
+
+def test_codec_equals_the_library_with_and_without_a_lexicon(tmp_path):
     library, model = Tokenizer.from_file(WORD), bpe.load(WORD)
     for words in ([], ["don", "'t", "we", "ab", "cd", "aab", "tin"]):
         bpe_codec._REMEMBERED.clear()
-        codec = bpe_codec.Codec(model, bpe_codec.Lexicon(bpe_codec.compile_lexicon(words, model)))
+        codec = bpe_codec.Codec(model, lexicon_of(words, model, tmp_path))
         for text, (n, ids, decoded) in zip(texts(), codec.encode(texts()), strict=True):
             own = library.encode(text, add_special_tokens=False).ids
             assert (n, ids) == (len(own), " ".join(map(str, own)))
             assert decoded == library.decode(own, skip_special_tokens=False)
 
 
-def test_lexicon_is_minimal_and_exact():
+def test_lexicon_is_minimal_and_exact(tmp_path):
     model = bpe.load(WORD)
     words = ["walking", "talking", "walked", "talked", "walk", "talk", "é"]
-    lexicon = bpe_codec.Lexicon(bpe_codec.compile_lexicon(words, model))
+    lexicon = lexicon_of(words, model, tmp_path)
     found = lexicon.find([w.encode() for w in [*words, "wal", "walkings", ""]])
     assert sorted(found[:7]) == list(range(7)) and (found[7:] == -1).all()
     for w, k in zip(words, found, strict=False):
@@ -66,6 +72,15 @@ def test_odd_rows(odd_docs, no_docs):
     assert bpe_codec.encode(no_docs, WORD).count() == 0 and token_counts.count_tokens(no_docs, BYTE).count() == 0
 
 
+def test_tokens_stand_beside_all_columns(spark, odd_docs):
+    docs = odd_docs.selectExpr("*", "7 as ids")
+    rows = bpe_codec.with_tokens(docs, WORD, ["cat"]).collect()
+    assert list(rows[0].asDict()) == [*docs.columns, "n_tokens", "ids_sha256", "decoded_sha256", "ids_"] and len(rows) == 9
+    library = Tokenizer.from_file(WORD)
+    for r in rows:
+        assert r["ids_"] == library.encode(r["text"] or "", add_special_tokens=False).ids and r["n_tokens"] == len(r["ids_"]) and r["ids"] == 7
+
+
 @pytest.mark.parametrize("most", [1, 3])
 def test_frequent_words_keep_ties_together(spark, most):
     docs = spark.createDataFrame([(1, "b b b a a c c"), (2, "b")], "doc_id bigint, text string")

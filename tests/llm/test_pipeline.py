@@ -19,9 +19,10 @@ def test_stages_equal_a_plain_version(spark, sf):
     for d in kept - dirty:
         text = rows[d]["text"] or ""
         masked = secret_scan.redact(text, secret_scan.find(text)[1])
-        expected[d] = len(model.library.encode(masked, add_special_tokens=False).ids)
-    got = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.run(spark, sf).collect()}
-    assert got == expected
+        expected[d] = (masked, rows[d]["lang"], rows[d]["source"], model.library.encode(masked, add_special_tokens=False).ids)
+    done = corpus_pipeline.run(spark, sf)
+    assert done.columns == [*docs.columns, "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    assert {r["doc_id"]: (r["text"], r["lang"], r["source"], r["ids"]) for r in done.collect()} == expected
 
 
 def test_stages_keep_the_columns(spark, sf, odd_docs, tmp_path):
