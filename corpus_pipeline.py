@@ -4,10 +4,14 @@
 2. One document of each group of near copies stays.
 3. Documents that hold a benchmark item go.
 4. Secrets are masked in the texts.
-5. Texts become tokens: counts and hashes of ids and of the decoded text.
+5. Texts become tokens: ids, their count, and hashes of ids and of the decoded text, beside all other columns.
 
-Every stage takes all rows that its predecessor kept, handles null and empty texts as its operator documents, and
-passes other columns on as they are.
+Every stage takes all rows that its predecessor kept and passes other columns on as they are.
+
+Defined cases: a null text, or one without a letter, has no language and goes in stage 1, as an empty one does; texts
+of any length are read whole; of repeated rows and of equal texts one row stays, that of the least doc_id (ties stay
+one row); an empty table gives no rows; columns that documents do not have pass through all stages, and where one
+bears the name of a new column of the last stage, the new one gets an underscore.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_codec.encode(docs, bpe.tokenizer_path("word_bpe_49k.json"))
+    return bpe_codec.with_tokens(docs, bpe.tokenizer_path("word_bpe_49k.json"))
 
 
 STAGES = [
