@@ -8,7 +8,8 @@ Profiles are learned from at most SAMPLE labelled documents, taken by a hash of
 learning part. Predictions read whole texts.
 
 Defined cases: a null text, an empty one and one without letters give `und` with score 0; equal distances go to
-the language that sorts first; repeated rows each give a row; an empty table gives no rows; without any labelled
+the language that sorts first; equal counts rank by the n-gram; repeated rows each give a row; texts of any length are
+read whole; an empty table gives no rows; without any labelled
 row everything is `und`; a null doc_id is never learned from nor held out; other columns are ignored.
 """
 
@@ -30,30 +31,34 @@ RANKS = 300
 SAMPLE = 20_000
 UNKNOWN = "und"
 SCHEMA = "doc_id bigint, lang_pred string, score double"
-_DOC = np.uint64(48)
+#: Bits of a letter and of an n-gram of three; the other ten of a key number the texts that are ranked together.
+_LETTER, _DOC = np.uint64(18), np.uint64(54)
+_GRAM = np.uint64((1 << 54) - 1)
+_TEXTS = 1 << 10
 _TABLE: list[np.ndarray] = []
 
 
 def _letters() -> np.ndarray:
-    """Of each code point the 16-bit letter that stands for it, 1 for what is no letter."""
+    """Of each code point its number among the letters, from 2 and in their order; 1 for what is no letter."""
     if not _TABLE:
-        code = np.arange(0x110000, dtype=np.uint32)
         letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
-        short = np.where(code < 0x10000, code, 0xE000 + code % 0x1900).astype(np.uint16)
-        _TABLE.append(np.where(letter, short, 1).astype(np.uint16))
+        _TABLE.append(np.where(letter, np.cumsum(letter) + 1, 1).astype(np.uint32))
     return _TABLE[0]
 
 
 def ranked_grams(texts: pa.Array, most: int = RANKS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, n-gram, count, rank from 0) of the most frequent n-grams of each text, by document and rank."""
+    if len(texts) > _TEXTS:
+        parts = [ranked_grams(texts.slice(at, _TEXTS), most) for at in range(0, len(texts), _TEXTS)]
+        return tuple(np.concatenate([p[k] + (i * _TEXTS if k == 0 else 0) for i, p in enumerate(parts)]) for k in range(4))
     low = pc.utf8_lower(texts)
     sizes = np.asarray(pc.utf8_length(low)) + 1
     points = np.frombuffer(("\n" + "\n".join(low.to_pylist()) + "\n").encode("utf-32-le"), np.uint32)
     m = _letters()[points].astype(np.uint64)
     doc = np.concatenate([[0], np.repeat(np.arange(len(sizes)), sizes)]).astype(np.uint64) << _DOC
     is_letter = m > 1
-    two = (m[:-1] << np.uint64(16)) | m[1:]
-    three = (two[:-1] << np.uint64(16)) | m[2:]
+    two = (m[:-1] << _LETTER) | m[1:]
+    three = (two[:-1] << _LETTER) | m[2:]
     either = is_letter[:-1] | is_letter[1:]
     home = np.where(is_letter[:-1], doc[:-1], doc[1:])
     keys = np.concatenate([(doc | m)[is_letter], (home | two)[either], (doc[1:-1] | three)[is_letter[1:-1]]])
@@ -63,7 +68,7 @@ def ranked_grams(texts: pa.Array, most: int = RANKS) -> tuple[np.ndarray, np.nda
     keys = keys[at]
     whose = (keys >> _DOC).astype(np.int64)
     if len(keys) < 1 << 24 and (not len(keys) or counts.max() < 1 << 24):
-        packed = (whose.astype(np.uint64) << _DOC) | ((np.uint64((1 << 24) - 1) - counts.astype(np.uint64)) << np.uint64(24)) | np.arange(len(keys), dtype=np.uint64)
+        packed = (whose.astype(np.uint64) << np.uint64(48)) | ((np.uint64((1 << 24) - 1) - counts.astype(np.uint64)) << np.uint64(24)) | np.arange(len(keys), dtype=np.uint64)
         packed.sort()
         order = (packed & np.uint64((1 << 24) - 1)).astype(np.int64)
     else:
@@ -72,7 +77,7 @@ def ranked_grams(texts: pa.Array, most: int = RANKS) -> tuple[np.ndarray, np.nda
     rank = np.arange(len(order)) - np.searchsorted(whose, whose)
     kept = rank < most
     order = order[kept]
-    return whose[kept], keys[order] & np.uint64((1 << 48) - 1), counts[order], rank[kept]
+    return whose[kept], keys[order] & _GRAM, counts[order], rank[kept]
 
 
 def learn_profiles(labelled: DataFrame, sample: int = SAMPLE, ranks: int = RANKS) -> dict[str, list[int]]:
@@ -87,11 +92,13 @@ def learn_profiles(labelled: DataFrame, sample: int = SAMPLE, ranks: int = RANKS
             for part in slices(batch):
                 langs = column(part, "lang").dictionary_encode()
                 whose, grams, counts, _ = ranked_grams(filled(part), most=1 << 62)
-                code = np.asarray(langs.indices)[whose].astype(np.uint64) << _DOC | grams
-                keys, place = np.unique(code, return_inverse=True)
-                sums = np.bincount(place, counts, len(keys)).astype(np.int64)
-                names = langs.dictionary.take(pa.array((keys >> _DOC).astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([names, pa.array((keys & np.uint64((1 << 48) - 1)).astype(np.int64)), pa.array(sums)], ["lang", "gram", "n"])
+                lang = np.asarray(langs.indices)[whose]
+                order = np.lexsort((grams, lang))
+                lang, grams, counts = lang[order], grams[order], counts[order]
+                fresh = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (lang[1:] != lang[:-1])])) if len(order) else np.zeros(0, np.int64)
+                sums = np.add.reduceat(counts, fresh).astype(np.int64) if len(fresh) else np.zeros(0, np.int64)
+                names = langs.dictionary.take(pa.array(lang[fresh]))
+                yield pa.RecordBatch.from_arrays([names, pa.array(grams[fresh].astype(np.int64)), pa.array(sums)], ["lang", "gram", "n"])
 
     summed = rows.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = [F.desc("n"), "gram"]

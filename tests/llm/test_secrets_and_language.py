@@ -6,7 +6,9 @@ import gzip
 import lzma
 import re
 import zlib
+from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from spanloom.llm import language_id, secret_scan
@@ -135,40 +137,53 @@ def test_scan_of_odd_rows(odd_docs, no_docs):
     assert out.columns == odd_docs.columns and sorted(map(str, out.collect())) == sorted(map(str, odd_docs.collect()))
 
 
-def brute_language(text, profiles, ranks):
-    """Rank-order profiles in plain Python."""
-    from collections import Counter
-
-    low = (text or "").lower()
+def plain_grams(text):
+    """Counts of the n-grams of a text, which sort as their letters do, shorter ones first."""
     counts: Counter = Counter()
-    for word in re.findall(r"[^\W\d_]+", low):
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    for word in words:
         padded = f"\x01{word}\x01"
         for n in (1, 2, 3):
             for i in range(len(padded) - n + 1):
                 gram = padded[i : i + n]
-                if n == 1 and gram == "\x01":
-                    continue
-                code = 0
-                for c in gram:
-                    code = code << 16 | ord(c)
-                counts[code] += 1
-    order = [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))][:ranks]
+                if gram != "\x01":
+                    counts[(n, gram)] += 1
+    return counts
+
+
+def ranking(counts):
+    return {g: r for r, (g, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: language_id.RANKS])}
+
+
+def plain_language(text, profiles):
+    """Rank-order profiles in plain Python."""
+    order, most = ranking(plain_grams(text)), language_id.RANKS
     if not order:
         return "und", 0.0
-    far = {lang: sum(abs(p.index(g) - r) if g in p else ranks for r, g in enumerate(order)) for lang, p in profiles.items()}
+    far = {lang: sum(abs(p[g] - r) if g in p else most for g, r in order.items()) for lang, p in profiles.items()}
     best = min(sorted(far), key=far.get)
-    return best, 1 - far[best] / (len(order) * ranks)
+    return best, 1 - far[best] / (len(order) * most)
 
 
-def test_language_equals_brute_force(spark, sf):
+def test_languages_equal_a_plain_version(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    profiles = language_id.learn_profiles(docs.where(language_id.remainder("doc_id", 4) != 2))
-    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, profiles).collect()}
-    for r in docs.limit(60).collect():
-        lang, score = brute_language(r["text"], profiles, language_id.RANKS)
-        assert got[r["doc_id"]][0] == lang and got[r["doc_id"]][1] == pytest.approx(score)
-    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
-    assert sum(got[d][0] == lang for d, lang in truth.items()) / len(truth) > 0.95
+    rows, learned = docs.select("doc_id", "text", "lang").collect(), defaultdict(Counter)
+    for r in rows:
+        if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["lang"] is not None:
+            learned[r["lang"]] += plain_grams(r["text"])
+    profiles = {lang: ranking(counts) for lang, counts in learned.items()}
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.op10_language_id(spark, sf).collect()}
+    for r in rows:
+        lang, score = plain_language(r["text"], profiles)
+        assert got[r["doc_id"]] == (lang, pytest.approx(score))
+    assert sum(got[r["doc_id"]][0] == r["lang"] for r in rows) / len(rows) > 0.95
+
+
+def test_letters_of_all_planes_are_told_apart():
+    texts = pa.array([chr(0x20000) * 3, chr(0x21900) * 3, "ab", ""] * 600)
+    whose, grams, _, _ = language_id.ranked_grams(texts)
+    of = [set(grams[whose == i].tolist()) for i in range(len(texts))]
+    assert not of[0] & of[1] and len(of[0]) == 7 and of[0] == of[2396] and of[3] == set() and len(of[2]) == 7
 
 
 def test_language_of_odd_rows(odd_docs, no_docs):
