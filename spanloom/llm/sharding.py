@@ -10,12 +10,14 @@ wherever the bytes ask for it. Then one range exchange orders the rows, and slot
 The law is `bytes`: shard sizes differ from the mean by no more than the tolerance and one row (or the rows of one
 key, where several rows are equal in text and doc_id).
 Defined cases: a null text has no bytes (size 1, crc32 0); repeated rows are rows of their own, in any order among
-themselves, in one shard; rows without doc_id come first within their text; an empty table gives no rows; other columns are
+themselves, in one shard; rows without doc_id come first within their text; any long is a doc_id; a
+text of any length is a row, and cannot be cut; an empty table gives no rows; other columns are
 ignored.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -46,13 +48,15 @@ def _splitters(rows: DataFrame, total: int, shards: int) -> list[tuple[int, int
         cases: Column | None = None
         for i, (at, low, high, _) in enumerate(spans):
             key, width = F.col("hash") if at is None else F.col("id"), max(1, -(-(high - low + 1) // PROBES))
-            inside = key.between(low, high) if at is None else (F.col("hash") == at) & key.between(low, high)
-            step = F.expr(f"{i * PROBES} + ({'hash' if at is None else 'id'} - {low}L) div {width}L")
+            inside = key.between(low, high) if at is None else (F.col("hash") == at) & key.between(F.lit(Decimal(low)), F.lit(Decimal(high)))
+            low_, width_ = (f"{low}L", f"{width}L") if at is None else (f"{low}BD", f"{width}BD")
+            step = F.expr(f"{i * PROBES} + ({'hash' if at is None else 'id'} - ({low_})) div {width_}")
             cases = F.when(inside, step.cast("int")) if cases is None else cases.when(inside, step.cast("int"))
         counted = rows.select(cases.alias("step"), "hash", "id", "size").where("step is not null").groupBy("step").agg(F.sum("size").alias("bytes"), F.min("hash").alias("h0"), F.max("hash").alias("h1"), F.min("id").alias("i0"), F.max("id").alias("i1"))
         steps: dict[int, list] = {}
         for r in sorted(counted.collect(), key=lambda r: r["step"]):  # at most PROBES rows a boundary
-            steps.setdefault(r["step"] // PROBES, []).append(r)
+            own = r.asDict()
+            steps.setdefault(r["step"] // PROBES, []).append(own | {"i0": int(own["i0"]), "i1": int(own["i1"])})
         following: dict[tuple, list[int]] = {}
         for i, span in enumerate(spans):
             at, _, _, below = span
@@ -80,7 +84,7 @@ def _splitters(rows: DataFrame, total: int, shards: int) -> list[tuple[int, int
 
 def _shard(splitters: list[tuple[int, int | None]]) -> Column:
     """The number of boundaries at or below a row's key."""
-    ones = [((F.col("hash") > h) | ((F.col("hash") == h) & (F.col("id") >= i) if i is not None else F.col("hash") == h)).cast("int") for h, i in splitters]
+    ones = [((F.col("hash") > h) | ((F.col("hash") == h) & (F.col("id") >= F.lit(Decimal(i))) if i is not None else F.col("hash") == h)).cast("int") for h, i in splitters]
     return reduce(lambda a, b: a + b, ones, F.lit(0))
 
 
@@ -88,13 +92,13 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
-    # 61 bits of the hash, so that differences of two keys stay within a long; doc_id must lie within 62 bits
+    # 61 bits of the hash, so that differences of two keys stay within a long; ids as decimals, null below every long
     rows = pick(docs, "doc_id", "text").select(
         "doc_id",
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.shiftrightunsigned(F.xxhash64(text), 3).alias("hash"),
-        F.coalesce("doc_id", F.lit(-1)).alias("id"),
+        F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(Decimal(-(1 << 63) - 1))).cast("decimal(20,0)").alias("id"),
     )
     rows = materialize(rows, "shard-keys")
     total, count = rows.agg(F.sum("size"), F.count("*")).first()

@@ -43,9 +43,17 @@ def test_a_third_of_all_rows_is_one_text(spark):
     assert len({r["shard"] for r in rows if r["doc_id"] % 3 == 0}) > 1
 
 
+def test_any_long_is_an_id(spark):
+    ids = [None, -1, -5, 0, 7, (1 << 63) - 1, -(1 << 63), 1 << 62, -(1 << 62), None] * 30
+    texts = [(d, "one text that all the rows share") for d in ids]
+    rows = sharding.assign(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+    check_shards(rows, texts)
+    order = [r["doc_id"] for r in sorted(rows, key=lambda r: (r["shard"], r["slot"]))]
+    assert order == sorted(order, key=lambda d: -(1 << 64) if d is None else d)
+
+
 def test_odd_rows(odd_docs, no_docs):
-    small = odd_docs.where("doc_id is null or doc_id <> 6")
-    check_shards(sharding.assign(small).collect(), [(r["doc_id"], r["text"]) for r in small.collect()])
+    check_shards(sharding.assign(odd_docs).collect(), [(r["doc_id"], r["text"]) for r in odd_docs.collect()])
     assert sharding.assign(no_docs).count() == 0
     assert sharding.assign(odd_docs.where("doc_id = 3")).count() == 2
 
