@@ -28,24 +28,50 @@ def block(papers: DataFrame, key: str, title: str) -> DataFrame:
     return left.join(right, "b").where("i < j").select("i", "j").distinct()  # at most BUCKET_MAX rows a bucket
 
 
-def verdict(same_doi: Column, title: Column, abstract: Column, author: Column, gap: Column, numbers_differ: Column) -> Column:
-    """C11: merge, review or separate; every merge but an equal DOI needs two signals."""
-    unsure = F.when(title >= REVIEW_FLOOR, "review").otherwise("separate")
-    merged = (abstract >= ABSTRACT_ALONE) | ((title >= TITLE_STRONG) & (abstract >= ABSTRACT_WITH_TITLE)) | ((title >= TITLE_GOOD) & (author >= AUTHORS_WITH_TITLE) & (abstract >= ABSTRACT_WITH_BOTH))
-    return F.when(same_doi, "merge").when(gap > MAX_YEAR_GAP, unsure).when(numbers_differ & (abstract < ABSTRACT_ALONE), unsure).when(merged, "merge").otherwise(unsure)
+def verdict(same_doi: Column, title: Column, abstract: Column, author: Column, gap: Column, numbers_differ: Column) -> tuple[Column, Column]:
+    """C11: (merge, review or separate; why). Every merge but that of an equal DOI needs two signals."""
+    close, says = title >= REVIEW_FLOOR, lambda c: F.format_string("%.2f", c)
+    both, three = (title >= TITLE_STRONG) & (abstract >= ABSTRACT_WITH_TITLE), (title >= TITLE_GOOD) & (author >= AUTHORS_WITH_TITLE) & (abstract >= ABSTRACT_WITH_BOTH)
+    far, series = gap > MAX_YEAR_GAP, numbers_differ & (abstract < ABSTRACT_ALONE)
+    merges = same_doi | (~far & ~series & ((abstract >= ABSTRACT_ALONE) | both | three))
+    reason = (
+        F.when(same_doi, "identical DOI")
+        .when(far & close, "years too far apart")
+        .when(series & close & ~far, "titles differ by a number")
+        .when(far | series, "")
+        .when(abstract >= ABSTRACT_ALONE, F.concat(F.lit("abstract "), says(abstract)))
+        .when(both, F.concat(F.lit("title "), says(title), F.lit(" + abstract "), says(abstract)))
+        .when(three, F.concat(F.lit("title "), says(title), F.lit(" + authors "), says(author), F.lit(" + abstract "), says(abstract)))
+        .when(close, "close, not confirmed")
+        .otherwise("")
+    )
+    return F.when(merges, "merge").when(close, "review").otherwise("separate"), reason
 
 
-def score(pairs: DataFrame, papers: DataFrame, key: str, title: str, abstract: str) -> DataFrame:
-    """Title and abstract overlap of each pair above the title floor."""
+def score(pairs: DataFrame, papers: DataFrame, key: str) -> DataFrame:
+    """The signals of each pair above the title floor. papers: key, title, abstract, doi, surnames array, year.
+
+    Overlaps are Jaccard shares, 0 where a side is empty; an unknown year makes the gap 99; an empty DOI equals none.
+    """
 
     def side(k: str) -> DataFrame:
-        words, every = title_tokens(F.col(title)), title_tokens(F.col(abstract), stop=[""])  # abstracts keep all words
-        digits = F.array_sort(F.array_distinct(F.regexp_extract_all(F.col(title), F.lit("[0-9]+"), 0)))
-        return papers.select(F.col(key).alias(k), words.alias(f"t_{k}"), every.alias(f"a_{k}"), digits.alias(f"n_{k}"))
+        digits = F.array_sort(F.array_distinct(F.regexp_extract_all(F.col("title"), F.lit("[0-9]+"), 0)))
+        doi = F.trim(F.replace(F.lower(F.coalesce("doi", F.lit(""))), F.lit("https://doi.org/"), F.lit("")))
+        every = title_tokens(F.col("abstract"), stop=[""])  # abstracts keep all words
+        fields = {"t": title_tokens(F.col("title")), "a": every, "n": digits, "d": doi, "s": F.array_distinct("surnames"), "y": F.col("year")}
+        return papers.select(F.col(key).alias(k), *[c.alias(f"{n}_{k}") for n, c in fields.items()])
+
+    share = lambda n: overlap_share(F.col(f"{n}_i"), F.col(f"{n}_j"))
+    both = pairs.join(side("i"), "i").join(side("j"), "j").withColumn("title", share("t")).where(F.col("title") >= TITLE_FLOOR)
+    gap = F.coalesce(F.abs(F.col("y_i") - F.col("y_j")), F.lit(99))
+    same_doi = (F.col("d_i") == F.col("d_j")) & (F.col("d_i") != "")
+    return both.select("i", "j", "title", share("a").alias("abstract"), share("s").alias("author"), gap.alias("gap"), (F.col("n_i") != F.col("n_j")).alias("numbers_differ"), same_doi.alias("same_doi"))
+
 
-    both = pairs.join(side("i"), "i").join(side("j"), "j")
-    scored = both.select("i", "j", overlap_share(F.col("t_i"), F.col("t_j")).alias("title"), overlap_share(F.col("a_i"), F.col("a_j")).alias("abstract"), (F.col("n_i") != F.col("n_j")).alias("numbers_differ"))
-    return scored.where(F.col("title") >= TITLE_FLOOR)
+def decide(scored: DataFrame) -> DataFrame:
+    """Scored pairs with their decision and why."""
+    decision, why = verdict(*[F.col(c) for c in ("same_doi", "title", "abstract", "author", "gap", "numbers_differ")])
+    return scored.withColumns({"decision": decision, "why": why})
 
 
 def families(merges: DataFrame, papers: DataFrame, key: str) -> DataFrame:

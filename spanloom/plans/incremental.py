@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.operators.ranks import placed
 from spanloom.plans.base import query, read
 from spanloom.sources import readers, writers
 from spanloom.streaming import ingest
@@ -102,11 +103,12 @@ def split_folders(spark: Spark, sf: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out").groupBy("split").agg(F.count("*").alias("n"))
 
 
-@query("master_order", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 30")
+@query("master_order", "SELECT o_orderkey, o_orderdate, CAST(row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS BIGINT) AS place FROM orders")
 def master_order(spark: Spark, sf: str) -> DataFrame:
-    """Parts merged, the newest first; the first thirty are the report."""
+    """All parts merged, the newest first, with each row's place."""
     orders = read(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return writers.merged_master([orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 = 1")], "o_orderdate", "o_orderkey").limit(30)
+    halves = [orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 = 1")]
+    return placed(writers.merged(halves), [], [F.desc_nulls_last("o_orderdate"), F.col("o_orderkey")])
 
 
 @query("source_filter", "SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority = '1-URGENT' AND o_totalprice BETWEEN 1000 AND 200000")

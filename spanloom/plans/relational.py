@@ -203,10 +203,10 @@ def decision_rule(spark: Spark, sf: str) -> DataFrame:
     return rows.select("p_partkey", total.alias("total"), rules.decide(F.col("hard"), F.lit("direct"), F.col("c"), F.col("d"), total).alias("rule"), rules.decide_production(F.col("hard"), F.col("said"), F.col("c"), F.col("d"), total).alias("production"))
 
 
-@query("tier_projection", "SELECT doc_id, CASE WHEN source IN ('src0', 'src1') THEN NULL ELSE left(text, 80) END AS quote FROM documents")
+@query("tier_projection", "SELECT doc_id, CASE WHEN source IN ('src0', 'src1') THEN NULL ELSE text END AS quote FROM documents")
 def tier_projection(spark: Spark, sf: str) -> DataFrame:
     """P25"""
-    return read(spark, sf, "documents").select("doc_id", F.when(~F.col("source").isin("src0", "src1"), F.left("text", F.lit(80))).alias("quote"))
+    return read(spark, sf, "documents").select("doc_id", F.when(~F.col("source").isin("src0", "src1"), F.col("text")).alias("quote"))
 
 
 @query("safety_route", "SELECT conv_id, turn, contains(lower(text), 'moron') OR contains(lower(text), 'password') AS safety FROM conversations")

@@ -124,15 +124,15 @@ def entity_rank(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "phrase_matches",
-    """WITH p AS (SELECT item_id, list_slice(regexp_extract_all(lower(text), '[a-z0-9]+'), 1, 4) AS w FROM benchmark),
+    """WITH p AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM benchmark),
     q AS (SELECT item_id, ' ' || array_to_string(w, ' ') || ' ' AS wanted FROM p WHERE len(w) > 0),
     d AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+'), ' ') || ' ' AS held FROM documents)
     SELECT doc_id, item_id FROM d JOIN q ON contains(held, wanted)""",
 )
 def phrase_matches(spark: SparkSession, sf: str) -> DataFrame:
-    """The first four words of every benchmark item as a phrase."""
+    """Every benchmark item, whole, as a phrase."""
     docs, bench = read(spark, sf, "documents", "benchmark")
-    phrases = bench.select("item_id", F.array_join(F.slice(T.words(F.col("text")), 1, 4), " ").alias("phrase"))
+    phrases = bench.select("item_id", F.array_join(T.words(F.col("text")), " ").alias("phrase"))
     return S.phrase_matches(docs, phrases, "doc_id", "text", "item_id", "phrase")
 
 

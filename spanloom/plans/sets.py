@@ -65,11 +65,11 @@ def ordered_unique(spark: Spark, sf: str) -> DataFrame:
     return read(spark, sf, "benchmark").select("item_id", F.array_join(F.array_distinct(T.words(F.col("text"))), " ").alias("words"))
 
 
-@query("span_dedupe", "SELECT source, page, quote, min(doc_id) AS first_doc FROM (SELECT source, doc_id, CAST(doc_id % 3 AS VARCHAR) AS page, left(text, 30) AS quote FROM documents) GROUP BY ALL")
+@query("span_dedupe", "SELECT source, page, quote, min(doc_id) AS first_doc FROM (SELECT source, doc_id, CAST(doc_id % 3 AS VARCHAR) AS page, text AS quote FROM documents) GROUP BY ALL")
 def span_dedupe(spark: Spark, sf: str) -> DataFrame:
     """A page of "3.0" is page "3"."""
     page = F.regexp_replace((F.col("doc_id") % 3).cast("double").cast("string"), r"^(\d+)\.0+$", "$1")
-    return read(spark, sf, "documents").groupBy("source", page.alias("page"), F.left("text", F.lit(30)).alias("quote")).agg(F.min("doc_id").alias("first_doc"))
+    return read(spark, sf, "documents").groupBy("source", page.alias("page"), F.col("text").alias("quote")).agg(F.min("doc_id").alias("first_doc"))
 
 
 _LANES = "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'evaluate' ELSE 'test' END AS split, md5(text) AS k FROM documents"
@@ -114,57 +114,59 @@ def id_collisions(spark: Spark, sf: str) -> DataFrame:
     return rows.groupBy("k").agg(F.countDistinct("h").alias("records")).where("records > 1")
 
 
-@query(
-    "components",
-    """WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS a, o_custkey // 4 AS b FROM orders WHERE o_custkey % 5 <> 0), s AS (SELECT a AS u, b AS v FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b), r(u, v) AS (SELECT u, v FROM s UNION SELECT r.u, s.v FROM r JOIN s ON r.v = s.u)
-    SELECT u AS node, least(u, min(v)) AS component FROM r GROUP BY u""",
-)
+@query("components")
 def components(spark: Spark, sf: str) -> DataFrame:
-    """U12 U13 U14"""
-    edges = read(spark, sf, "orders").where("o_custkey % 5 <> 0").select(F.col("o_custkey").alias("a"), F.floor(F.col("o_custkey") / 4).alias("b")).distinct()
-    return connected_components(edges.where("a <> b"))
-
-
-@query("components_whole")
-def components_whole(spark: Spark, sf: str) -> DataFrame:
     """Over all orders, where one component holds every node; too slow in recursive SQL."""
     edges = read(spark, sf, "orders").select(F.col("o_custkey").alias("a"), F.floor(F.col("o_custkey") / 4).alias("b")).distinct()
     return connected_components(edges.where("a <> b"))
 
 
-_TITLE = "list_sort(list_distinct(list_filter(regexp_extract_all(lower(p_name || ' ' || p_brand || p_size), '[a-z0-9]+'), lambda w: length(w) > 2)))"
-_PAIRS = f"""WITH t AS (SELECT p_partkey AS k, {_TITLE} AS w, list_sort(list_distinct(regexp_extract_all(p_name || ' ' || p_brand || p_size, '[0-9]+'))) AS n FROM part),
+_WORDS = "list_sort(list_distinct(list_filter(regexp_extract_all(lower({}), '[a-z0-9]+'), lambda w: length(w) > 2)))"
+_SHARE = "CASE WHEN len({0}) = 0 OR len({1}) = 0 THEN 0.0 ELSE len(list_intersect({0}, {1})) / len(list_distinct(list_concat({0}, {1}))) END"
+#: Parts as papers: the name, brand and size are the title, the name and type the abstract, equal prices an equal DOI.
+_PAIRS = f"""WITH t AS (SELECT p_partkey AS k, {_WORDS.format("p_name || ' ' || p_brand || p_size")} AS w, {_WORDS.format("p_name || ' ' || p_type")} AS a, list_sort(list_distinct(regexp_extract_all(p_name || ' ' || p_brand || p_size, '[0-9]+'))) AS n, CAST(p_retailprice AS VARCHAR) AS d, list_distinct([p_type, p_brand]) AS s, 1990 + p_size // 4 AS y FROM part),
 singles AS (SELECT k, 'w ' || unnest(w) AS b FROM t), wholes AS (SELECT k, 't ' || array_to_string(w, ' ') AS b FROM t WHERE len(w) > 0),
 ok AS (SELECT b FROM singles GROUP BY b HAVING count(*) BETWEEN 2 AND 40 UNION ALL SELECT b FROM wholes GROUP BY b HAVING count(*) BETWEEN 2 AND 60),
 rows AS (SELECT * FROM (SELECT * FROM singles UNION ALL SELECT * FROM wholes) SEMI JOIN ok USING (b)),
 pairs AS (SELECT DISTINCT x.k AS i, y.k AS j FROM rows x JOIN rows y ON x.b = y.b AND x.k < y.k),
-s AS (SELECT i, j, len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) AS title, a.n <> b.n AS numbers_differ FROM pairs JOIN t a ON a.k = i JOIN t b ON b.k = j),
-v AS (SELECT i, j, round(title, 6) AS title, CASE WHEN numbers_differ AND title < 0.85 THEN CASE WHEN title >= 0.72 THEN 'review' ELSE 'separate' END WHEN title >= 0.85 OR (title >= 0.9 AND title >= 0.6) THEN 'merge' WHEN title >= 0.72 THEN 'review' ELSE 'separate' END AS decision FROM s WHERE title >= 0.55)"""
+s AS (SELECT i, j, {_SHARE.format("p.w", "q.w")} AS title, {_SHARE.format("p.a", "q.a")} AS abstract, {_SHARE.format("p.s", "q.s")} AS author, abs(p.y - q.y) AS gap, p.n <> q.n AS differ, p.d = q.d AS same FROM pairs JOIN t p ON p.k = i JOIN t q ON q.k = j),
+v AS (SELECT i, j, round(title, 6) AS title, CASE WHEN same THEN 'merge' WHEN gap > 6 OR (differ AND abstract < 0.85) THEN CASE WHEN title >= 0.72 THEN 'review' ELSE 'separate' END
+  WHEN abstract >= 0.85 OR (title >= 0.9 AND abstract >= 0.6) OR (title >= 0.8 AND author >= 0.6 AND abstract >= 0.5) THEN 'merge' WHEN title >= 0.72 THEN 'review' ELSE 'separate' END AS decision,
+  CASE WHEN same THEN 'identical DOI' WHEN gap > 6 THEN CASE WHEN title >= 0.72 THEN 'years too far apart' ELSE '' END WHEN differ AND abstract < 0.85 THEN CASE WHEN title >= 0.72 THEN 'titles differ by a number' ELSE '' END
+  WHEN abstract >= 0.85 THEN printf('abstract %.2f', abstract) WHEN title >= 0.9 AND abstract >= 0.6 THEN printf('title %.2f + abstract %.2f', title, abstract)
+  WHEN title >= 0.8 AND author >= 0.6 AND abstract >= 0.5 THEN printf('title %.2f + authors %.2f + abstract %.2f', title, author, abstract) WHEN title >= 0.72 THEN 'close, not confirmed' ELSE '' END AS why FROM s WHERE title >= 0.55)"""
 
 
 def _verdicts(spark: Spark, sf: str) -> DataFrame:
-    papers = read(spark, sf, "part").select("p_partkey", F.concat("p_name", F.lit(" "), "p_brand", F.col("p_size").cast("string")).alias("title"))
-    scored = families.score(families.block(papers, "p_partkey", "title"), papers, "p_partkey", "title", "title")
-    return scored.select("i", "j", F.round("title", 6).alias("title"), families.verdict(F.lit(False), F.col("title"), F.col("abstract"), F.lit(0.0), F.lit(0), F.col("numbers_differ")).alias("decision"))
+    title = F.concat("p_name", F.lit(" "), "p_brand", F.col("p_size").cast("string"))
+    fields = {"title": title, "abstract": F.concat_ws(" ", "p_name", "p_type"), "doi": F.concat(F.lit("https://doi.org/"), F.col("p_retailprice").cast("string")), "surnames": F.array("p_type", "p_brand"), "year": 1990 + F.expr("p_size div 4")}
+    papers = read(spark, sf, "part").select("p_partkey", *[c.alias(n) for n, c in fields.items()])
+    return families.decide(families.score(families.block(papers, "p_partkey", "title"), papers, "p_partkey")).withColumn("title", F.round("title", 6))
 
 
-@query("family_pairs", f"{_PAIRS} SELECT i, j, title, decision FROM v")
+@query("family_pairs", f"{_PAIRS} SELECT i, j, title, decision, why FROM v")
 def family_pairs(spark: Spark, sf: str) -> DataFrame:
-    """Part names as titles and as abstracts."""
-    return _verdicts(spark, sf)
+    """F27 J13 F31 C11 U2"""
+    return _verdicts(spark, sf).select("i", "j", "title", "decision", "why")
 
 
 @query(
     "study_families",
-    f"""WITH RECURSIVE {_PAIRS[5:]}, e AS (SELECT i AS a, j AS b FROM v WHERE decision <> 'separate'), l AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e), r(u, v) AS (SELECT u, v FROM l UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u),
+    f"""WITH RECURSIVE {_PAIRS[5:]}, e AS (SELECT i AS a, j AS b FROM v WHERE decision = 'merge'), l AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e), r(u, v) AS (SELECT u, v FROM l UNION SELECT r.u, l.v FROM r JOIN l ON r.v = l.u),
     f AS (SELECT p_partkey, least(p_partkey, coalesce(min(v), p_partkey)) AS family FROM part LEFT JOIN r ON u = p_partkey GROUP BY p_partkey) SELECT p_partkey, family, count(*) OVER (PARTITION BY family) AS family_size FROM f""",
 )
 def study_families(spark: Spark, sf: str) -> DataFrame:
-    """Families of merged and reviewed pairs."""
-    merges = _verdicts(spark, sf).where("decision <> 'separate'").select("i", "j")
+    """Families of merged pairs; pairs for review stay apart."""
+    merges = _verdicts(spark, sf).where("decision = 'merge'").select("i", "j")
     return families.families(merges, read(spark, sf, "part"), "p_partkey")
 
 
+@query("family_reviews", f"{_PAIRS} SELECT why, count(*) AS pairs, min(i) AS first_i FROM v WHERE decision = 'review' GROUP BY why")
+def family_reviews(spark: Spark, sf: str) -> DataFrame:
+    """What waits for a person, by reason."""
+    return _verdicts(spark, sf).where("decision = 'review'").groupBy("why").agg(F.count("*").alias("pairs"), F.min("i").alias("first_i"))
+
+
 @query("binary_pairs", "SELECT conv_id, role, CAST(role = 'user' AS INT) AS label, count(*) AS n FROM conversations GROUP BY ALL")
 def binary_pairs(spark: Spark, sf: str) -> DataFrame:
     """Groups of texts and labels exploded into pairs."""

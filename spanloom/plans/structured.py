@@ -58,10 +58,10 @@ def recovered_evidence(spark: Spark, sf: str) -> DataFrame:
     return read(spark, sf, "events").select("event_id", J.recovered_evidence(shapes).alias("e")).select("event_id", F.array_join(F.transform("e", lambda x: x["quote"]), "|").alias("quotes"))
 
 
-@query("evidence_bundles", "SELECT conv_id, string_agg(t, ' | ' ORDER BY first_turn) AS quotes FROM (SELECT conv_id, left(text, 20) AS t, min(turn) AS first_turn FROM conversations GROUP BY ALL) GROUP BY conv_id")
+@query("evidence_bundles", "SELECT conv_id, string_agg(t, ' | ' ORDER BY first_turn) AS quotes FROM (SELECT conv_id, text AS t, min(turn) AS first_turn FROM conversations GROUP BY ALL) GROUP BY conv_id")
 def evidence_bundles(spark: Spark, sf: str) -> DataFrame:
     """Spans of an owner in order, each once."""
-    spans = read(spark, sf, "conversations").groupBy("conv_id", F.left("text", F.lit(20)).alias("t")).agg(F.min("turn").alias("first_turn"))
+    spans = read(spark, sf, "conversations").groupBy("conv_id", F.col("text").alias("t")).agg(F.min("turn").alias("first_turn"))
     return spans.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_turn", "t"))), lambda x: x["t"]), " | ").alias("quotes"))
 
 

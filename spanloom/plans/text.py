@@ -101,10 +101,10 @@ def basis_fragment(spark: Spark, sf: str) -> DataFrame:
     return read(spark, sf, "conversations").select("conv_id", "turn", T.words_first(F.col("text"), 36).alias("basis"))
 
 
-@query("provenance_footer", "SELECT doc_id, left(text, 40) || chr(10) || chr(10) || 'Source: ' || source || ' (' || lang || ')' AS response FROM documents")
+@query("provenance_footer", "SELECT doc_id, text || chr(10) || chr(10) || 'Source: ' || source || ' (' || lang || ')' AS response FROM documents")
 def provenance_footer(spark: Spark, sf: str) -> DataFrame:
     """F24 F25 N24"""
-    return read(spark, sf, "documents").select("doc_id", F.concat(F.left("text", F.lit(40)), F.lit("\n\nSource: "), "source", F.lit(" ("), "lang", F.lit(")")).alias("response"))
+    return read(spark, sf, "documents").select("doc_id", F.concat("text", F.lit("\n\nSource: "), "source", F.lit(" ("), "lang", F.lit(")")).alias("response"))
 
 
 @query("token_estimate", "SELECT doc_id, CAST(greatest(1, len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\\s]')) + 8) AS INT) AS tokens FROM documents")

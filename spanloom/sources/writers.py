@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,9 +109,11 @@ def write_splits(rows: DataFrame, path: str, split: str = "split") -> None:
     rows.repartition(split).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(split).parquet(path)
 
 
+def merged(frames: list[DataFrame]) -> DataFrame:
+    """Part tables as one; a column that a part lacks is null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def merged_master(frames: list[DataFrame], newest: str, key: str) -> DataFrame:
     """Part tables as one, the newest first."""
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df, allowMissingColumns=True)
-    return out.orderBy(F.desc_nulls_last(newest), key)
+    return merged(frames).orderBy(F.desc_nulls_last(newest), key)

@@ -12,7 +12,10 @@ from spanloom.streaming import progress
 
 
 def test_spoken_numbers():
-    assert U.speak("1,250.5 mg/l of 21 and 7%") == "one thousand two hundred fifty point five milligrams per litre of twenty-one and seven percent"
+    assert U.speak("1,250.5 mg/L of 21 and 7% [E3] .") == "one thousand two hundred and fifty point five milligrams per litre of twenty-one and seven percent."
+    assert U.speak("So 40 [E12]", keep_citations=True) == "So forty, evidence twelve,"
+    said = {"0": "zero", "007": "seven", "110": "one hundred and ten", "1000": "one thousand", "1000001": "one million one", "20000300015": "twenty billion three hundred thousand fifteen", "1000000000000": "one thousand billion"}
+    assert {k: U.spoken_number(k) for k in said} == said
     assert U.strict_projection("“Ab”  *c*—d") == '"ab" c-d' and U.strict_projection("a b", compact=True) == "ab"
 
 
@@ -69,7 +72,7 @@ def test_components_of_all_orders_equal_union_find(spark, tmp_path):
     for k in keys:
         a, b = sorted((root(k), root(k // 4)))
         parent[b] = a
-    got = {r["node"]: r["component"] for r in QUERIES["components_whole"](spark, str(tmp_path)).collect()}
+    got = {r["node"]: r["component"] for r in QUERIES["components"](spark, str(tmp_path)).collect()}
     assert got == {x: root(x) for x in parent} and {k for k in keys if k % 5 == 0} <= got.keys()
 
 

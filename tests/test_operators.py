@@ -85,7 +85,7 @@ def test_largest_remainder(spark):
     [((True, 0, 0, 0, 9, False), "merge"), ((False, 0.8, 0.9, 0, 9, False), "review"), ((False, 0.8, 0.84, 0, 1, True), "review"), ((False, 0.6, 0.86, 0, 1, True), "merge"), ((False, 0.91, 0.61, 0, 1, False), "merge"), ((False, 0.81, 0.51, 0.61, 1, False), "merge"), ((False, 0.6, 0.3, 0, 1, False), "separate")],
 )
 def test_family_verdict(spark, case, expected):
-    assert spark.range(1).select(families.verdict(*map(F.lit, case))).first()[0] == expected
+    assert spark.range(1).select(families.verdict(*map(F.lit, case))[0]).first()[0] == expected
 
 
 def test_unique_left_join_refuses_repeats(spark):

@@ -68,6 +68,12 @@ def test_paper_body(spark):
     assert body.startswith("Text more") and "kept?" in body and "[1]" not in body
 
 
+def test_large_quantities_are_kept():
+    found = [(q["raw"], q["value"]) for q in U.quantities_of("9,999,999,999 kg, 12,345,678,901.25 kg and 1e30 m")]
+    assert [r for r, _ in found] == ["9,999,999,999", "12,345,678,901.25", "1e30"]
+    assert str(found[1][1].normalize()) == "12345678901.25" and found[2][1] is None
+
+
 def test_quantities():
     found = [(q["raw"], float(q["value"]), q["unit"]) for q in U.quantities_of("32.7 mg/L, not 32; 1,250 ppm")]
     assert found == [("32.7", 32.7, "mg/l"), ("32", 32.0, ""), ("1,250", 1250.0, "ppm")]
