@@ -1,4 +1,4 @@
-"""Entity resolution: candidates, conflicts, decisions, proposals and registry changes."""
+"""Entity resolution: candidates, conflicts and decisions of mentions against a registry."""
 
 from __future__ import annotations
 
@@ -6,55 +6,180 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.numeric import stable_id
-from spanloom.functions.structured import maps_agree
-from spanloom.functions.text import words
+from spanloom.functions.structured import sorted_map_line
+from spanloom.functions.text import ngrams, primary_key, words
 from spanloom.operators.search import top_k
+from spanloom.storage import materialize
 
 
-def conflicts(type_a: Column, type_b: Column, qualifiers_a: Column, qualifiers_b: Column) -> Column:
-    """C20: codes of what keeps two records apart; a qualifier that one lacks is no conflict."""
-    return F.array_compact(F.array(F.when(type_a != type_b, F.lit("TYPE")), F.when(~maps_agree(qualifiers_a, qualifiers_b), F.lit("QUALIFIER"))))
+# Bounds of lexical blocking, and the scores from which a candidate counts and is linked without review.
+MAX_POSTINGS, MAX_BLOCKERS, MAX_POOL, TOP_K = 500, 24, 100, 10
+CANDIDATE_MIN, ACCEPT, MIN_MARGIN = 60.0, 95.0, 5.0
+TRUSTED = ("AUTHORITY", "REVIEWED")
+METHODS = ("EXACT_AUTHORITY_ID", "TRUSTED_ALIAS", "NORMALIZED_PRIMARY")
 
 
-def lexical_candidates(mentions: DataFrame, targets: DataFrame, name: str, k: int) -> DataFrame:
-    """The k targets that share most of a mention's words, by the overlap of the two sets of words.
+def target_conflicts(m: dict[str, Column], t: dict[str, Column]) -> Column:
+    """C20: sorted codes of what keeps a mention from a target; a qualifier that one side lacks is no conflict.
 
-    mentions: mention, name; targets: target, name. Shared words are counted by an equi-join on the word.
+    m: scope, paper_id, context_id, entity_type, qualifiers; t: target_kind and the same others.
     """
-    side = lambda df, key: df.select(key, F.array_distinct(words(F.col(name))).alias("w")).select(key, F.size("w").alias(f"n_{key}"), F.explode("w").alias("word"))
-    shared = side(mentions, "mention").join(side(targets, "target"), "word").groupBy("mention", "target", "n_mention", "n_target").agg(F.count("*").alias("both"))
-    scored = shared.select("mention", "target", F.round(100 * F.col("both") / (F.col("n_mention") + F.col("n_target") - F.col("both")), 4).alias("score"))
-    return top_k(scored, ["mention"], [F.desc("score"), F.col("target")], k)
+    instance = (m["scope"] == "STUDY_INSTANCE") & (t["target_kind"] == "INSTANCE")
+    wanted = F.when(m["scope"] == "STUDY_INSTANCE", "INSTANCE").otherwise("CONCEPT")
+    unequal = F.filter(F.map_keys(m["qualifiers"]), lambda k: F.map_contains_key(t["qualifiers"], k) & (F.try_element_at(m["qualifiers"], k) != F.try_element_at(t["qualifiers"], k)))
+    codes = [
+        F.when(t["target_kind"] != wanted, "IDENTITY_SCOPE_CONFLICT"),
+        F.when(instance & ~m["paper_id"].eqNullSafe(t["paper_id"]), "CROSS_PAPER_INSTANCE"),
+        F.when(instance & ~m["context_id"].eqNullSafe(t["context_id"]), "INSTANCE_CONTEXT_CONFLICT"),
+        F.when(m["entity_type"] != t["entity_type"], "ENTITY_TYPE_CONFLICT"),
+    ]
+    qualifiers = F.transform(F.coalesce(unequal, F.array().cast("array<string>")), lambda k: F.concat(F.lit("IDENTITY_QUALIFIER_CONFLICT:"), k))
+    return F.array_sort(F.concat(F.array_compact(F.array(*codes)), qualifiers))
 
 
-def resolve(mentions: DataFrame, registry: DataFrame) -> DataFrame:
-    """A decision for each mention: linked by its primary key, or proposed with others of its name.
+_MENTION = ("scope", "paper_id", "context_id", "entity_type", "qualifiers")
+_TARGET = ("target_kind", "paper_id", "context_id", "entity_type", "qualifiers")
 
-    mentions: mention_id, name, kind, paper_id. registry: name, kind, concept_id, one row a key. A proposal has a
-    stable id of its name and kind; it is ready if two papers or more mention it, else it waits for review.
-    """
-    linked = mentions.join(registry, ["name", "kind"], "left")
-    fresh = linked.where("concept_id is null").groupBy("name", "kind").agg(F.countDistinct("paper_id").alias("papers"))
-    proposals = fresh.select("name", "kind", stable_id("NEW", F.col("kind"), F.col("name")).alias("proposal"), F.when(F.col("papers") >= 2, "PROPOSED").otherwise("REVIEW").alias("state"))
-    out = linked.join(proposals, ["name", "kind"], "left")
-    return out.select("mention_id", F.coalesce(F.concat(F.lit("C"), F.col("concept_id").cast("string")), "proposal").alias("target"), F.when(F.col("concept_id").isNotNull(), "LINKED").otherwise(F.col("state")).alias("status"))
+
+def judged(pairs: DataFrame, mentions: DataFrame, targets: DataFrame) -> DataFrame:
+    """Pairs (mention_id, target_id, ...) with the codes of their conflicts."""
+    m = mentions.select("mention_id", *[F.col(c).alias(f"m_{c}") for c in _MENTION])
+    t = targets.select("target_id", *[F.col(c).alias(f"t_{c}") for c in _TARGET])
+    both = pairs.join(m, "mention_id").join(t, "target_id")
+    codes = target_conflicts({c: F.col(f"m_{c}") for c in _MENTION}, {c: F.col(f"t_{c}") for c in _TARGET})
+    return both.select(*pairs.columns, codes.alias("conflicts"))
+
+
+def _block(kind: Column) -> Column:
+    """What a mention and a target must share to meet: kind and type, and of instances the paper and the context."""
+    scope = F.when(kind == "INSTANCE", F.concat_ws("\x1f", "paper_id", F.coalesce("context_id", F.lit("")))).otherwise("")
+    return F.concat_ws("\x1f", kind, "entity_type", scope)
 
 
-def commit(registry: DataFrame, decisions: DataFrame, version: int) -> DataFrame:
-    """The registry with new concepts for ready proposals, marked with the version. registry: concept, version."""
-    new = decisions.where("status = 'PROPOSED'").select(F.col("target").alias("concept")).distinct().withColumn("version", F.lit(version))
-    return registry.unionByName(new.join(registry, "concept", "left_anti"))
+def blocking_keys(label: Column) -> Column:
+    """The words (kind 0) and padded character three-grams (kind 1) of a label."""
+    own = F.array_distinct(words(label))
+    grams = F.array_distinct(ngrams(F.array_join(words(label), " "), 3, ("^", "$")))
+    return F.concat(F.transform(own, lambda w: F.struct(F.lit(0).alias("kind"), w.alias("key"))), F.transform(grams, lambda g: F.struct(F.lit(1).alias("kind"), g.alias("key"))))
 
 
-def merge_concepts(concepts: DataFrame, merges: DataFrame) -> DataFrame:
-    """Merged concepts are retired with a redirect. concepts: id, state; merges: source, target."""
-    joined = concepts.join(merges.withColumnRenamed("source", "id"), "id", "left")
-    return joined.select("id", F.when(F.col("target").isNotNull(), "RETIRED").otherwise(F.col("state")).alias("state"), F.col("target").alias("redirect"))
+def label_score(a: Column, b: Column) -> Column:
+    """0 to 100, the greater of the edit distance's share and the overlap of words."""
+    far = F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
+    x, y = F.array_distinct(words(a)), F.array_distinct(words(b))
+    overlap = F.size(F.array_intersect(x, y)) / F.greatest(F.size(F.array_union(x, y)), F.lit(1))
+    return F.round(100 * F.greatest(1 - far, overlap), 4)
 
 
-def merged_events(merges: DataFrame, version: int) -> DataFrame:
-    """The log of a merge."""
-    return merges.select(F.lit(version).alias("version"), F.lit("MERGE").alias("event"), "source", "target")
+def lexical_pool(mentions: DataFrame, targets: DataFrame, most_postings: int = MAX_POSTINGS, blockers: int = MAX_BLOCKERS, pool: int = MAX_POOL) -> DataFrame:
+    """(mention_id, target_id, token_hits, gram_hits, rarity), a bounded pool for each mention.
+
+    Words and three-grams of a mention look up the targets' postings. Postings of more than ``most_postings`` targets
+    ask nothing, as their definition has it; of the others the ``blockers`` rarest do, and the ``pool`` targets with
+    most words, rarest keys and most three-grams in common stay. Equal mentions of one block are looked up once.
+    """
+    kind = F.when(F.col("scope") == "STUDY_INSTANCE", "INSTANCE").otherwise("CONCEPT")
+    named = mentions.select("mention_id", _block(kind).alias("block"), primary_key(F.col("name")).alias("asked"))
+    asked = named.select("block", "asked").distinct().withColumn("k", F.explode(blocking_keys(F.col("asked")))).select("block", "asked", "k.*")
+    postings = targets.select(_block(F.col("target_kind")).alias("block"), "target_id", F.explode(blocking_keys(primary_key(F.col("label")))).alias("k")).select("block", "target_id", "k.*").distinct()
+    sizes = postings.groupBy("block", "kind", "key").agg(F.count("*").alias("n")).where(F.col("n") <= most_postings)
+    chosen = top_k(asked.join(sizes, ["block", "kind", "key"]), ["block", "asked"], [F.col("n"), F.col("kind"), F.col("key")], blockers)
+    hits = chosen.select("block", "asked", "kind", "key", "n").join(postings, ["block", "kind", "key"])
+    found = hits.groupBy("block", "asked", "target_id").agg(F.count_if(F.col("kind") == 0).alias("token_hits"), F.count_if(F.col("kind") == 1).alias("gram_hits"), F.round(F.sum(1 / F.col("n")), 9).alias("rarity"))
+    best = top_k(found, ["block", "asked"], [F.desc("token_hits"), F.desc("rarity"), F.desc("gram_hits"), F.col("target_id")], pool)
+    return named.join(best, ["block", "asked"]).select("mention_id", "target_id", "token_hits", "gram_hits", "rarity")
+
+
+def lexical_candidates(mentions: DataFrame, targets: DataFrame, k: int = TOP_K, least: float = CANDIDATE_MIN) -> DataFrame:
+    """(mention_id, target_id, score, rank) of the k most similar targets of each mention's pool."""
+    names = mentions.select("mention_id", primary_key(F.col("name")).alias("a"))
+    labels = targets.select("target_id", primary_key(F.col("label")).alias("b"))
+    scored = lexical_pool(mentions, targets).join(names, "mention_id").join(labels, "target_id").select("mention_id", "target_id", label_score(F.col("a"), F.col("b")).alias("score"))
+    return top_k(scored.where(F.col("score") >= least), ["mention_id"], [F.desc("score"), F.col("target_id")], k)
+
+
+def exact_hits(mentions: DataFrame, targets: DataFrame, aliases: DataFrame | None = None, hints: DataFrame | None = None, links: DataFrame | None = None) -> DataFrame:
+    """(mention_id, target_id, method) by authority id, trusted alias and primary key; method is a place in METHODS.
+
+    aliases: entity_type, alias, target_id, trust; hints: mention_id, authority, external_id; links: authority,
+    external_id, target_id. Instances are found by the label within their paper and context.
+    """
+    kind = F.when(F.col("scope") == "STUDY_INSTANCE", "INSTANCE").otherwise("CONCEPT")
+    named = mentions.select("mention_id", "scope", "entity_type", _block(kind).alias("block"), primary_key(F.col("name")).alias("k"))
+    labelled = targets.select("target_id", _block(F.col("target_kind")).alias("block"), primary_key(F.col("label")).alias("k"))
+    out = named.join(labelled, ["block", "k"]).select("mention_id", "target_id", F.lit(2).alias("method"))
+    if aliases is not None:
+        known = aliases.where(F.col("trust").isin(*TRUSTED)).select("entity_type", primary_key(F.col("alias")).alias("k"), "target_id")
+        out = out.unionByName(named.where("scope <> 'STUDY_INSTANCE'").join(known, ["entity_type", "k"]).select("mention_id", "target_id", F.lit(1).alias("method")))
+    if hints is not None and links is not None:
+        out = out.unionByName(hints.join(links, ["authority", "external_id"]).select("mention_id", "target_id", F.lit(0).alias("method")))
+    return out.distinct()
+
+
+def resolve(mentions: DataFrame, targets: DataFrame, *, constraints: DataFrame | None = None, aliases: DataFrame | None = None, hints: DataFrame | None = None, links: DataFrame | None = None, vectors: DataFrame | None = None, automatic: bool = True) -> DataFrame:
+    """One decision a mention: (mention_id, status, method, target, reasons, score, margin).
+
+    mentions: mention_id, name, entity_type, scope, paper_id, context_id, qualifiers map, safe (its source allows a
+    link without review). targets: target_id, target_kind, label, entity_type, paper_id, context_id, qualifiers.
+    constraints: mention_id, rule (MUST_LINK, CANNOT_LINK), target_id. vectors: mention_id, target_id, score of an
+    embedding search. The arms, the first that decides:
+
+    1. HUMAN: one must-link without conflict links; several, or one that is forbidden or conflicts, go to review.
+    2. EXACT: authority id, trusted alias, primary key. Compatible targets are one concept unless their qualifiers
+       contradict each other; the least id is linked.
+    3. LEXICAL and EMBEDDING candidates: linked from ACCEPT on, if the runner-up is MIN_MARGIN behind and the source safe.
+    4. BOOTSTRAP: safe canonical mentions are proposed as new concepts, by type, primary key and qualifiers; PROPOSED
+       when two papers or more mention them, else REVIEW. All others wait for review.
+    """
+    spark = mentions.sparkSession
+    none = spark.createDataFrame([], "mention_id string, rule string, target_id string")
+    rules = (none if constraints is None else constraints).select(F.col("mention_id").cast(mentions.schema["mention_id"].dataType).alias("mention_id"), "rule", "target_id").distinct()
+    cannot = rules.where("rule = 'CANNOT_LINK'").select("mention_id", "target_id")
+    musts = rules.where("rule = 'MUST_LINK'").select("mention_id", "target_id")
+    tested = judged(musts, mentions, targets)
+    must = musts.join(tested, ["mention_id", "target_id"], "left").join(cannot.withColumn("forbidden", F.lit(True)), ["mention_id", "target_id"], "left")
+    must = must.groupBy("mention_id").agg(F.count("*").alias("n"), F.min("target_id").alias("target"), F.max(F.coalesce("forbidden", F.lit(False))).alias("forbidden"), F.max(F.col("conflicts").isNull()).alias("missing"), F.flatten(F.collect_list("conflicts")).alias("codes"))
+    reason = F.when(F.col("n") > 1, "CONFLICTING_MUST_LINKS").when(F.col("forbidden"), "CONFLICTING_MUST_AND_CANNOT_LINK").when(F.col("missing"), "MUST_LINK_TARGET_MISSING").when(F.size("codes") > 0, F.array_join(F.array_sort("codes"), "|"))
+    human = must.select("mention_id", F.when(reason.isNull(), "MATCHED").otherwise("REVIEW_REQUIRED").alias("status"), F.when(reason.isNull(), "HUMAN_OVERRIDE").otherwise("HARD_CONFLICT").alias("method"), F.when(reason.isNull(), F.col("target")).alias("target"), F.coalesce(reason, F.lit("ACTIVE_HUMAN_MUST_LINK")).alias("reasons"), F.lit(None).cast("double").alias("score"), F.lit(None).cast("double").alias("margin"))
+    human = materialize(human, "human-links")
+    left = mentions.join(human.select("mention_id"), "mention_id", "left_anti")
+
+    hits = exact_hits(left, targets, aliases, hints, links).join(cannot, ["mention_id", "target_id"], "left_anti")
+    fitting = materialize(judged(hits, left, targets).where(F.size("conflicts") == 0), "exact-hits")
+    allowed = fitting.groupBy("mention_id").agg(F.min("target_id").alias("target"), F.countDistinct("target_id").alias("n"), F.min("method").alias("method"))
+    said = fitting.select("mention_id", "target_id").distinct().join(targets.select("target_id", F.explode("qualifiers").alias("q", "v")), "target_id")
+    apart = said.groupBy("mention_id", "q").agg((F.min("v") != F.max("v")).alias("apart")).where("apart").groupBy("mention_id").agg(F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("AUTO_MERGE_IDENTITY_QUALIFIER_CONFLICT:"), "q"))), "|").alias("apart"))
+    name_of = F.element_at(F.array(*map(F.lit, METHODS)), F.col("method") + 1)
+    together = F.col("apart").isNull()
+    plain = F.when(F.col("n") > 1, "AUTO_MERGE_EXACT_DUPLICATE_CONCEPTS").otherwise("COLLISION_FREE")
+    exact = allowed.join(apart, "mention_id", "left").select("mention_id", F.when(together, "MATCHED").otherwise("REVIEW_REQUIRED").alias("status"), F.when(together, name_of).otherwise("HARD_CONFLICT").alias("method"), F.when(together, F.col("target")).alias("target"), F.coalesce("apart", plain).alias("reasons"), F.lit(100.0).alias("score"), F.lit(None).cast("double").alias("margin"))
+    left = materialize(left.join(allowed.select("mention_id"), "mention_id", "left_anti"), "undecided")
+
+    near = lexical_candidates(left, targets).select("mention_id", "target_id", "score", F.lit("LEXICAL_CALIBRATED").alias("by"))
+    if vectors is not None:
+        near = near.unionByName(vectors.join(left.select("mention_id"), "mention_id", "left_semi").where(F.col("score") >= CANDIDATE_MIN).select("mention_id", "target_id", F.col("score").cast("double").alias("score"), F.lit("EMBEDDING_CALIBRATED").alias("by")))
+    near = materialize(judged(near.join(cannot, ["mention_id", "target_id"], "left_anti"), left, targets), "near-targets")
+    fits = F.size("conflicts") == 0
+    best = near.where(fits).groupBy("mention_id", "target_id").agg(F.max(F.struct("score", "by")).alias("x")).select("mention_id", "target_id", "x.*")
+    ranked = top_k(best, ["mention_id"], [F.desc("score"), F.col("target_id")], 2)
+    top = ranked.groupBy("mention_id").agg(F.max("score").alias("score"), F.max(F.when(F.col("rank") == 2, F.col("score"))).alias("runner"), F.max(F.when(F.col("rank") == 1, F.col("target_id"))).alias("candidate"), F.max(F.when(F.col("rank") == 1, F.col("by"))).alias("by"))
+    blocked = near.where(~fits).select("mention_id").distinct().withColumn("blocked", F.lit(True))
+    rest = left.join(top, "mention_id", "left").join(blocked, "mention_id", "left")
+    margin = F.col("score") - F.coalesce("runner", F.lit(0.0))
+    linked = F.col("safe") & F.lit(automatic) & (F.col("score") >= ACCEPT) & (margin >= MIN_MARGIN)
+    seeds = F.col("safe") & (F.col("scope") == "CANONICAL") & (F.col("entity_type") != "OTHER")
+    alone = F.col("candidate").isNull() & F.col("blocked").isNull()
+    rest = rest.withColumns({"linked": F.coalesce(linked, F.lit(False)), "margin": F.round(margin, 4), "new": seeds | (F.col("safe") & alone)})
+    why = F.when(F.col("linked"), "CALIBRATED_TYPE_POLICY").when(~F.col("safe"), "SOURCE_REQUIRES_REVIEW").when(F.col("candidate").isNotNull(), "APPROXIMATE_CANDIDATES_REQUIRE_REVIEW").when(F.col("blocked"), "ALL_CANDIDATES_BLOCKED").otherwise("NO_CANDIDATE")
+    rest = rest.withColumns({"k": primary_key(F.col("name")), "signature": sorted_map_line(F.col("qualifiers")), "why": why})
+    groups = rest.where("not linked and new").groupBy("entity_type", "k", "signature").agg(F.countDistinct("paper_id").alias("papers"))
+    rest = rest.join(groups.withColumn("grouped", F.lit(True)), ["entity_type", "k", "signature"], "left")
+    fresh = F.col("new") & F.col("grouped")
+    status = F.when(F.col("linked"), "MATCHED").when(fresh & (F.col("papers") >= 2), "PROPOSED").when(fresh, "REVIEW").otherwise("REVIEW_REQUIRED")
+    method = F.when(F.col("linked"), F.col("by")).when(fresh, "BOOTSTRAP").when(F.col("candidate").isNotNull(), "AMBIGUOUS_CANDIDATES").when(F.col("blocked"), "HARD_CONFLICT").otherwise("NO_SAFE_DECISION")
+    target = F.when(F.col("linked"), F.col("candidate")).when(fresh, stable_id("NEW", F.col("entity_type"), F.col("k"), F.col("signature")))
+    approximate = rest.select("mention_id", status.alias("status"), method.alias("method"), target.alias("target"), F.col("why").alias("reasons"), "score", "margin")
+    return human.unionByName(exact).unionByName(approximate)
 
 
 # Spellings of qualifier values that mean the same.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import numeric as N
 from spanloom.functions import text as T
-from spanloom.operators import citations, classify, funnel, grounding, joins, resolve, rules
+from spanloom.operators import citations, classify, funnel, grounding, joins, registry, resolve, rules
 from spanloom.plans.base import query, read
 
 Spark = SparkSession
@@ -139,45 +139,128 @@ def refined_rows(spark: Spark, sf: str) -> DataFrame:
     return funnel.upsert(orders, new, ["o_orderkey"])
 
 
-@query("target_conflicts", "SELECT a.p_partkey AS x, b.p_partkey AS y, array_to_string(list_filter([CASE WHEN a.p_type <> b.p_type THEN 'TYPE' END, CASE WHEN a.p_size <> b.p_size THEN 'QUALIFIER' END], lambda c: c IS NOT NULL), ',') AS codes FROM part a JOIN part b ON a.p_brand = b.p_brand AND b.p_partkey = a.p_partkey + 25")
-def target_conflicts(spark: Spark, sf: str) -> DataFrame:
-    """Why a mention cannot be a target."""
+#: Parts as mentions (some misspelled) and as concepts of a registry; every twentieth asks where only a query set does.
+_ER = """m AS (SELECT p_partkey AS mention_id, lower(CASE WHEN p_size % 5 = 0 THEN replace(p_name, 'e', 'a') ELSE p_name END || ' ' || p_brand) AS a, p_type AS block, p_brand AS paper, p_size % 3 AS q, p_size <> 7 AS safe FROM part),
+t AS (SELECT 'C' || min(p_partkey) AS target_id, lower(p_name || ' ' || p_brand) AS b, p_type AS block, min(p_size) % 3 AS tq FROM part WHERE p_brand <> 'Brand#1' GROUP BY p_name, p_brand, p_type)"""
+_LEXICAL = """tw AS (SELECT *, regexp_extract_all(b, '[a-z0-9]+') AS w, '^' || array_to_string(regexp_extract_all(b, '[a-z0-9]+'), ' ') || '$' AS s FROM t),
+mw AS (SELECT DISTINCT block, a, regexp_extract_all(a, '[a-z0-9]+') AS w, '^' || array_to_string(regexp_extract_all(a, '[a-z0-9]+'), ' ') || '$' AS s FROM asking),
+tk AS (SELECT block, target_id, 0 AS kind, unnest(list_distinct(w)) AS key FROM tw UNION ALL SELECT block, target_id, 1, unnest(list_distinct(list_transform(range(1, length(s) - 1), lambda i: substr(s, CAST(i AS INT), 3)))) FROM tw),
+mk AS (SELECT block, a, 0 AS kind, unnest(list_distinct(w)) AS key FROM mw UNION ALL SELECT block, a, 1, unnest(list_distinct(list_transform(range(1, length(s) - 1), lambda i: substr(s, CAST(i AS INT), 3)))) FROM mw),
+sizes AS (SELECT block, kind, key, count(*) AS n FROM tk GROUP BY ALL HAVING count(*) <= 500),
+chosen AS (SELECT * FROM mk JOIN sizes USING (block, kind, key) QUALIFY row_number() OVER (PARTITION BY block, a ORDER BY n, kind, key) <= 24),
+hits AS (SELECT block, a, target_id, count(*) FILTER (WHERE kind = 0) AS tokens, count(*) FILTER (WHERE kind = 1) AS grams, round(sum(1 / n), 9) AS rarity FROM chosen JOIN tk USING (block, kind, key) GROUP BY ALL),
+pool AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY block, a ORDER BY tokens DESC, rarity DESC, grams DESC, target_id) <= 100),
+scored AS (SELECT mention_id, target_id, q, tq, round(100 * greatest(1 - levenshtein(asking.a, b) / greatest(length(asking.a), length(b), 1), len(list_intersect(regexp_extract_all(asking.a, '[a-z0-9]+'), w)) / greatest(len(list_distinct(list_concat(regexp_extract_all(asking.a, '[a-z0-9]+'), w))), 1)), 4) AS score FROM asking JOIN pool ON pool.block = asking.block AND pool.a = asking.a JOIN tw USING (target_id)),
+near AS (SELECT *, CAST(row_number() OVER (PARTITION BY mention_id ORDER BY score DESC, target_id) AS INT) AS rank FROM scored WHERE score >= 60 QUALIFY rank <= 10)"""
+
+
+def _mentions_and_targets(spark: Spark, sf: str) -> tuple[DataFrame, DataFrame]:
     p = read(spark, sf, "part")
-    pairs = p.alias("a").join(p.alias("b"), (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("b.p_partkey") == F.col("a.p_partkey") + 25))
-    q = lambda s: F.create_map(F.lit("size"), F.col(f"{s}.p_size").cast("string"))
-    return pairs.select(F.col("a.p_partkey").alias("x"), F.col("b.p_partkey").alias("y"), F.array_join(resolve.conflicts(F.col("a.p_type"), F.col("b.p_type"), q("a"), q("b")), ",").alias("codes"))
+    name = F.concat(F.when(F.col("p_size") % 5 == 0, F.replace("p_name", F.lit("e"), F.lit("a"))).otherwise(F.col("p_name")), F.lit(" "), "p_brand")
+    size = lambda c: F.create_map(F.lit("size"), (c % 3).cast("string"))
+    nothing = F.lit(None).cast("string")
+    mentions = p.select(F.col("p_partkey").alias("mention_id"), name.alias("name"), F.col("p_type").alias("entity_type"), F.lit("CANONICAL").alias("scope"), F.col("p_brand").alias("paper_id"), nothing.alias("context_id"), size(F.col("p_size")).alias("qualifiers"), (F.col("p_size") != 7).alias("safe"))
+    concepts = p.where("p_brand <> 'Brand#1'").groupBy("p_name", "p_brand", "p_type").agg(F.min("p_partkey").alias("k"), F.min("p_size").alias("size"))
+    targets = concepts.select(F.concat(F.lit("C"), F.col("k").cast("string")).alias("target_id"), F.lit("CONCEPT").alias("target_kind"), F.concat("p_name", F.lit(" "), "p_brand").alias("label"), F.col("p_type").alias("entity_type"), nothing.alias("paper_id"), nothing.alias("context_id"), size(F.col("size")).alias("qualifiers"))
+    return mentions, targets
 
 
-@query("lexical_candidates", """WITH m AS (SELECT p_partkey AS mention, list_distinct(string_split(lower(p_name), ' ')) AS w FROM part WHERE p_partkey % 20 = 0), t AS (SELECT p_partkey AS target, list_distinct(string_split(lower(p_name), ' ')) AS w FROM part WHERE p_partkey % 20 <> 0),
-s AS (SELECT mention, target, round(100 * len(list_intersect(m.w, t.w)) / len(list_distinct(list_concat(m.w, t.w))), 4) AS score FROM m JOIN t ON len(list_intersect(m.w, t.w)) > 0), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY mention ORDER BY score DESC, target) AS INT) AS rank FROM s) SELECT mention, target, score, rank FROM r WHERE rank <= 5""")
+@query("lexical_candidates", f"WITH {_ER}, asking AS (SELECT * FROM m WHERE mention_id % 20 = 0), {_LEXICAL} SELECT mention_id, target_id, score, rank FROM near")
 def lexical_candidates(spark: Spark, sf: str) -> DataFrame:
-    """Mentions against a registry by shared words; every row whose id is divisible by 20 asks."""
-    p = read(spark, sf, "part")
-    mentions = p.where("p_partkey % 20 = 0").select(F.col("p_partkey").alias("mention"), "p_name")
-    targets = p.where("p_partkey % 20 <> 0").select(F.col("p_partkey").alias("target"), "p_name")
-    return resolve.lexical_candidates(mentions, targets, "p_name", 5)
+    """By postings of words and three-grams; every row whose id is divisible by 20 asks all targets."""
+    mentions, targets = _mentions_and_targets(spark, sf)
+    return resolve.lexical_candidates(mentions.where("mention_id % 20 = 0"), targets)
+
+
+@query("target_conflicts", f"WITH {_ER}, asking AS (SELECT * FROM m WHERE mention_id % 20 = 0), {_LEXICAL} SELECT mention_id, target_id, CASE WHEN q <> tq THEN 'IDENTITY_QUALIFIER_CONFLICT:size' ELSE '' END AS codes FROM near")
+def target_conflicts(spark: Spark, sf: str) -> DataFrame:
+    """Why a mention cannot be each of its candidates."""
+    mentions, targets = _mentions_and_targets(spark, sf)
+    asking = mentions.where("mention_id % 20 = 0")
+    return resolve.judged(resolve.lexical_candidates(asking, targets).select("mention_id", "target_id"), asking, targets).select("mention_id", "target_id", F.array_join("conflicts", "|").alias("codes"))
+
+
+@query("exact_links", f"WITH {_ER} SELECT mention_id, target_id, 'NORMALIZED_PRIMARY' AS method FROM m JOIN t ON m.block = t.block AND a = b")
+def exact_links(spark: Spark, sf: str) -> DataFrame:
+    """Mentions and concepts of one type and primary key."""
+    hits = resolve.exact_hits(*_mentions_and_targets(spark, sf))
+    return hits.select("mention_id", "target_id", F.element_at(F.array(*map(F.lit, resolve.METHODS)), F.col("method") + 1).alias("method"))
 
 
-@query(
-    "resolved_mentions",
-    """WITH m AS (SELECT doc_id AS mention_id, left(regexp_replace(lower(text), '[^a-z0-9]+', '', 'g'), 6) AS name, lower(lang) AS kind, source AS paper_id FROM documents), r AS (SELECT name, kind, min(mention_id) AS concept_id FROM m WHERE mention_id % 3 = 0 GROUP BY ALL),
-    f AS (SELECT name, kind, count(DISTINCT paper_id) AS papers FROM m ANTI JOIN r USING (name, kind) GROUP BY ALL)
-    SELECT mention_id, coalesce('C' || concept_id, 'NEW-' || left(sha256(kind || chr(31) || name), 24)) AS target, CASE WHEN concept_id IS NOT NULL THEN 'LINKED' WHEN papers >= 2 THEN 'PROPOSED' ELSE 'REVIEW' END AS status FROM m LEFT JOIN r USING (name, kind) LEFT JOIN f USING (name, kind)""",
-)
+_DECIDED = f"""{_ER}, fit AS (SELECT mention_id, min(target_id) AS target, count(*) AS n FROM m JOIN t ON m.block = t.block AND a = b AND q = tq GROUP BY mention_id),
+asking AS (SELECT * FROM m ANTI JOIN fit USING (mention_id)), {_LEXICAL},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY mention_id ORDER BY score DESC, target_id) AS r FROM near WHERE q = tq),
+best AS (SELECT mention_id, max(score) AS score, max(score) FILTER (WHERE r = 2) AS runner, max(target_id) FILTER (WHERE r = 1) AS candidate FROM ranked GROUP BY mention_id),
+blocked AS (SELECT DISTINCT mention_id FROM near WHERE q <> tq),
+rest AS (SELECT asking.*, score, round(score - coalesce(runner, 0), 4) AS margin, candidate, blocked.mention_id IS NOT NULL AS is_blocked, coalesce(safe AND score >= 95 AND score - coalesce(runner, 0) >= 5, false) AS linked FROM asking LEFT JOIN best USING (mention_id) LEFT JOIN blocked USING (mention_id)),
+g AS (SELECT block, a, q, count(DISTINCT paper) AS papers FROM rest WHERE NOT linked AND safe GROUP BY ALL),
+decided AS (SELECT mention_id, 'MATCHED' AS status, 'NORMALIZED_PRIMARY' AS method, target, CASE WHEN n > 1 THEN 'AUTO_MERGE_EXACT_DUPLICATE_CONCEPTS' ELSE 'COLLISION_FREE' END AS reasons, 100.0 AS score, -1.0 AS margin FROM fit UNION ALL
+SELECT mention_id, CASE WHEN linked THEN 'MATCHED' WHEN safe AND papers >= 2 THEN 'PROPOSED' WHEN safe THEN 'REVIEW' ELSE 'REVIEW_REQUIRED' END, CASE WHEN linked THEN 'LEXICAL_CALIBRATED' WHEN safe THEN 'BOOTSTRAP' WHEN candidate IS NOT NULL THEN 'AMBIGUOUS_CANDIDATES' WHEN is_blocked THEN 'HARD_CONFLICT' ELSE 'NO_SAFE_DECISION' END,
+CASE WHEN linked THEN candidate WHEN safe THEN 'NEW-' || left(sha256(block || chr(31) || a || chr(31) || '{{"size":"' || q || '"}}'), 24) ELSE '' END,
+CASE WHEN linked THEN 'CALIBRATED_TYPE_POLICY' WHEN NOT safe THEN 'SOURCE_REQUIRES_REVIEW' WHEN candidate IS NOT NULL THEN 'APPROXIMATE_CANDIDATES_REQUIRE_REVIEW' WHEN is_blocked THEN 'ALL_CANDIDATES_BLOCKED' ELSE 'NO_CANDIDATE' END, coalesce(score, -1), coalesce(margin, -1) FROM rest LEFT JOIN g USING (block, a, q))"""
+
+
+@query("resolved_mentions", f"WITH {_DECIDED} SELECT * FROM decided")
 def resolved_mentions(spark: Spark, sf: str) -> DataFrame:
-    """Mentions linked by keys, the rest grouped by name into proposals."""
-    docs = read(spark, sf, "documents")
-    mentions = docs.select(F.col("doc_id").alias("mention_id"), F.left(T.skeleton(F.col("text")), F.lit(6)).alias("name"), F.lower("lang").alias("kind"), F.col("source").alias("paper_id"))
-    registry = mentions.where("mention_id % 3 = 0").groupBy("name", "kind").agg(F.min("mention_id").alias("concept_id"))
-    return resolve.resolve(mentions, registry)
+    """Exact keys, calibrated candidates and proposals of all mentions."""
+    return resolve.resolve(*_mentions_and_targets(spark, sf)).na.fill(-1.0, ["score", "margin"]).na.fill("", ["target"])
+
+
+@query("committed_registry", f"""WITH {_DECIDED}, said AS (SELECT target AS concept, status, a, block FROM decided JOIN m USING (mention_id) WHERE status IN ('MATCHED', 'PROPOSED')), new AS (SELECT concept, min(a) AS label FROM said WHERE status = 'PROPOSED' GROUP BY concept),
+known AS (SELECT target_id AS concept, b AS a FROM t UNION SELECT concept, label FROM new), learned AS (SELECT DISTINCT concept, a FROM said ANTI JOIN known USING (concept, a))
+SELECT 'CREATE' AS event, concept AS subject, label AS object FROM new UNION ALL SELECT 'LEARN_ALIAS', concept, a FROM learned""")
+def committed_registry(spark: Spark, sf: str) -> DataFrame:
+    """The events of a commit: concepts made of ready proposals and names learned from matched mentions."""
+    mentions, targets = _mentions_and_targets(spark, sf)
+    mentions, targets = mentions.withColumn("name", F.lower("name")), targets.withColumn("label", F.lower("label"))
+    concepts = targets.select(F.col("target_id").alias("concept"), "label", "entity_type", F.lit("ACTIVE").alias("state"), F.lit(None).cast("string").alias("redirect"), F.lit(1).alias("version"))
+    aliases = spark.createDataFrame([], "concept string, alias string, trust string")
+    _, _, events = registry.commit(concepts, aliases, mentions, resolve.resolve(mentions, targets), 2)
+    return events.select("event", "subject", "object")
+
+
+_REGISTRY = "c AS (SELECT n_nationkey AS k, 'N' || n_nationkey AS concept, n_regionkey AS kind FROM nation), a AS (SELECT c_custkey AS mention_id, 'N' || c_nationkey AS concept FROM customer)"
+
+
+def _registry(spark: Spark, sf: str) -> tuple[DataFrame, DataFrame]:
+    concept = lambda c: F.concat(F.lit("N"), F.col(c).cast("string")).alias("concept")
+    concepts = read(spark, sf, "nation").select(concept("n_nationkey"), F.col("n_name").alias("label"), F.col("n_regionkey").cast("string").alias("entity_type"), F.lit("ACTIVE").alias("state"), F.lit(None).cast("string").alias("redirect"), F.lit(1).alias("version"))
+    return concepts, read(spark, sf, "customer").select(F.col("c_custkey").alias("mention_id"), concept("c_nationkey"))
 
 
-@query("registry_events", "SELECT n_nationkey AS id, CASE WHEN n_nationkey % 6 = 1 THEN 'RETIRED' ELSE 'ACTIVE' END AS state, CASE WHEN n_nationkey % 6 = 1 THEN n_nationkey - 1 ELSE -1 END AS redirect FROM nation")
+@query("registry_events", f"WITH {_REGISTRY}, r AS (SELECT k, concept AS source, 'N' || (k // 2) AS target FROM c WHERE k % 6 = 1), j AS (SELECT r.source, r.target, x.kind AS s, y.kind AS t, z.source IS NOT NULL AS leaves FROM r JOIN c x ON x.concept = r.source JOIN c y ON y.concept = r.target LEFT JOIN r z ON z.source = r.target) SELECT source, target, CASE WHEN source = target THEN 'SELF_MERGE' WHEN s <> t THEN 'TYPE_CONFLICT' WHEN leaves THEN 'TARGET_IS_MERGED' ELSE 'MERGE' END AS outcome FROM j")
 def registry_events(spark: Spark, sf: str) -> DataFrame:
-    """Concepts merged into others are retired with a redirect."""
-    nations = read(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.lit("ACTIVE").alias("state"))
-    merges = nations.where("id % 6 = 1").select(F.col("id").alias("source"), (F.col("id") - 1).alias("target"))
-    return resolve.merge_concepts(nations, merges).na.fill(-1, ["redirect"])
+    """Requests to merge concepts, done or refused."""
+    concepts, _ = _registry(spark, sf)
+    key = F.substring("concept", 2, 9).cast("int")
+    requests = concepts.where(key % 6 == 1).select(F.col("concept").alias("source"), F.concat(F.lit("N"), F.floor(key / 2).cast("string")).alias("target"))
+    _, events, refused = registry.merge(concepts, requests, 2)
+    return events.select(F.col("subject").alias("source"), F.col("object").alias("target"), F.col("event").alias("outcome")).unionByName(refused.select("source", "target", F.col("why").alias("outcome")))
+
+
+@query("split_concepts", f"WITH {_REGISTRY} SELECT mention_id, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'SPLIT-' || left(sha256(concept || chr(31) || c_mktsegment), 24) ELSE concept END AS concept FROM a JOIN customer ON c_custkey = mention_id")
+def split_concepts(spark: Spark, sf: str) -> DataFrame:
+    """Mentions of one segment leave their concepts for new ones."""
+    concepts, assignments = _registry(spark, sf)
+    parts = read(spark, sf, "customer").where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("mention_id"), F.col("c_mktsegment").alias("label"))
+    return registry.split(concepts, assignments, parts, 2)[1]
+
+
+@query("reassigned_mentions", f"WITH {_REGISTRY} SELECT mention_id, CASE WHEN c_acctbal < 0 AND c_custkey % 30 < 25 THEN 'N' || (c_custkey % 30) ELSE concept END AS concept FROM a JOIN customer ON c_custkey = mention_id")
+def reassigned_mentions(spark: Spark, sf: str) -> DataFrame:
+    """Moves to concepts of the registry; those to unknown ones are left out."""
+    concepts, assignments = _registry(spark, sf)
+    moves = read(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("mention_id"), F.concat(F.lit("N"), (F.col("c_custkey") % 30).cast("string")).alias("to"))
+    return registry.reassign(assignments, moves, concepts, 2)[0]
+
+
+@query("constrained_mentions", "WITH o AS (SELECT DISTINCT o_custkey AS mention_id, CASE WHEN o_orderstatus = 'F' THEN 'CANNOT_LINK' ELSE 'MUST_LINK' END AS rule, 'N' || (o_orderkey % 2) AS target_id FROM orders WHERE o_orderstatus IN ('F', 'P')), b AS (SELECT mention_id, target_id, count(DISTINCT rule) > 1 AS both_ FROM o GROUP BY ALL), w AS (SELECT mention_id, count(DISTINCT target_id) > 1 AS twice FROM o WHERE rule = 'MUST_LINK' GROUP BY mention_id) SELECT mention_id, rule, target_id, CASE WHEN both_ THEN 'CONFLICTING_MUST_AND_CANNOT_LINK' WHEN rule = 'MUST_LINK' AND twice THEN 'CONFLICTING_MUST_LINKS' ELSE '' END AS why FROM o JOIN b USING (mention_id, target_id) LEFT JOIN w USING (mention_id)")
+def constrained_mentions(spark: Spark, sf: str) -> DataFrame:
+    """Human rules, taken or refused."""
+    rule = F.when(F.col("o_orderstatus") == "F", "CANNOT_LINK").otherwise("MUST_LINK")
+    asked = read(spark, sf, "orders").where("o_orderstatus IN ('F', 'P')").select(F.col("o_custkey").alias("mention_id"), rule.alias("rule"), F.concat(F.lit("N"), (F.col("o_orderkey") % 2).cast("string")).alias("target_id"))
+    taken, _, refused = registry.constrain(asked.limit(0), asked, 2)
+    return taken.withColumn("why", F.lit("")).unionByName(refused)
 
 
 @query("group_budgets", "WITH w AS (SELECT lang AS k, count(*) AS w FROM documents GROUP BY lang), e AS (SELECT k, w, w * 48 / sum(w) OVER () AS x FROM w), f AS (SELECT k, floor(x) AS s, row_number() OVER (ORDER BY x - floor(x) DESC, w DESC, k) AS p FROM e) SELECT k, CAST(s + CASE WHEN p <= 48 - (SELECT sum(s) FROM f) THEN 1 ELSE 0 END AS BIGINT) AS share FROM f")

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.operators import chunks, classify, compare, families, funnel, graph, grounding, joins, metrics, resolve, rules, search, sequences, splits
+from spanloom.operators import chunks, classify, compare, families, funnel, graph, grounding, joins, metrics, registry, resolve, rules, search, sequences, splits
 from spanloom.operators.search import DECAY, FREE_SLOTS
 
 
@@ -158,8 +158,80 @@ def test_relevance_without_rows(spark):
     assert classify.relevance(empty, "id", F.col("t"), ["a"], ["b"], F.lit(False), F.lit(2)).count() == 0
 
 
-def test_resolution_proposes_names_of_two_papers(spark):
-    mentions = spark.createDataFrame([(1, "niger", "PLACE", "p1"), (2, "niger", "PLACE", "p2"), (3, "volta", "PLACE", "p1"), (4, "chad", "PLACE", "p1")], "mention_id int, name string, kind string, paper_id string")
-    registry = spark.createDataFrame([("chad", "PLACE", 7)], "name string, kind string, concept_id int")
-    got = {r["mention_id"]: r for r in resolve.resolve(mentions, registry).collect()}
-    assert [got[i]["status"] for i in (1, 2, 3, 4)] == ["PROPOSED", "PROPOSED", "REVIEW", "LINKED"] and got[1]["target"] == got[2]["target"] and got[4]["target"] == "C7"
+M_SCHEMA = "mention_id int, name string, entity_type string, scope string, paper_id string, context_id string, qualifiers map<string,string>, safe boolean"
+T_SCHEMA = "target_id string, target_kind string, label string, entity_type string, paper_id string, context_id string, qualifiers map<string,string>"
+
+
+def test_every_arm_of_the_cascade(spark):
+    mention = lambda i, name, kind="PLACE", scope="CANONICAL", paper="p1", context=None, safe=True, **q: (i, name, kind, scope, paper, context, q, safe)
+    mentions = [
+        mention(1, "anything", paper="p9"),  # a must-link
+        mention(2, "anything else"),  # two must-links
+        mention(3, "forbidden"),  # must and cannot
+        mention(4, "gone"),  # a must-link to nowhere
+        mention(5, "Lake Chad"),  # primary key
+        mention(6, "tchad lake"),  # trusted alias
+        mention(7, "some water"),  # authority id
+        mention(8, "Lake Chad", country="NG"),  # contradicts the concept's qualifier
+        mention(9, "Niger Delta region"),  # near a label, not near enough
+        mention(10, "Okavango deltaa"),  # nearly a label
+        mention(11, "new place", paper="p1"), mention(12, "New  place", paper="p2"), mention(13, "lone place"),
+        mention(14, "blurred place", safe=False),
+        mention(15, "site a", scope="STUDY_INSTANCE", context="c1"), mention(16, "site a", scope="STUDY_INSTANCE", context="c2"),
+        mention(17, "twin"),  # two concepts of one name, of equal qualifiers
+        mention(18, "rival"),  # two concepts of one name that contradict each other
+        mention(19, "vector friend"),  # found by vectors alone
+        mention(20, "xyz", kind="OTHER"),
+        mention(21, "Lake Chad"),  # but must not be the lake
+    ]
+    concept = lambda i, label, kind="PLACE", **q: (i, "CONCEPT", label, kind, None, None, q)
+    targets = [concept("C1", "Lake Chad", country="TD"), concept("C2", "Niger Delta"), concept("C3", "Okavango Delta"), concept("C4", "twin"), concept("C5", "twin"), concept("C6", "rival", state="A"), concept("C7", "rival", state="B"), concept("C8", "far away"), ("I1", "INSTANCE", "site a", "PLACE", "p1", "c1", {})]
+    rules = [(1, "MUST_LINK", "C2"), (2, "MUST_LINK", "C2"), (2, "MUST_LINK", "C3"), (3, "MUST_LINK", "C2"), (3, "CANNOT_LINK", "C2"), (4, "MUST_LINK", "C99"), (21, "CANNOT_LINK", "C1")]
+    got = resolve.resolve(
+        spark.createDataFrame(mentions, M_SCHEMA),
+        spark.createDataFrame(targets, T_SCHEMA),
+        constraints=spark.createDataFrame(rules, "mention_id int, rule string, target_id string"),
+        aliases=spark.createDataFrame([("PLACE", "Tchad Lake", "C1", "REVIEWED"), ("PLACE", "lone place", "C8", "MODEL")], "entity_type string, alias string, target_id string, trust string"),
+        hints=spark.createDataFrame([(7, "GEO", "77")], "mention_id int, authority string, external_id string"),
+        links=spark.createDataFrame([("GEO", "77", "C3")], "authority string, external_id string, target_id string"),
+        vectors=spark.createDataFrame([(19, "C8", 99.0), (13, "C8", 20.0)], "mention_id int, target_id string, score double"),
+    )
+    got = {r["mention_id"]: (r["status"], r["method"], r["target"], r["reasons"]) for r in got.collect()}
+    assert len(got) == len(mentions)
+    assert got[1] == ("MATCHED", "HUMAN_OVERRIDE", "C2", "ACTIVE_HUMAN_MUST_LINK")
+    assert [got[i][1:] for i in (2, 3, 4)] == [("HARD_CONFLICT", None, c) for c in ("CONFLICTING_MUST_LINKS", "CONFLICTING_MUST_AND_CANNOT_LINK", "MUST_LINK_TARGET_MISSING")]
+    assert [got[i][1:3] for i in (5, 6, 7)] == [("NORMALIZED_PRIMARY", "C1"), ("TRUSTED_ALIAS", "C1"), ("EXACT_AUTHORITY_ID", "C3")]
+    assert got[8][1] == "BOOTSTRAP" and got[8][3] == "ALL_CANDIDATES_BLOCKED" and got[9][1] == "BOOTSTRAP" and got[9][3] == "APPROXIMATE_CANDIDATES_REQUIRE_REVIEW"
+    assert got[10][:2] == ("REVIEW", "BOOTSTRAP")  # 93.3 is below the bound
+    assert got[11][:2] == got[12][:2] == ("PROPOSED", "BOOTSTRAP") and got[11][2] == got[12][2] and got[13][0] == "REVIEW" and got[13][3] == "NO_CANDIDATE"
+    assert got[14][:2] == ("REVIEW_REQUIRED", "NO_SAFE_DECISION") and got[15][:3] == ("MATCHED", "NORMALIZED_PRIMARY", "I1") and got[16][2] != "I1"
+    assert got[17][2:] == ("C4", "AUTO_MERGE_EXACT_DUPLICATE_CONCEPTS") and got[18] == ("REVIEW_REQUIRED", "HARD_CONFLICT", None, "AUTO_MERGE_IDENTITY_QUALIFIER_CONFLICT:state")
+    assert got[19][1:3] == ("EMBEDDING_CALIBRATED", "C8") and got[20][0] == "REVIEW" and got[21][2] not in ("C1", None)
+
+
+def test_conflicts_of_instances(spark):
+    mentions = spark.createDataFrame([(1, "a", "X", "STUDY_INSTANCE", "p1", "c1", {"k": "1", "only": "z"}, True)], M_SCHEMA)
+    targets = spark.createDataFrame([("I", "INSTANCE", "a", "Y", "p2", "c2", {"k": "2"}), ("C", "CONCEPT", "a", "X", None, None, {})], T_SCHEMA)
+    pairs = spark.createDataFrame([(1, "I"), (1, "C")], "mention_id int, target_id string")
+    got = {r["target_id"]: r["conflicts"] for r in resolve.judged(pairs, mentions, targets).collect()}
+    assert got == {"I": ["CROSS_PAPER_INSTANCE", "ENTITY_TYPE_CONFLICT", "IDENTITY_QUALIFIER_CONFLICT:k", "INSTANCE_CONTEXT_CONFLICT"], "C": ["IDENTITY_SCOPE_CONFLICT"]}
+
+
+def test_large_postings_ask_nothing(spark):
+    targets = spark.createDataFrame([(f"T{i}", "CONCEPT", f"common {i}", "X", None, None, {}) for i in range(9)], T_SCHEMA)
+    mentions = spark.createDataFrame([(1, "common 3", "X", "CANONICAL", "p", None, {}, True)], M_SCHEMA)
+    found = resolve.lexical_pool(mentions, targets, most_postings=5).collect()
+    assert [r["target_id"] for r in found] == ["T3"] and found[0]["token_hits"] == 1
+
+
+def test_commits_are_made_once(spark):
+    concepts = spark.createDataFrame([("C1", "lake", "X", "ACTIVE", None, 1)], "concept string, label string, entity_type string, state string, redirect string, version int")
+    aliases = spark.createDataFrame([("C1", "the lake", "REVIEWED")], "concept string, alias string, trust string")
+    mentions = spark.createDataFrame([(1, "Lake", "X"), (2, "big lake", "X"), (3, "pond", "X"), (4, "Pond", "X"), (5, "the lake", "X"), (6, "sea", "X")], "mention_id int, name string, entity_type string")
+    decisions = spark.createDataFrame([(1, "MATCHED", "C1"), (2, "MATCHED", "C1"), (3, "PROPOSED", "NEW-1"), (4, "PROPOSED", "NEW-1"), (5, "MATCHED", "C1"), (6, "REVIEW", "NEW-2")], "mention_id int, status string, target string")
+    after, names, events = registry.commit(concepts, aliases, mentions, decisions, 2)
+    assert sorted(r["concept"] for r in after.collect()) == ["C1", "NEW-1"]
+    assert sorted((r["event"], r["subject"], r["object"]) for r in events.collect()) == [("CREATE", "NEW-1", "Pond"), ("LEARN_ALIAS", "C1", "big lake")]
+    again = registry.commit(after, names, mentions, decisions, 3)
+    assert again[0].count() == 2 and again[2].count() == 0
+
