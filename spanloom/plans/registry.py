@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanloom.plans import aggregation, extras, incremental, relational, scoring, search, sets, structured, text, windows
+from spanloom.plans import aggregation, contracts, extras, incremental, relational, scoring, search, sets, structured, text, windows
 from spanloom.plans.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "aggregation", "extras", "incremental", "relational", "scoring", "search", "sets", "structured", "text", "windows"]
+__all__ = ["ORACLES", "QUERIES", "aggregation", "contracts", "extras", "incremental", "relational", "scoring", "search", "sets", "structured", "text", "windows"]

@@ -228,7 +228,7 @@ def lexicon_evidence(spark: Spark, sf: str) -> DataFrame:
 
 @query("exclusion_ladder", "SELECT page_id, CASE WHEN contains(lower(html), '<table') THEN 'table' WHEN length(html) < 500 THEN 'short page' WHEN contains(lower(url), 'blog') THEN 'editorial' END AS exclusion FROM pages")
 def exclusion_ladder(spark: Spark, sf: str) -> DataFrame:
-    """The first rule of a ladder that holds."""
+    """The first rule of a ladder that holds."""
     rows = read(spark, sf, "pages")
     return rows.select("page_id", rules.first_reason({"table": F.contains(F.lower("html"), F.lit("<table")), "short page": F.length("html") < 500, "editorial": F.contains(F.lower("url"), F.lit("blog"))}).alias("exclusion"))
 
@@ -256,14 +256,14 @@ def allow_list(spark: Spark, sf: str) -> DataFrame:
 @query("contract_errors", """WITH e AS (SELECT l_orderkey, l_linenumber, list_filter([CASE WHEN l_quantity > 40 THEN 'QUANTITY_RANGE' END, CASE WHEN l_shipdate IS NULL THEN 'NO_DATE' END, CASE WHEN l_discount > 0.05 AND l_tax > 0.05 THEN 'BOTH_RATES' END, CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'FLAG_ENUM' END], lambda x: x IS NOT NULL) AS errors FROM lineitem)
 SELECT array_to_string(errors, '|') AS errors, count(*) AS n FROM e GROUP BY ALL""")
 def contract_errors(spark: Spark, sf: str) -> DataFrame:
-    """A contract's broken rules as a list of codes."""
+    """All broken rules as a list of codes, counted."""
     broken = rules.reasons({"QUANTITY_RANGE": F.col("l_quantity") > 40, "NO_DATE": F.col("l_shipdate").isNull(), "BOTH_RATES": (F.col("l_discount") > 0.05) & (F.col("l_tax") > 0.05), "FLAG_ENUM": ~F.col("l_returnflag").isin("A", "N")})
     return read(spark, sf, "lineitem").groupBy(F.array_join(broken, "|").alias("errors")).agg(F.count("*").alias("n"))
 
 
 @query("group_consistency", "SELECT o_custkey, count(*) AS n, count(DISTINCT o_orderpriority || o_orderstatus) AS signatures FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderpriority || o_orderstatus) > 1 OR count(*) > count(DISTINCT o_orderkey)")
 def group_consistency(spark: Spark, sf: str) -> DataFrame:
-    """Groups whose members disagree or repeat."""
+    """Groups whose members disagree or repeat."""
     signature = F.concat("o_orderpriority", "o_orderstatus")
     grouped = read(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.countDistinct(signature).alias("signatures"), F.countDistinct("o_orderkey").alias("atoms"))
     return grouped.where("signatures > 1 or n > atoms").drop("atoms")
@@ -276,13 +276,6 @@ def failure_class(spark: Spark, sf: str) -> DataFrame:
     return read(spark, sf, "events").select("event_id", F.when(F.arrays_overlap(codes, F.array(*[F.lit(c) for c in "01234"])), "retryable").otherwise("permanent").alias("class"))
 
 
-@query("descriptor_leak", "SELECT conv_id, turn, CASE WHEN len(n) = 0 THEN false ELSE len(list_filter(n, lambda x: NOT list_contains(regexp_extract_all(d, '[0-9]+'), x))) = 0 END AS leaks FROM (SELECT conv_id, turn, list_distinct(regexp_extract_all(text, '[0-9]+')) AS n, reverse(text) || text AS d FROM conversations)")
-def descriptor_leak(spark: Spark, sf: str) -> DataFrame:
-    """P20: every number of the answer stands in the descriptor."""
-    n, d = T.numbers(F.col("text")), F.regexp_extract_all(F.concat(F.reverse("text"), F.col("text")), F.lit("[0-9]+"), 0)
-    return read(spark, sf, "conversations").select("conv_id", "turn", ((F.size(n) > 0) & T.let(d, lambda d: F.forall(n, lambda x: F.array_contains(d, x)))).alias("leaks"))
-
-
 @query("thin_answers", "SELECT conv_id, count(*) FILTER (WHERE length(trim(text)) < 20) = count(*) AS thin FROM conversations GROUP BY conv_id")
 def thin_answers(spark: Spark, sf: str) -> DataFrame:
     """No item with enough in the field that the task requires."""
@@ -291,7 +284,7 @@ def thin_answers(spark: Spark, sf: str) -> DataFrame:
 
 @query("quality_flags", "SELECT doc_id, array_to_string(list_sort(list_filter([CASE WHEN contains(text, '|') THEN 'TABLE' END, CASE WHEN n_chars > 5000 THEN 'LONG' END, CASE WHEN regexp_matches(text, '[0-9]{3}') THEN 'NUMBERS' END], lambda x: x IS NOT NULL)), ',') AS flags FROM documents")
 def quality_flags(spark: Spark, sf: str) -> DataFrame:
-    """Sorted flags of a row."""
+    """Sorted flags of a row."""
     flags = rules.reasons({"TABLE": F.contains("text", F.lit("|")), "LONG": F.col("n_chars") > 5000, "NUMBERS": F.rlike("text", F.lit("[0-9]{3}"))})
     return read(spark, sf, "documents").select("doc_id", F.array_join(F.array_sort(flags), ",").alias("flags"))
 

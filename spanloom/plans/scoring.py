@@ -81,15 +81,15 @@ def classified_documents(spark: Spark, sf: str) -> DataFrame:
 
 @query("support_report")
 def support_report(spark: Spark, sf: str) -> DataFrame:
-    """Is a turn's statement carried by the turn before it?"""
+    """Is a turn's statement carried by the turn before it, as an answer to that turn?"""
     rows = read(spark, sf, "conversations")
     before = rows.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("evidence"))
-    return rows.join(before, ["conv_id", "turn"]).select("conv_id", "turn", grounding.support(F.col("text"), F.col("evidence")).alias("r")).select("conv_id", "turn", "r.*")
+    return rows.join(before, ["conv_id", "turn"]).select("conv_id", "turn", grounding.support(F.col("text"), F.col("evidence"), F.col("evidence")).alias("r")).select("conv_id", "turn", "r.*")
 
 
 @query("grounding_router")
 def grounding_router(spark: Spark, sf: str) -> DataFrame:
-    """Benchmark items routed against the documents that hold their first words."""
+    """Benchmark items routed against the documents that BM25 finds for them."""
     docs, bench = read(spark, sf, "documents", "benchmark")
     from spanloom.operators.search import bm25
 

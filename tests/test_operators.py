@@ -116,11 +116,11 @@ def test_contract(spark):
     [("Lead reached 32 mg/l", "Lead reached 32 mg/l in wells", True), ("Lead reached 32 mg/l", "Lead reached 32.7 mg/l in wells", False), ("Yields increased in maize", "Yields decreased in maize", False), ("The method is not valid", "The method is valid", False)],
 )
 def test_support(target, evidence, supported):
-    assert grounding.report(target, evidence)["supported"] is supported
+    assert grounding.report(target, evidence).supported is supported
 
 
 def test_router(spark):
-    pairs = spark.createDataFrame([(1, 1, "lead in wells"), (1, 2, "lead wells cadmium rivers"), (2, 3, "gold")], "paper_id bigint, pair_id bigint, target string")
+    pairs = spark.createDataFrame([(1, 1, "lead in wells"), (1, 2, "lead in wells. cadmium in rivers."), (2, 3, "gold")], "paper_id bigint, pair_id bigint, target string")
     spans = spark.createDataFrame([(1, 1, 1, "lead in wells"), (1, 2, 2, "cadmium in rivers"), (2, 3, 1, "silver")], "paper_id bigint, span_id bigint, rank bigint, quote string")
     got = {r["pair_id"]: (r["route"], r["bundle"]) for r in grounding.route(pairs, spans).collect()}
     assert got[1] == ("OPEN_AS_IS", "1") and got[2] == ("OPEN_WIDENED", "1,2") and got[3][0] == "QUARANTINE"
