@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanloom.llm import bpe
-from spanloom.llm.common import bound_batches, column, filled, free_name, pick, slices
+from spanloom.llm.common import bound_batches, column, filled, free_name, least_count, pick, slices
 from spanloom.storage import discard, materialize, shared_dir
 
 #: Words that the lexicon holds at most. The compiled file stays under 4 MB, whatever the corpus's size.
@@ -183,20 +183,7 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
 def frequent_words(docs: DataFrame, tokenizer: str, most: int = LEXICON_WORDS) -> list[str]:
     """The words whose count reaches the least count that at most ``most`` words reach."""
     counts = materialize(word_counts(docs, tokenizer).where("n > 1"), "word-counts")
-    # the count from which at most `most` words are left: first its power of two, then the count itself
-    by_power = {r[0]: r[1] for r in counts.groupBy(F.floor(F.log2("n")).alias("p")).count().collect()}
-    left, power = most, max(by_power, default=0)
-    while power >= 0 and by_power.get(power, 0) <= left:
-        left -= by_power.get(power, 0)
-        power -= 1
-    least = 1 << (power + 1)
-    if power >= 0:  # every count of this power has a word, so that `left` counts and one more decide
-        inside = counts.where((F.col("n") >= 1 << power) & (F.col("n") < least)).groupBy("n").count()
-        for n, words_of in inside.orderBy(F.desc("n")).limit(left + 1).collect():
-            left -= words_of
-            if left < 0:
-                break
-            least = n
+    least = least_count(counts, most)
     words = [r[0] for r in counts.where(F.col("n") >= least).select("word").collect()]
     discard(counts)
     return sorted(words)

@@ -209,6 +209,27 @@ def hot_join(rows: DataFrame, side: DataFrame, keys: list[str], times: str, how:
     return dealt.join(wide, [*keys, "__salt"], how).drop("__salt")
 
 
+def least_count(counts: DataFrame, most: int, n: str = "n") -> int:
+    """The least count that at most ``most`` rows of a written table reach: first its power of two, then the count.
+
+    Two jobs; the driver sees a row a power, and then at most ``most`` + 1 counts.
+    """
+    by_power = {r[0]: r[1] for r in counts.groupBy(F.floor(F.log2(n)).alias("p")).count().collect()}
+    left, power = most, max(by_power, default=0)
+    while power >= 0 and by_power.get(power, 0) <= left:
+        left -= by_power.get(power, 0)
+        power -= 1
+    least = 1 << (power + 1)
+    if power >= 0:  # every count of this power has a row, so that `left` counts and one more decide
+        inside = counts.where((F.col(n) >= 1 << power) & (F.col(n) < least)).groupBy(n).agg(F.count("*").alias("rows"))
+        for value, rows in inside.orderBy(F.desc(n)).limit(left + 1).collect():
+            left -= rows
+            if left < 0:
+                break
+            least = value
+    return least
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, with as many underscores as make it new in ``df``."""
     while name in df.columns:

@@ -1,8 +1,8 @@
 """Near-duplicate documents by consistent weighted sampling (operator 8).
 
 A document is its five-word shingles with TF-IDF weights: the count of the shingle times the mean, over its words,
-of ``1 + ln((N + 1) / (df + 1)) / ln(N + 1)``. Document frequencies come from all documents, in BUCKETS buckets of
-word hashes, a table of fixed size. Improved consistent weighted sampling (Ioffe, 2010) draws SAMPLES samples that
+of ``1 + ln((N + 1) / (df + 1)) / ln(N + 1)``. Document frequencies are those of the words in all documents; the HEAVY
+most frequent words have their own, all rarer ones that of the rarest of these less one. Improved consistent weighted sampling (Ioffe, 2010) draws SAMPLES samples that
 agree between two documents with the probability of their weighted Jaccard similarity; BANDS bands of them are
 hashed. Documents of one word sequence are one class and are sampled as one.
 
@@ -16,13 +16,14 @@ is the sum of that. The bound is a condition of the join, which also runs over c
 link. A group of n copies so costs about n verifications a band.
 
 Defined cases: null texts and texts without words belong to no group; fewer than five words are one shingle;
-repeated rows and equal word sequences are one class; ties go to the least doc_id; an empty table gives no rows;
+repeated rows and equal word sequences are one class; a long text is one slice of array work; ties go to the least doc_id; an empty table gives no rows;
 other columns are ignored; a null doc_id sorts first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import POWERS, POWERS_2, U64, column, filled, mix, pick, plain_words, range_hashes, signed, slices
+from spanloom.llm.common import POWERS, POWERS_2, U64, column, filled, hot_join, least_count, mix, pick, plain_words, range_hashes, segment_ids, signed, slices
 from spanloom.operators.graph import connected_components
 from spanloom.storage import discard, materialize
 
@@ -38,8 +39,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Samples of a signature, and bands that they are cut into.
 SAMPLES, BANDS = 32, 8
-#: Buckets of the words' document frequencies.
-BUCKETS = 1 << 16
+#: Words whose document frequency is held exactly, at most; words that a task counts before it sends some on.
+HEAVY, COUNTED = 1 << 16, 1 << 20
 #: Width of the classes of weight, as a ratio.
 STEP = 1.02
 #: Parts of the shingles' hashes for which shared weight is bounded.
@@ -48,37 +49,76 @@ _SIGNED = "doc_id bigint, c1 bigint, c2 bigint, bands array<bigint>, total doubl
 _NO_ID = -(1 << 63)
 
 
-def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
-    """(documents with words, documents of each bucket of word hashes)."""
+@dataclass
+class Idf:
+    """The IDF of the words that most documents have, by hash in order, and of all other words."""
+
+    words: np.ndarray
+    values: np.ndarray
+    other: float
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.full(len(words), self.other)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.values[at], self.other)
+
+
+def _added(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, place = np.unique(np.concatenate(words), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate(counts), len(keys)).astype(np.int64)
+
+
+def inverse_frequencies(docs: DataFrame) -> Idf:
+    """IDF from the document frequencies of all words over all documents.
+
+    The frequencies of at most HEAVY words come to the tasks; all rarer ones weigh as words of one document less than
+    the least of these. Tasks add up before the exchange.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros(BUCKETS, np.int64), 0
+        out = lambda words, counts: pa.RecordBatch.from_arrays([pa.array(signed(words)), pa.array(counts)], ["word", "n"])
+        held, counts, size, n = [np.zeros(0, U64)], [np.zeros(0, np.int64)], 0, 0
         for batch in batches:
             for part in slices(batch):
                 words, first = plain_words(filled(part))
-                sizes = np.diff(first)
-                doc = np.repeat(np.arange(len(sizes)), sizes)
-                keys = np.unique((doc << 16) | (words >> U64(48)).astype(np.int64))
-                counts += np.bincount(keys & (BUCKETS - 1), minlength=BUCKETS)
-                n += int((sizes > 0).sum())
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[at], n))], ["bucket", "n"])
-
-    rows = pick(docs, "doc_id", "text").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out, bucket, n = np.zeros(BUCKETS, np.int64), np.asarray(rows["bucket"]), np.asarray(rows["n"])  # at most BUCKETS + 1 rows
-    out[bucket[bucket >= 0]] = n[bucket >= 0]
-    return int(n[bucket < 0].sum()), out
-
-
-def idf_table(n: int, df: np.ndarray) -> np.ndarray:
+                doc = segment_ids(first)
+                order = np.lexsort((words, doc))
+                words, doc = words[order], doc[order]
+                fresh = np.concatenate([[True], (words[1:] != words[:-1]) | (doc[1:] != doc[:-1])])[: len(words)]
+                own, times = np.unique(words[fresh], return_counts=True)
+                held.append(own), counts.append(times)
+                size, n = size + len(own), n + int((np.diff(first) > 0).sum())
+                if size > COUNTED:
+                    held, counts = ([x] for x in _added(held, counts))
+                    size = 0
+                    if len(held[0]) > COUNTED:
+                        yield out(held[0], counts[0])
+                        held, counts = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        yield out(*_added(held, counts))
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([n])], ["word", "n"])
+
+    summed = pick(docs, "doc_id", "text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = materialize(summed.where("word is null or n > 1"), "word-documents")
+    n = counts.where("word is null").agg(F.sum("n")).first()[0] or 0
+    counted = counts.where("word is not null")
+    least = max(least_count(counted, HEAVY), 2)
+    heavy = counted.where(F.col("n") >= least).toArrow()  # at most HEAVY rows
+    discard(counts)
+    words, df = np.asarray(heavy["word"]).view(U64), np.asarray(heavy["n"])
+    order = np.argsort(words)
+    return Idf(words[order], idf_of(n, df[order]), float(idf_of(n, np.array([least - 1]))[0]))
+
+
+def idf_of(n: int, df: np.ndarray) -> np.ndarray:
     return 1 + np.log((n + 1) / (np.minimum(df, n) + 1)) / np.log(max(n, 1) + 1)
 
 
-def features(texts: pa.Array, idf: np.ndarray, shingle: int = SHINGLE):
+def features(texts: pa.Array, idf: Idf, shingle: int = SHINGLE):
     """(document, shingle, weight) in order of document and shingle, and the two hashes of each word sequence."""
     words, first = plain_words(texts)
     sizes = np.diff(first)
-    rare = idf[(words >> U64(48)).astype(np.int64)]
+    rare = idf.of(words)
     width = np.minimum(sizes, shingle)
     n = np.where(sizes > 0, sizes - width + 1, 0)
     doc = np.repeat(np.arange(len(sizes)), n)
@@ -141,7 +181,7 @@ def bands_of(samples: np.ndarray) -> np.ndarray:
     return out
 
 
-def weighted_jaccard(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray:
+def weighted_jaccard(left: pa.Array, right: pa.Array, idf: Idf) -> np.ndarray:
     """The exact weighted Jaccard similarity of each pair of texts."""
     (da, ha, wa, _, _), (db, hb, wb, _, _) = features(left, idf), features(right, idf)
     doc, h, w = np.concatenate([da, db]), np.concatenate([ha, hb]), np.concatenate([wa, wb])
@@ -157,7 +197,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     """(doc_id, class_id, kept): the least doc_id of each document's group, and whether it is the document's own."""
     spark = docs.sparkSession
     docs = pick(docs, "doc_id", "text")
-    idf = spark.sparkContext.broadcast(idf_table(*document_frequencies(docs)))  # BUCKETS numbers
+    idf = spark.sparkContext.broadcast(inverse_frequencies(docs))  # at most HEAVY words
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,9 +215,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     known = signed_.where(F.size("bands") > 0).select(name, F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "bands", "total")
     classes = known.groupBy("class").agg(F.min("doc").alias("doc"), F.any_value("bands").alias("bands"), F.any_value("total").alias("total"))
     members = materialize(classes.select("class", "doc", "total", F.explode("bands").alias("key")), "bands")
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    bands, members = members, materialize(members.join(shared, "key"), "shared-bands")
+    shared = materialize(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared-keys")
+    bands, members = members, materialize(hot_join(members, shared, ["key"], "n").drop("n"), "shared-bands")
     discard(bands)
+    discard(shared)
     texts = _texts_of(docs, members.select("class", "doc").distinct(), idf)
     tested: DataFrame | None = None
     links: DataFrame | None = None
@@ -185,8 +226,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     for choice in ("least", "plainest", "every"):
         own = members.select("key", "class", "total").join(groups, "class")
         if choice != "least":
-            mixed = own.groupBy("key").agg((F.min("group") != F.max("group")).alias("mixed")).where("mixed").select("key")
-            own = materialize(own.join(mixed, "key"), "mixed-bands")
+            mixed = own.groupBy("key").agg((F.min("group") != F.max("group")).alias("mixed"), F.count("*").alias("n")).where("mixed").select("key", "n")
+            own = materialize(hot_join(own, materialize(mixed, "mixed-keys"), ["key"], "n").drop("n"), "mixed-bands")
             if own.isEmpty():
                 break
             rests = _shareable_weights(texts, own.select("class").distinct(), idf) if choice == "plainest" else rests
@@ -215,8 +256,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 def _leader_pairs(own: DataFrame, choice: str) -> DataFrame:
     """Pairs (a, b) of each class with its bucket's leader, where they are of different groups."""
     entry = F.struct("class", "group") if choice == "least" else F.struct((-F.col("rest") / F.col("total")).alias("share"), "class", "group")
-    leaders = own.groupBy("key").agg(F.min(entry).alias("leader"))
-    pairs = own.join(leaders, "key").where(F.col("group") != F.col("leader.group"))
+    leaders = materialize(own.groupBy("key").agg(F.min(entry).alias("leader"), F.count("*").alias("n")), "leaders")
+    pairs = hot_join(own, leaders, ["key"], "n").where(F.col("group") != F.col("leader.group"))
     return pairs.select(F.least("class", "leader.class").alias("a"), F.greatest("class", "leader.class").alias("b"))
 
 

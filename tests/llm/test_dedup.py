@@ -1,6 +1,7 @@
 """Operators 5, 8 and 9 against brute force."""
 
 import hashlib
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from spanloom.llm import embedding_dedup, near_dedup, substring_dedup
-from spanloom.llm.common import plain_word_list
+from spanloom.llm.common import plain_word_list, plain_words
 
 
 def brute_removed(texts, window):
@@ -98,18 +99,13 @@ def test_repeats_of_odd_rows(odd_docs, no_docs):
 
 def brute_classes(ids, texts):
     words = [plain_word_list(t) for t in texts]
-    from spanloom.llm.common import plain_words
-
-    bucket = {w: int(plain_words(pa.array([w]))[0][0] >> np.uint64(48)) for ws in words for w in set(ws)}
-    df = np.zeros(near_dedup.BUCKETS, np.int64)
-    for ws in words:
-        for b in {bucket[w] for w in ws}:
-            df[b] += 1
-    idf = near_dedup.idf_table(sum(map(bool, words)), df)
+    df = Counter(w for ws in words for w in set(ws))
+    n = sum(map(bool, words))
+    idf = {w: 1 + math.log((n + 1) / (k + 1)) / math.log(n + 1) for w, k in df.items()}
     weights = []
     for ws in words:
         grams = Counter(tuple(ws[i : i + 5]) for i in range(max(len(ws) - 4, 1 if ws else 0)))
-        weights.append({g: n * sum(idf[bucket[w]] for w in g) / len(g) for g, n in grams.items()})
+        weights.append({g: n * sum(idf[w] for w in g) / len(g) for g, n in grams.items()})
     parent = list(range(len(ids)))
 
     def find(i):
@@ -157,7 +153,7 @@ def test_classes_equal_brute_force(spark):
 def test_samples_agree_as_often_as_texts_are_similar():
     rng = random.Random(7)
     base = [str(rng.randrange(10**6)) for _ in range(400)]
-    idf, agreed, alike = np.ones(near_dedup.BUCKETS), [], []
+    idf, agreed, alike = near_dedup.Idf(np.zeros(0, np.uint64), np.zeros(0), 1.0), [], []
     for _ in range(40):
         own = [w if rng.random() > 0.03 else "x" + str(rng.random()) for w in base]
         pair = pa.array([" ".join(base), " ".join(own)])
@@ -168,6 +164,15 @@ def test_samples_agree_as_often_as_texts_are_similar():
     assert np.mean(agreed) == pytest.approx(np.mean(alike), abs=0.05)
 
 
+def test_frequent_words_have_their_own_idf(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "HEAVY", 2)
+    docs = spark.createDataFrame([(i, "often " + "half " * (i % 2) + "third " * (i % 3 == 0) + f"own{i}") for i in range(12)], "doc_id bigint, text string")
+    idf = near_dedup.inverse_frequencies(docs)
+    value = lambda word: idf.of(plain_words(pa.array([word]))[0])[0]
+    expected = {"often": 12, "half": 6, "third": 5, "own3": 5}  # rarer words weigh as one document less than the least
+    assert {w: value(w) for w in expected} == {w: pytest.approx(1 + math.log(13 / (k + 1)) / math.log(13)) for w, k in expected.items()}
+
+
 def test_near_copies_of_odd_rows(odd_docs, no_docs):
     rows = near_dedup.near_duplicates(odd_docs).collect()
     got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in rows}
