@@ -36,7 +36,7 @@ LEADING = 8
 #: Classes that the axes are fitted on, at most.
 SAMPLE = 4096
 #: Rows of a block, and of a stretch that is compared in full.
-BLOCK, LEAF = 512, 64
+BLOCK, LEAF = 2048, 64
 _ROWS = "vec_id bigint, class string, label string, size int, vector binary"
 
 
