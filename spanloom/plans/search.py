@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import text as T
 from spanloom.operators import search as S
 from spanloom.plans.base import query, read
+from spanloom.streaming import ingest
 
 _BM25 = """
 docs AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
@@ -32,6 +33,15 @@ def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
     return _hits(spark, sf, 10)
 
 
+@query("indexed_search", f"WITH {_BM25} SELECT item_id, doc_id, score, rank FROM ranked WHERE rank <= 10")
+def indexed_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from an inverted index that is built first."""
+    path = ingest.work_dir(spark, "index")
+    docs, bench = read(spark, sf, "documents", "benchmark")
+    S.build_index(docs, path)
+    return S.search_index(spark, path, bench, 10)
+
+
 @query(
     "cosine_topk",
     """WITH q AS (SELECT vec_id AS query, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 20 = 0),
@@ -56,12 +66,8 @@ fused AS (SELECT item_id AS question, doc_id AS doc, round(sum(weight / (60 + ra
 
 def _fused(spark: SparkSession, sf: str) -> DataFrame:
     docs, bench = read(spark, sf, "documents", "benchmark")
-    asked = bench.select(F.col("item_id").alias("question"), F.explode(F.array_distinct(T.words(F.col("text")))).alias("term"))
-    held = docs.select(F.col("doc_id").alias("doc"), F.explode(F.array_distinct(T.words(F.col("text")))).alias("term"))
-    overlap = held.join(asked, "term").groupBy("question", "doc").agg(F.count("*").alias("n"))
-    second = S.top_k(overlap, ["question"], [F.desc("n"), F.col("doc")], 50).select("question", "doc", F.lit("entity").alias("channel"), "rank")
-    first = _hits(spark, sf, 50).select(F.col("item_id").alias("question"), F.col("doc_id").alias("doc"), F.lit("lexical").alias("channel"), "rank")
-    return S.fuse(first.unionByName(second), {"lexical": 1.0, "entity": 0.8})
+    channels = S.lexical_channels(docs, bench, 50)
+    return S.fuse(channels, {"lexical": 1.0, "entity": 0.8})
 
 
 @query("rrf_fusion", f"WITH {_FUSED} SELECT question, doc, score, channels FROM fused")
