@@ -40,9 +40,7 @@ def authority_links(spark: Spark, sf: str) -> DataFrame:
     """An authority's snapshot, checked against its manifest."""
     nation, region = read(spark, sf, "nation", "region")
     folder = ingest.work_dir(spark, "authority")
-    region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")).write.parquet(f"{folder}/entries")
-    nation.select("n_nationkey", "n_regionkey").write.parquet(f"{folder}/crosswalks")
-    writers.put_text(spark, f"{folder}/manifest.json", '{"entries": %d, "crosswalks": %d}' % (region.count(), nation.count()))
+    writers.write_snapshot({"entries": region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")), "crosswalks": nation.select("n_nationkey", "n_regionkey")}, folder)
     entries, links = readers.authority_snapshot(spark, folder)
     return links.join(entries, links["n_regionkey"] == entries["id"]).select(F.col("n_nationkey").alias("id"), "name")
 

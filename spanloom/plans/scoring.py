@@ -114,20 +114,39 @@ def dual_rendering(spark: Spark, sf: str) -> DataFrame:
     return rows.select("conv_id", funnel.render_modes(assignment).alias("mode"))
 
 
-@query("citation_audit", """WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS page_author, c_name AS author, CASE WHEN c_custkey % 7 = 0 THEN 1999 ELSE 2001 END AS page_year, 2001 AS year FROM customer)
-SELECT c_custkey, CASE WHEN page_author = '' THEN 'metadata' WHEN page_year = year THEN 'verified' ELSE 'conflict' END AS status, CASE WHEN page_author <> '' AND page_year <> year THEN page_year ELSE year END AS chosen_year FROM c""")
+_CITED = """c AS (SELECT c_custkey AS k, c_custkey % 5 AS a, c_custkey % 7 AS y, upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) AS family FROM customer),
+d AS (SELECT *, CASE WHEN a = 0 THEN '' WHEN a = 1 THEN 'Okoro' WHEN a = 2 THEN 'Doe' ELSE family END AS own, CASE WHEN a = 0 THEN 'METADATA_ONLY' WHEN a = 1 THEN 'CORRECTED' WHEN a = 2 THEN 'CONFLICT' ELSE 'VERIFIED' END AS author_status,
+  CASE WHEN y IN (1, 2) THEN '' WHEN y = 0 THEN '1999' ELSE '2001' END AS own_year, CASE WHEN y = 1 THEN 'CONFLICT' WHEN y = 2 THEN 'METADATA_ONLY' WHEN y = 0 THEN 'CORRECTED' ELSE 'VERIFIED' END AS year_status FROM c),
+e AS (SELECT *, CASE WHEN author_status = 'CONFLICT' OR year_status = 'CONFLICT' THEN 'CONFLICT' WHEN author_status = 'CORRECTED' OR year_status = 'CORRECTED' THEN 'CORRECTED' WHEN author_status = 'VERIFIED' AND year_status = 'VERIFIED' THEN 'VERIFIED' ELSE 'METADATA_ONLY' END AS status, CASE WHEN a = 1 THEN 'okoro' ELSE lower(family) END || '|' || CASE WHEN y = 0 THEN '1999' ELSE '2001' END AS key FROM d)"""
+
+
+def _cited(spark: Spark, sf: str) -> DataFrame:
+    """Customers as papers: the segment is the first author, and first pages tell authors and years in several ways."""
+    k, family = F.col("c_custkey"), F.initcap(F.lower("c_mktsegment"))
+    first = F.concat(F.lit("Ann "), family)
+    byline = F.when(k % 5 == 0, "Some words").when(k % 5 == 1, F.concat(F.lit("Bob Okoro, "), first)).when(k % 5 == 2, "## Jane Doe").otherwise(F.concat(first, F.lit(" and Bob Okoro")))
+    years = F.when(k % 7 == 0, "Published 1999").when(k % 7 == 1, "Published 1999\nCopyright 2001").when(k % 7 == 2, "We went there in 1999").otherwise("Published 2001, Vol. 3")
+    page = F.concat(F.lit("# A title\n"), byline, F.lit("\n"), years, F.lit("\nAbstract\nOkoro was there.\n"))
+    return read(spark, sf, "customer").select(k.alias("paper_id"), F.concat(F.lit("W"), k.cast("string")).alias("openalex_id"), F.col("c_name").alias("title"), F.array(first, F.lit("Bob Okoro")).alias("authors"), F.lit(2001).alias("year"), page.alias("page"))
+
+
+@query("citation_audit", f"WITH {_CITED} SELECT k AS paper_id, family AS openalex_first_author_family, own AS document_first_author_family, own_year AS document_year, author_status, year_status, status AS citation_status, key AS collision_key, count(*) OVER (PARTITION BY key) AS collision_count, CASE WHEN author_status = 'CORRECTED' OR year_status = 'CORRECTED' THEN 'OPENALEX+DOCUMENT_CORRECTION' WHEN author_status = 'VERIFIED' OR year_status = 'VERIFIED' THEN 'OPENALEX+DOCUMENT' ELSE 'OPENALEX' END AS metadata_source FROM e")
 def citation_audit(spark: Spark, sf: str) -> DataFrame:
-    """The document's own author and year against the manifest's."""
-    rows = read(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.col("c_name")).alias("page_author"), F.col("c_name").alias("author"), F.when(F.col("c_custkey") % 7 == 0, 1999).otherwise(2001).alias("page_year"), F.lit(2001).alias("year"))
-    status, year = citations.status(F.col("page_author"), F.col("author"), F.col("page_year"), F.col("year"))
-    return rows.select("c_custkey", status.alias("status"), year.alias("chosen_year"))
+    """C16 F42 F43 F44 F76 F77 A21"""
+    return citations.audit(_cited(spark, sf)).select("paper_id", "openalex_first_author_family", "document_first_author_family", "document_year", "author_status", "year_status", "citation_status", "collision_key", "collision_count", "metadata_source")
+
+
+@query("citation_summary", f"WITH {_CITED} SELECT status AS citation_status, author_status, year_status, count(*) AS n FROM e GROUP BY ALL")
+def citation_summary(spark: Spark, sf: str) -> DataFrame:
+    """A22"""
+    return citations.audit(_cited(spark, sf)).groupBy("citation_status", "author_status", "year_status").agg(F.count("*").alias("n"))
 
 
-@query("document_years", "WITH l AS (SELECT p_partkey, unnest(['Published ' || (1990 + p_size % 20), 'cited in ' || (1980 + p_size % 30)]) AS line FROM part), y AS (SELECT p_partkey, CAST(regexp_extract(line, '((18|19|20)[0-9]{2})', 1) AS INT) AS year, max(CASE WHEN contains(lower(line), 'published') THEN 3 ELSE 1 END) AS s FROM l GROUP BY ALL), b AS (SELECT p_partkey, year, s, max(s) OVER (PARTITION BY p_partkey) AS m FROM y) SELECT p_partkey, CASE WHEN count(*) FILTER (WHERE s = m) = 1 THEN max(year) FILTER (WHERE s = m) ELSE -1 END AS year FROM b GROUP BY p_partkey")
+@query("document_years", "SELECT p_partkey, CASE WHEN 1990 + p_size % 20 = 1980 + p_size % 30 OR p_size % 2 = 0 THEN 1990 + p_size % 20 ELSE -1 END AS year FROM part")
 def document_years(spark: Spark, sf: str) -> DataFrame:
-    """a first page's year by the signals of its lines; a tie is none."""
+    """a first page's year by the signals of its lines; a tie of two years is none."""
     size = F.col("p_size")
-    page = F.concat_ws("\n", F.concat(F.lit("Published "), (1990 + size % 20).cast("string")), F.concat(F.lit("cited in "), (1980 + size % 30).cast("string")))
+    page = F.concat_ws("\n", F.concat(F.lit("Published "), (1990 + size % 20).cast("string")), F.concat(F.when(size % 2 == 0, "Seen in ").otherwise("Copyright "), (1980 + size % 30).cast("string")))
     return citations.document_year(read(spark, sf, "part").select("p_partkey", page.alias("page")), "p_partkey", "page").na.fill(-1, ["year"])
 
 

@@ -169,7 +169,7 @@ def family_reviews(spark: Spark, sf: str) -> DataFrame:
 
 @query("binary_pairs", "SELECT conv_id, role, CAST(role = 'user' AS INT) AS label, count(*) AS n FROM conversations GROUP BY ALL")
 def binary_pairs(spark: Spark, sf: str) -> DataFrame:
-    """Groups of texts and labels exploded into pairs."""
+    """Groups of texts and labels exploded into pairs."""
     groups = read(spark, sf, "conversations").groupBy("conv_id").agg(F.collect_list("role").alias("docs"), F.collect_list((F.col("role") == "user").cast("int")).alias("labels"))
     pairs = groups.select("conv_id", F.explode(F.arrays_zip("docs", "labels")).alias("x")).select("conv_id", F.col("x.docs").alias("role"), F.col("x.labels").alias("label"))
     return pairs.groupBy("conv_id", "role", "label").agg(F.count("*").alias("n"))

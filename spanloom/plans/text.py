@@ -259,7 +259,7 @@ def occurrence_counts(spark: Spark, sf: str) -> DataFrame:
 
 @query("paper_bodies", "SELECT doc_id, sha256(trim(regexp_replace(text, '<!--[^>]*-->', '', 'g'))) AS digest FROM documents")
 def paper_bodies(spark: Spark, sf: str) -> DataFrame:
-    """Each text given front matter and references, which come off again."""
+    """each text given front matter and references, which come off again."""
     paper = F.concat(F.lit("---\ntitle: x\n---\n"), "text", F.lit("\n# References\n[1] A. Smith"))
     return read(spark, sf, "documents").select("doc_id", F.sha2(T.paper_body(paper), 256).alias("digest"))
 
@@ -291,3 +291,20 @@ def hashed_embedding(spark: Spark, sf: str) -> DataFrame:
     """A unit vector of hashed words and four-grams, shown by its norm and first components."""
     v = U.embed(F.col("text"))
     return read(spark, sf, "benchmark").select("item_id", v.alias("v")).select("item_id", F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x), 6).alias("norm"), F.size("v").alias("size"))
+
+
+@query("byline_regions", "SELECT item_id, length(text) + 8 AS first_page, CASE WHEN item_id % 2 = 0 THEN 7 ELSE length(text) + 8 END AS region FROM benchmark")
+def byline_regions(spark: Spark, sf: str) -> DataFrame:
+    """The first page, and its part before the abstract."""
+    head = F.when(F.col("item_id") % 2 == 0, "A Title\nAbstract").otherwise("A Title\nForeword")
+    page = F.concat(head, F.lit("\n"), "text", F.lit("PDF_PAGE: 2 of more"))
+    rows = read(spark, sf, "benchmark").select("item_id", T.first_page(page).alias("p"))
+    return rows.select("item_id", (F.length("p") - 9).alias("first_page"), F.when(F.length(T.byline_region(F.col("p"))) == 7, 7).otherwise(F.length(T.byline_region(F.col("p"))) - 9).alias("region"))
+
+
+@query("author_families", "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'van der Berg' WHEN 1 THEN 'Okoro' WHEN 2 THEN 'Smith' ELSE c_mktsegment END AS family FROM customer")
+def author_families(spark: Spark, sf: str) -> DataFrame:
+    """family names with particles, without suffixes and trailing initials."""
+    k = F.col("c_custkey") % 4
+    name = F.when(k == 0, "Jan van der Berg").when(k == 1, "Okoro, Bob").when(k == 2, "Ann Smith Jr.").otherwise(F.concat(F.lit("Eve "), "c_mktsegment", F.lit(" B.")))
+    return read(spark, sf, "customer").select("c_custkey", U.family_name(name).alias("family"))

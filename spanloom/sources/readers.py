@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import codecs
+import hashlib
 import json
 import re
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanloom.functions.unicode import key_of
 from spanloom.operators.funnel import contract
 from spanloom.operators.joins import require_none
 
@@ -101,12 +104,35 @@ def frozen_manifest(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def manifest_hash(manifest: dict) -> str:
+    """The hash of a run's manifest, its own entry left out."""
+    return hashlib.sha256(json.dumps({k: v for k, v in manifest.items() if k != "hash"}, sort_keys=True).encode()).hexdigest()
+
+
 def latest(spark: SparkSession, root: str) -> str:
-    """The folder of the published run that LATEST.json names; the root itself where nothing was published."""
+    """The folder of the published run that LATEST.json names; the root itself where nothing was published.
+
+    The run's manifest must have the hash that the pointer names.
+    """
     fs, path = _fs(spark, f"{root}/LATEST.json")
     if not fs.exists(path):
         return root
-    return f"{root}/runs/{json.loads(spark.read.text(str(path), wholetext=True).first()[0])['run']}"
+    named = json.loads(text_of(spark, str(path)))
+    folder = f"{root}/runs/{named['run']}"
+    manifest = json.loads(text_of(spark, f"{folder}/_SUCCESS.json"))
+    if manifest_hash(manifest) != named["hash"]:
+        raise ValueError(f"the manifest of run {named['run']} is not the one that was published")
+    return folder
+
+
+def text_of(spark: SparkSession, path: str) -> str:
+    """A small text file, whatever its name begins with."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
 
 
 def filtered(rows: DataFrame, **wanted: object) -> DataFrame:
@@ -118,26 +144,49 @@ def filtered(rows: DataFrame, **wanted: object) -> DataFrame:
 
 
 def aliases(spark: SparkSession, entries: list[dict]) -> DataFrame:
-    """(alias, canonical, lang) of an alias dictionary; the canonical name is an alias of itself."""
-    rows = sorted({(a, e["canonical"], e.get("lang", "en")) for e in entries for a in [e["canonical"], *e.get("aliases", [])]})
-    return spark.createDataFrame(rows, "alias string, canonical string, lang string")
+    """(alias, norm, canonical, lang, source) of an alias dictionary; the canonical name is an alias of itself."""
+    rows = sorted({(a, key_of(a), e["canonical"], e.get("lang", "en"), e.get("source", "dictionary")) for e in entries for a in [e["canonical"], *e.get("aliases", [])]})
+    return spark.createDataFrame(rows, "alias string, norm string, canonical string, lang string, source string")
+
+
+@dataclass(frozen=True)
+class Policy:
+    """What a resolver may do, read once and never changed."""
 
+    version: str
+    accept_score: float
+    min_margin: float
+    top_k: int
+    trusted: tuple[str, ...]
+    allowed_types: tuple[str, ...]
 
-def policy(text: str) -> tuple[dict, str]:
-    """A policy of JSON text and the hash of its canonical form."""
-    import hashlib
 
+def policy(text: str) -> tuple[Policy, str]:
+    """The typed policy of a JSON text and the hash of its canonical form; unknown, missing or odd entries raise."""
     value = json.loads(text)
-    return value, hashlib.sha256(json.dumps(value, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    names = {f.name for f in fields(Policy)}
+    if set(value) != names:
+        raise ValueError(f"policy entries differ: {sorted(set(value) ^ names)}")
+    if not (0 <= value["accept_score"] <= 100 and 0 <= value["min_margin"] <= 100 and value["top_k"] >= 1):
+        raise ValueError("policy scores lie in 0 to 100 and top_k is positive")
+    made = Policy(str(value["version"]), float(value["accept_score"]), float(value["min_margin"]), int(value["top_k"]), tuple(value["trusted"]), tuple(value["allowed_types"]))
+    return made, hashlib.sha256(json.dumps(value, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+
+def digest(df: DataFrame) -> dict:
+    """Rows and a hash of a table's content that no order of rows changes; each task adds up before the exchange."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    n, mixed, total = df.agg(F.count("*"), F.bit_xor(row), F.sum(F.pmod(row, F.lit(1 << 31)))).first()
+    return {"rows": n, "hash": f"{(mixed or 0) & 0xFFFFFFFFFFFFFFFF:016x}{(total or 0) & 0xFFFFFFFFFFFFFFFF:016x}"}
 
 
 def authority_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(entries, crosswalks) of an authority's snapshot; rows must be as many as its manifest says."""
-    manifest = json.loads(spark.read.text(f"{path}/manifest.json", wholetext=True).first()[0])
+    """(entries, crosswalks) of an authority's snapshot; each must be what its manifest says, by rows and hash."""
+    manifest = json.loads(text_of(spark, f"{path}/manifest.json"))
     out = []
     for name in ("entries", "crosswalks"):
         df = spark.read.parquet(f"{path}/{name}")
-        if df.count() != manifest[name]:
+        if digest(df) != manifest[name]:
             raise ValueError(f"{name} of the snapshot are not what its manifest says")
         out.append(df)
     return out[0], out[1]

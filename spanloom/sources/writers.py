@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 from functools import reduce
 
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.operators.ranks import placed
-from spanloom.sources.readers import _fs
+from spanloom.sources.readers import _fs, digest, manifest_hash, text_of
 
 
 def exact_parts(rows: DataFrame, order: list[str], parts: int) -> DataFrame:
@@ -73,7 +72,7 @@ def publish(frames: dict[str, DataFrame], root: str, run: str, expect: str | Non
         df.write.parquet(f"{root}/runs/{run}/{name}")
         written = spark.read.parquet(f"{root}/runs/{run}/{name}")
         manifest["tables"][name] = {"rows": written.count(), "schema": written.schema.simpleString()}
-    manifest["hash"] = hashlib.sha256(json.dumps(manifest, sort_keys=True).encode()).hexdigest()
+    manifest["hash"] = manifest_hash(manifest)
     put_text(spark, f"{root}/runs/{run}/_SUCCESS.json", json.dumps(manifest, sort_keys=True))
     if expect is not None and (pointer(spark, root) or {}).get("run") != expect:
         raise ValueError("another run was published meanwhile")
@@ -83,20 +82,70 @@ def publish(frames: dict[str, DataFrame], root: str, run: str, expect: str | Non
 
 def pointer(spark: SparkSession, root: str) -> dict | None:
     fs, path = _fs(spark, f"{root}/LATEST.json")
-    return json.loads(spark.read.text(str(path), wholetext=True).first()[0]) if fs.exists(path) else None
+    return json.loads(text_of(spark, str(path))) if fs.exists(path) else None
 
 
 def put_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small text file in one step: written beside its name, then renamed."""
+    """A small text file in one step: written beside its name, then renamed over it."""
     fs, target = _fs(spark, path)
     _, beside = _fs(spark, f"{path}.new")
     out = fs.create(beside, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(beside, target):
-        raise OSError(f"cannot write {path}")
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri() if target.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration()).rename(beside, target, how)
+
+
+def write_snapshot(frames: dict[str, DataFrame], path: str) -> dict:
+    """Tables of a snapshot and a manifest of their rows and hashes, taken from what was written."""
+    spark = next(iter(frames.values())).sparkSession
+    manifest = {}
+    for name, df in frames.items():
+        df.write.parquet(f"{path}/{name}")
+        manifest[name] = digest(spark.read.parquet(f"{path}/{name}"))
+    put_text(spark, f"{path}/manifest.json", json.dumps(manifest, sort_keys=True))
+    return manifest
+
+
+#: K8: the tables of a registry, and the columns that each must have.
+REGISTRY_TABLES = {
+    "concepts": ["concept", "label", "entity_type", "state", "redirect", "version"], "aliases": ["concept", "alias", "trust"], "instances": ["instance", "paper_id", "context_id", "label"],
+    "assignments": ["mention_id", "concept"], "constraints": ["mention_id", "rule", "target_id"], "authority_links": ["authority", "external_id", "target_id"],
+    "redirects": ["retired", "target"], "events": ["version", "event", "subject", "object"],
+}
+#: K9: the tables of a resolution run.
+RUN_TABLES = {
+    "decisions": ["mention_id", "status", "method", "target", "reasons", "score", "margin"], "candidates": ["mention_id", "target_id", "score", "rank"], "conflicts": ["mention_id", "target_id", "code"],
+    "proposals": ["target", "mentions"], "issues": ["mention_id", "code"], "assignments": ["mention_id", "concept"],
+}
+
+
+def _just(frames: dict[str, DataFrame], wanted: dict[str, list[str]]) -> dict[str, DataFrame]:
+    if set(frames) != set(wanted):
+        raise ValueError(f"tables differ: {sorted(set(frames) ^ set(wanted))}")
+    if wrong := [n for n, columns in wanted.items() if not set(columns) <= set(frames[n].columns)]:
+        raise ValueError(f"tables lack columns: {wrong}")
+    return {n: df.select(*wanted[n]) for n, df in frames.items()}
+
+
+def write_registry(frames: dict[str, DataFrame], root: str, run: str, expect: str | None = None) -> dict:
+    """K8: the eight tables of a registry as a published run (K6, K7)."""
+    return publish(_just(frames, REGISTRY_TABLES), root, run, expect)
+
+
+def write_resolution(frames: dict[str, DataFrame], root: str, run: str, policy_hash: str) -> dict:
+    """K9: the six tables of a resolution run, published, with a CSV of what waits for review and a summary as JSON."""
+    frames = _just(frames, RUN_TABLES)
+    manifest = publish(frames, root, run)
+    spark, folder = frames["decisions"].sparkSession, f"{root}/runs/{run}"
+    decided = spark.read.parquet(f"{folder}/decisions")
+    write_csv(decided.where("status LIKE 'REVIEW%'").orderBy("status", "mention_id"), f"{folder}/review_csv")
+    summary = {r["status"]: r["n"] for r in decided.groupBy("status").agg(F.count("*").alias("n")).collect()}  # a row a status
+    put_text(spark, f"{folder}/summary.json", json.dumps(summary, sort_keys=True))
+    put_text(spark, f"{folder}/policy.json", json.dumps({"policy": policy_hash}))
+    return manifest
 
 
 def append_log(rows: DataFrame, path: str) -> None:

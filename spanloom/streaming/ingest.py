@@ -12,8 +12,11 @@ from spanloom.sources.readers import _fs
 from spanloom.storage import shared_dir
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, files: int = 100, age: str = "365d") -> DataFrame:
-    """New Parquet files of a folder, so many a batch."""
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, files: int = 100, age: str = "36500d") -> DataFrame:
+    """New Parquet files of a folder, so many a batch, however old they are.
+
+    age: files that are so much older than the newest one are not read; the default leaves none out.
+    """
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("maxFileAge", age).parquet(path)
 
 

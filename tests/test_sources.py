@@ -53,6 +53,48 @@ def test_publish_moves_the_pointer_last(spark, tmp_path):
     assert json.loads((tmp_path / "LATEST.json").read_text())["run"] == "r1"
 
 
+def test_a_changed_manifest_is_refused(spark, tmp_path):
+    root = str(tmp_path)
+    writers.publish({"t": spark.range(5)}, root, "r1")
+    path = tmp_path / "runs" / "r1" / "_SUCCESS.json"
+    path.write_text(path.read_text().replace('"rows": 5', '"rows": 6'))
+    for crc in path.parent.glob("._SUCCESS*"):
+        crc.unlink()
+    with pytest.raises(ValueError, match="not the one"):
+        readers.latest(spark, root)
+
+
+def test_small_files_are_replaced_in_one_step(spark, tmp_path):
+    for text in ("one", "two longer", ""):
+        writers.put_text(spark, f"{tmp_path}/a.json", text)
+        assert readers.text_of(spark, f"{tmp_path}/a.json") == text
+    assert not list(tmp_path.glob("*.new"))
+
+
+def test_snapshots_are_compared_by_content(spark, tmp_path):
+    frames = {"entries": spark.createDataFrame([(1, "a"), (2, None)], "id int, name string"), "crosswalks": spark.createDataFrame([], "a int")}
+    writers.write_snapshot(frames, str(tmp_path))
+    entries, _ = readers.authority_snapshot(spark, str(tmp_path))
+    assert entries.count() == 2 and readers.digest(entries) == readers.digest(entries.orderBy(F.desc("id")).select("name", "id"))
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string").write.mode("overwrite").parquet(f"{tmp_path}/entries")
+    with pytest.raises(ValueError, match="entries"):
+        readers.authority_snapshot(spark, str(tmp_path))
+
+
+def test_policies_are_typed():
+    good = {"version": 1, "accept_score": 95, "min_margin": 5, "top_k": 10, "trusted": ["A"], "allowed_types": []}
+    made, key = readers.policy(json.dumps(good))
+    assert made.accept_score == 95.0 and made.trusted == ("A",) and readers.policy(json.dumps(dict(reversed(good.items()))))[1] == key
+    for bad in ({**good, "more": 1}, {k: v for k, v in good.items() if k != "top_k"}, {**good, "accept_score": 101}, {**good, "top_k": 0}):
+        with pytest.raises(ValueError, match="policy"):
+            readers.policy(json.dumps(bad))
+
+
+def test_registry_tables_are_all_wanted(spark, tmp_path):
+    with pytest.raises(ValueError, match="tables differ"):
+        writers.write_registry({"concepts": spark.range(1)}, str(tmp_path), "r1")
+
+
 def test_exact_parts(spark):
     got = writers.exact_parts(spark.range(10), ["id"], 3).groupBy("part").agg(F.count("*").alias("n"), F.min("id").alias("low")).orderBy("part").collect()
     assert [tuple(r) for r in got] == [(0, 4, 0), (1, 3, 4), (2, 3, 7)]
