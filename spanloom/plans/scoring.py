@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import numeric as N
 from spanloom.functions import text as T
-from spanloom.operators import citations, classify, funnel, grounding, joins, registry, resolve, rules
+from spanloom.operators import citations, classify, funnel, grounding, joins, registry, resolve, rules, training
 from spanloom.plans.base import query, read
 
 Spark = SparkSession
@@ -102,13 +102,52 @@ def grounding_router(spark: Spark, sf: str) -> DataFrame:
 @query("funnel_stages", """WITH p AS (SELECT conv_id, turn, role, text, lower(regexp_replace(text, '[^A-Za-z0-9]+', '', 'g')) AS k FROM conversations), a AS (SELECT * FROM p WHERE length(trim(text)) > 0), b AS (SELECT * FROM a WHERE length(text) >= 10), c AS (SELECT DISTINCT ON (k) * FROM b ORDER BY k, conv_id, turn)
 SELECT 'read' AS stage, count(*) AS rows FROM p UNION ALL SELECT 'not blank', count(*) FROM a UNION ALL SELECT 'long enough', count(*) FROM b UNION ALL SELECT 'distinct', count(*) FROM c""")
 def funnel_stages(spark: Spark, sf: str) -> DataFrame:
-    """Rows left after every stage of a funnel, counted in one pass over a reason column."""
+    """Rows left after every gate, counted in one pass."""
     return funnel.stages(read(spark, sf, "conversations"), {"not blank": F.length(F.trim("text")) > 0, "long enough": F.length("text") >= 10}, key=T.skeleton(F.col("text")))
 
 
+def _training(spark: Spark, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Parts as pairs of four types, brands as papers; sizes decide what fails."""
+    k, s = F.col("p_partkey"), F.col("p_size")
+    said = F.concat(F.lit("lead was "), s.cast("string"), F.lit(" mg/l there"))
+    kinds = F.element_at(F.array(*map(F.lit, ("FACTUAL", "REASONING", "PREFERENCE", "RERANKER"))), (k % 4).cast("int") + 1)
+    number = F.when(s % 3 == 0, F.floor(k / 2)).otherwise(k)
+    pairs = read(spark, sf, "part").select(
+        F.concat(F.lit("P"), k.cast("string")).alias("pair_id"), F.when(s == 50, "nowhere").otherwise(F.col("p_brand")).alias("paper_id"), kinds.alias("pair_type"), F.concat(F.lit("what was lead in site "), number.cast("string")).alias("question"),
+        F.when(s == 1, " ").otherwise(said).alias("answer"), F.lit("").alias("reasoning"), said.alias("chosen"), F.when(s % 11 == 0, F.upper(said)).otherwise("nobody knows").alias("rejected"),
+        F.when(s % 7 == 0, "").otherwise(said).alias("positive_quote"), F.lit("other words").alias("hard_negative_quote"), F.concat("p_name", F.lit(" in the study 'A long and telling title' of many")).alias("descriptor"),
+        F.when(s % 2 == 0, "DUAL").otherwise("OPEN").alias("assignment"), F.when(s % 5 == 0, "nothing was seen").otherwise(said).alias("evidence"), F.when(s % 4 == 0, "Obi, 2001").otherwise("").alias("citation_label"),
+    )
+    brand = F.regexp_extract("p_brand", "[0-9]+", 0).cast("int")
+    split = F.when(brand % 5 == 0, "test").when(brand % 5 == 1, "evaluate").otherwise("train")
+    return pairs, read(spark, sf, "part").select(F.col("p_brand").alias("paper_id"), F.concat(F.lit("F"), "p_brand").alias("family_id"), split.alias("split")).distinct()
+
+
+_TRAINED = """x AS (SELECT p_partkey AS k, p_partkey % 4 AS t, p_size AS s, p_size % 5 <> 0 AS supported, CASE WHEN p_size % 3 = 0 THEN p_partkey // 2 ELSE p_partkey END AS q, CASE CAST(regexp_extract(p_brand, '[0-9]+') AS INT) % 5 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS split FROM part),
+y AS (SELECT *, CASE WHEN s = 50 OR (t < 2 AND s = 1) THEN 'STRUCTURAL' WHEN t = 3 AND s % 7 = 0 THEN 'RERANKER' WHEN t = 2 AND s % 11 = 0 THEN 'DPO_CONTRACT' END AS out FROM x),
+z AS (SELECT *, min(split) OVER (PARTITION BY q) <> split AS leaked FROM y WHERE out IS NULL),
+e AS (SELECT *, CASE WHEN s % 2 = 0 AND supported THEN 2 ELSE 1 END AS modes FROM z WHERE NOT leaked)"""
+
+
+@query("training_set", f"""WITH {_TRAINED} SELECT 'READ' AS stage, count(*) AS n FROM x UNION ALL SELECT out, count(*) FROM y WHERE out IS NOT NULL GROUP BY out UNION ALL SELECT 'SUPPORT', count(*) FROM z WHERE t < 3 AND NOT supported UNION ALL SELECT 'SPLIT_LEAKAGE', count(*) FROM z WHERE leaked
+UNION ALL SELECT 'sft_examples', CAST(sum(modes) AS BIGINT) FROM e WHERE t < 2 AND supported UNION ALL SELECT 'sft_mixed', CAST(sum(modes) AS BIGINT) FROM e WHERE t < 2 UNION ALL SELECT 'dpo_pairs', count(*) FROM e WHERE t = 2 AND supported UNION ALL SELECT 'preference_mixed', count(*) FROM e WHERE t = 2 UNION ALL SELECT 'reranker_mixed', count(*) FROM e WHERE t = 3
+UNION ALL SELECT 'quarantine', (SELECT count(*) FROM z WHERE t < 3 AND NOT supported) + (SELECT count(*) FROM z WHERE leaked) UNION ALL SELECT 'discarded', count(*) FROM y WHERE out IS NOT NULL""")
+def training_set(spark: Spark, sf: str) -> DataFrame:
+    """Pairs through all stages to seven tables, with the rows of each."""
+    return training.build(*_training(spark, sf))[1]
+
+
+@query("training_invariants", "SELECT 48 AS rules, 0 AS broken")
+def training_invariants(spark: Spark, sf: str) -> DataFrame:
+    """Every invariant of the seven tables, and how many are broken."""
+    pairs, manifest = _training(spark, sf)
+    found = training.violations(training.build(pairs, manifest)[0], manifest)
+    return found.agg(F.count("*").cast("int").alias("rules"), F.count_if(F.col("n") > 0).cast("int").alias("broken"))
+
+
 @query("dual_rendering", "SELECT conv_id, mode FROM (SELECT DISTINCT conv_id FROM conversations), (VALUES ('OPEN'), ('CLOSED')) v(mode) WHERE CASE conv_id % 3 WHEN 0 THEN mode = 'OPEN' WHEN 1 THEN mode = 'CLOSED' ELSE true END")
 def dual_rendering(spark: Spark, sf: str) -> DataFrame:
-    """C14: a pair for both books gives two examples."""
+    """C14: a pair for both modes gives two examples."""
     rows = read(spark, sf, "conversations").select("conv_id").distinct()
     assignment = F.when(F.col("conv_id") % 3 == 0, "OPEN").when(F.col("conv_id") % 3 == 1, "CLOSED").otherwise("DUAL")
     return rows.select("conv_id", funnel.render_modes(assignment).alias("mode"))
