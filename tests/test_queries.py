@@ -37,5 +37,5 @@ def test_query(spark, duck, name):
         for df in (got, expected):
             df[numeric] = df[numeric].astype(float)
         assert canonical(got) == canonical(expected)
-    else:
-        assert len(got.columns) > 0
+    else:  # tests of its operator hold its values; here it must give rows
+        assert len(got) > 0
