@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.functions import text as T
+from spanloom.operators import answers
 from spanloom.operators import search as S
 from spanloom.plans.base import query, read
 from spanloom.streaming import ingest
@@ -197,11 +198,23 @@ def evidence_bundle(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {_BM25} SELECT item_id AS question, regexp_extract(trim(text), '^[^.!?]*[.!?]?') || ' [E1]' AS answer FROM ranked JOIN documents USING (doc_id) WHERE rank = 1""",
 )
 def stub_answer(spark: SparkSession, sf: str) -> DataFrame:
-    """The first sentence of the best hit and its tag."""
+    """The first sentence of the best hit and its tag."""
     docs = read(spark, sf, "documents")
     return _hits(spark, sf, 1).join(docs, "doc_id").select(F.col("item_id").alias("question"), F.concat(F.regexp_extract(F.trim("text"), "^[^.!?]*[.!?]?", 0), F.lit(" [E1]")).alias("answer"))
 
 
+@query("checked_answers", f"WITH {_BM25}, hit AS (SELECT DISTINCT item_id FROM ranked) SELECT b.item_id AS question, CASE WHEN hit.item_id IS NULL THEN 'abstained' ELSE ['supported', 'softened', 'fallback', 'fallback'][b.item_id % 4 + 1] END AS verdict, CASE WHEN hit.item_id IS NULL THEN '' ELSE 'E1' END AS cited FROM benchmark b LEFT JOIN hit USING (item_id)")
+def checked_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers validated against their evidence, softened, or replaced by the stub."""
+    docs, bench = read(spark, sf, "documents", "benchmark")
+    hits = _hits(spark, sf, 3).join(docs, "doc_id").select(F.col("item_id").alias("question"), F.concat(F.lit("E"), F.col("rank").cast("string")).alias("tag"), F.col("text").alias("quote"))
+    best = hits.where("tag = 'E1'").select("question", answers.stub(F.create_map("tag", F.regexp_replace("quote", r"\s+", " "))).alias("good"))
+    k = F.col("item_id") % 4
+    said = F.when(k == 0, F.col("good")).when(k == 1, F.concat("good", F.lit(" It was 777123 there [E1]."))).when(k == 2, "It is so.").otherwise("It is so [E99].")
+    raw = bench.join(best, bench["item_id"] == best["question"], "left").select(F.col("item_id").alias("question"), said.alias("raw"))
+    return answers.answers(raw, hits).select("question", "verdict", "cited")
+
+
 @query(
     "chunk_scores",
     """WITH d AS (SELECT doc_id, lang, len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS words, length(text) AS chars, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents),
