@@ -93,6 +93,16 @@ def close(a: Column, b: Column, relative: float = 1e-9) -> Column:
     return F.abs(a - b) <= relative * F.greatest(F.abs(a), F.abs(b))
 
 
+def iso_utc(at: Column) -> Column:
+    """A time in ISO 8601, in UTC."""
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def elapsed_seconds(start: Column, stop: Column) -> Column:
+    """Whole seconds between two times."""
+    return F.floor((F.unix_micros(stop) - F.unix_micros(start)) / 1_000_000)
+
+
 def percent_twin(number: Column) -> Column:
     """The same number as a share and as a percentage."""
     return F.array(number, number / 100, number * 100)

@@ -182,17 +182,35 @@ def resolve(mentions: DataFrame, targets: DataFrame, *, constraints: DataFrame |
     return human.unionByName(exact).unionByName(approximate)
 
 
-# Spellings of qualifier values that mean the same.
-QUALIFIER_VALUES = {"country": {"côte d'ivoire": "CI", "ivory coast": "CI", "ghana": "GH", "nigeria": "NG", "kenya": "KE"}, "feature": {"river": "RIVER", "stream": "RIVER", "lake": "LAKE", "basin": "BASIN"}}
+# The names, other forms and adjectives of African countries, by their ISO 3166-1 alpha-2 code.
+COUNTRY_NAMES = {
+    "DZ": "algeria, algerian", "AO": "angola, angolan", "BJ": "benin, beninese", "BW": "botswana, botswanan, motswana", "BF": "burkina faso, burkinabe", "BI": "burundi, burundian",
+    "CV": "cabo verde, cape verde, cabo verdean, cape verdean", "CM": "cameroon, cameroonian", "CF": "central african republic, central african", "TD": "chad, chadian", "KM": "comoros, comorian",
+    "CD": "democratic republic of the congo, democratic republic of congo, congo kinshasa, dr congo, drc", "CG": "republic of the congo, republic of congo, congo brazzaville",
+    "CI": "cote d ivoire, ivory coast, cote divoire, côte d ivoire, ivorian", "DJ": "djibouti, djiboutian", "EG": "egypt, egyptian", "GQ": "equatorial guinea, equatorial guinean", "ER": "eritrea, eritrean",
+    "SZ": "eswatini, swaziland, swazi", "ET": "ethiopia, ethiopian", "GA": "gabon, gabonese", "GM": "gambia, the gambia, gambian", "GH": "ghana, ghanaian", "GN": "guinea", "GW": "guinea bissau, bissau guinean",
+    "KE": "kenya, kenyan", "LS": "lesotho, basotho, lesothan", "LR": "liberia, liberian", "LY": "libya, libyan", "MG": "madagascar, malagasy", "MW": "malawi, malawian", "ML": "mali, malian",
+    "MR": "mauritania, mauritanian", "MU": "mauritius, mauritian", "MA": "morocco, moroccan", "MZ": "mozambique, mozambican", "NA": "namibia, namibian", "NE": "niger, nigerien",
+    "NG": "nigeria, federal republic of nigeria, nigerian", "RW": "rwanda, rwandan", "ST": "sao tome and principe, são tomé and príncipe, sao tomean", "SN": "senegal, senegalese", "SC": "seychelles, seychellois",
+    "SL": "sierra leone, sierra leonean", "SO": "somalia, somali", "ZA": "south africa, south african", "SS": "south sudan, south sudanese", "SD": "sudan, sudanese",
+    "TZ": "tanzania, united republic of tanzania, tanzanian", "TG": "togo, togolese", "TN": "tunisia, tunisian", "UG": "uganda, ugandan", "ZM": "zambia, zambian", "ZW": "zimbabwe, zimbabwean",
+}
+# Spellings of feature classes.
+FEATURE_NAMES = {"river": "river, rivers", "lake": "lake, lakes", "basin": "basin, basins, watershed, watersheds"}
+_QUALIFIERS = {
+    "COUNTRY": {name: code for code, names in COUNTRY_NAMES.items() for name in [*names.split(", "), code.lower()]},
+    "FEATURE_CLASS": {name: value for value, names in FEATURE_NAMES.items() for name in names.split(", ")},
+}
 
 
 def qualifier_value(kind: Column, value: Column) -> Column:
     """the canonical value of a qualifier of a kind; other values in lower case."""
-    low = F.lower(F.trim(value))
+    low = F.lower(F.trim(F.regexp_replace(value, r"\s+", " ")))
+    loose = F.trim(F.regexp_replace(F.regexp_replace(F.replace(low, F.lit("_"), F.lit(" ")), r"(?U)[^\w\s]|-", " "), r"\s+", " "))
     out = low
-    for name, values in QUALIFIER_VALUES.items():
+    for name, values in _QUALIFIERS.items():
         table = F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
-        out = F.when(kind == name, F.coalesce(F.try_element_at(table, low), low)).otherwise(out)
+        out = F.when(F.upper(kind) == name, F.coalesce(F.try_element_at(table, loose), low)).otherwise(out)
     return out
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.numeric import unit_hash
 from spanloom.operators.ranks import placed
+from spanloom.storage import materialize
 
 
 def seeded(seed: int, *parts: Column) -> Column:
@@ -120,3 +121,17 @@ def largest_remainder(weights: DataFrame, key: str, weight: str, total: int) ->
     given = floored.agg((F.lit(total) - F.sum("share")).alias("__left"))
     place = F.row_number().over(Window.orderBy(F.desc("rest"), F.desc(weight), key))  # a budget's handful of parts
     return floored.withColumn("place", place).crossJoin(F.broadcast(given)).select(key, (F.col("share") + (F.col("place") <= F.col("__left")).cast("bigint")).alias("share"))
+
+
+def random_negatives(asked: DataFrame, pool: DataFrame, group: str, key: list[str], most: int, seed: int) -> DataFrame:
+    """Every row of ``asked`` with up to ``most`` documents of other groups, drawn by a seeded hash.
+
+    asked: the key, query, doc, group; pool: group, doc. Draws are places in the pool, joined by place, so that no task
+    sees the pool; a draw of the own group or of the own document falls out, and equal draws are one.
+    """
+    listed = materialize(placed(pool, [], [F.col(group), F.col("doc")], "place"), "pool")
+    size = listed.count()
+    draws = F.transform(F.sequence(F.lit(1), F.lit(most)), lambda j: F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in key], j), F.lit(max(size, 1))) + 1)
+    drawn = asked.withColumn("place", F.explode(F.array_distinct(draws))).withColumnRenamed("doc", "__own")
+    found = drawn.join(listed.select("place", F.col(group).alias("__group"), "doc"), "place")
+    return found.where((F.col("__group") != F.col(group)) & (F.col("doc") != F.col("__own"))).select(*asked.columns)

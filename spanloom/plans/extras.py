@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.functions import numeric as N
 from spanloom.functions import plugins
 from spanloom.functions import unicode as U
-from spanloom.operators import resolve
+from spanloom.operators import resolve, splits
 from spanloom.plans.base import query, read
 from spanloom.sources import readers, writers
 from spanloom.sources.cursor import CursorSource
@@ -75,12 +76,31 @@ def context_fields(spark: Spark, sf: str) -> DataFrame:
     return read(spark, sf, "part").select("p_partkey", fields.alias("f")).select("p_partkey", F.try_element_at("f", F.lit("brand")).alias("brand"), F.try_element_at("f", F.lit("size")).alias("size"))
 
 
-@query("qualifier_values", "SELECT n_name, CASE n_name WHEN 'Kenya' THEN 'KE' ELSE lower(n_name) END AS country, CASE n_nationkey % 2 WHEN 0 THEN 'RIVER' ELSE 'estuary' END AS feature FROM nation")
+@query("qualifier_values", "SELECT n_nationkey, ['KE', 'CI', 'CI', 'NG', 'GW', 'nation x'][n_nationkey % 6 + 1] AS country, CASE n_nationkey % 3 WHEN 0 THEN 'river' WHEN 1 THEN 'basin' ELSE 'estuary mouth' END AS feature, lower(n_name) AS other FROM nation")
 def qualifier_values(spark: Spark, sf: str) -> DataFrame:
-    """F60"""
-    rows = read(spark, sf, "nation")
-    feature = F.when(F.col("n_nationkey") % 2 == 0, "Stream").otherwise("Estuary")
-    return rows.select("n_name", resolve.qualifier_value(F.lit("country"), F.col("n_name")).alias("country"), resolve.qualifier_value(F.lit("feature"), feature).alias("feature"))
+    """spellings of countries and feature classes; other kinds only lose their case."""
+    k = F.col("n_nationkey")
+    said = F.element_at(F.array(*map(F.lit, ("Kenyan", "Côte d'Ivoire", "IVORY  coast", "ng", "Guinea-Bissau", "Nation X"))), (k % 6 + 1).cast("int"))
+    feature = F.when(k % 3 == 0, "Rivers").when(k % 3 == 1, "Watershed").otherwise("Estuary  Mouth")
+    return read(spark, sf, "nation").select("n_nationkey", resolve.qualifier_value(F.lit("country"), said).alias("country"), resolve.qualifier_value(F.lit("feature_class"), feature).alias("feature"), resolve.qualifier_value(F.lit("SEASON"), F.col("n_name")).alias("other"))
+
+
+@query("iso_times", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS at, CAST(floor(epoch(ts) - epoch(min(ts) OVER ())) AS BIGINT) AS elapsed FROM events")
+def iso_times(spark: Spark, sf: str) -> DataFrame:
+    """Times in ISO 8601, and whole seconds since the first event."""
+    events = read(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    first = events.agg(F.min("ts").alias("first"))
+    return events.crossJoin(F.broadcast(first)).select("event_id", N.iso_utc(F.col("ts")).alias("at"), N.elapsed_seconds(F.col("first"), F.col("ts")).alias("elapsed"))  # one row
+
+
+@query("random_negatives")
+def random_negatives(spark: Spark, sf: str) -> DataFrame:
+    """Each question with its own answer, labelled 1, and two answers of other conversations, labelled 0."""
+    rows = read(spark, sf, "conversations")
+    asked = rows.where("role = 'user'").select("conv_id", F.col("turn").alias("turn"), F.col("text").alias("query"))
+    replies = rows.where("role <> 'user'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("doc"))
+    own = asked.join(replies, ["conv_id", "turn"]).select("conv_id", "turn", "query", "doc", F.lit(1).alias("label"))
+    return own.unionByName(splits.random_negatives(own.drop("label"), replies.select("conv_id", "doc"), "conv_id", ["conv_id", "turn"], 2, 7).withColumn("label", F.lit(0)))
 
 
 @query("spoken_texts")

@@ -81,3 +81,12 @@ def test_spoken_texts_are_whole(spark, tmp_path):
     spark.createDataFrame([(1, 0, text)], "conv_id long, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     row = QUERIES["spoken_texts"](spark, str(tmp_path)).first()
     assert row["flat"] == text and row["spoken"].startswith(f"{text} at one thousand")
+
+
+def test_random_negatives_are_of_other_groups(spark):
+    from spanloom.operators import splits
+
+    asked = spark.createDataFrame([(i, f"q{i}", f"d{i}") for i in range(50)], "g int, query string, doc string")
+    got = splits.random_negatives(asked, asked.select("g", "doc"), "g", ["g"], 3, 7).collect()
+    assert 100 < len(got) <= 150 and all(r["doc"] != f"d{r['g']}" for r in got) and len(set(got)) == len(got)
+    assert sorted(got) == sorted(splits.random_negatives(asked.repartition(5), asked.select("g", "doc"), "g", ["g"], 3, 7).collect())
