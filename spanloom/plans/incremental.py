@@ -160,7 +160,7 @@ def front_matter_papers(spark: Spark, sf: str) -> DataFrame:
     page = F.concat(F.lit('---\ntitle: "Item '), F.col("item_id").cast("string"), F.lit('"\ndoi: '), doi, F.lit("\n---\n"), "text")
     found = readers.front_matter(spark, _files(spark, bench.select(page.alias("value")), "papers"), ["title", "doi"])
     body = F.length(F.regexp_replace(F.regexp_replace("text", r"(?s)\A---\n.*?\n---\n", ""), r"\n\z", ""))  # a text file ends its line
-    return found.select(F.regexp_extract("title", "[0-9]+", 0).cast("bigint").alias("item_id"), "title", F.coalesce("doi", F.lit("")).alias("doi"), body.alias("body"))
+    return found.select(F.regexp_extract("title", "[0-9]+", 0).cast("bigint").alias("item_id"), "title", F.coalesce("doi", F.lit("")).alias("doi"), body.cast("bigint").alias("body"))
 
 
 @query("damaged_records", "SELECT n_nationkey % 5 = 0 AS damaged, count(*) AS files FROM nation GROUP BY ALL")

@@ -299,7 +299,7 @@ def byline_regions(spark: Spark, sf: str) -> DataFrame:
     head = F.when(F.col("item_id") % 2 == 0, "A Title\nAbstract").otherwise("A Title\nForeword")
     page = F.concat(head, F.lit("\n"), "text", F.lit("PDF_PAGE: 2 of more"))
     rows = read(spark, sf, "benchmark").select("item_id", T.first_page(page).alias("p"))
-    return rows.select("item_id", (F.length("p") - 9).alias("first_page"), F.when(F.length(T.byline_region(F.col("p"))) == 7, 7).otherwise(F.length(T.byline_region(F.col("p"))) - 9).alias("region"))
+    return rows.select("item_id", (F.length("p") - 9).cast("bigint").alias("first_page"), F.when(F.length(T.byline_region(F.col("p"))) == 7, 7).otherwise(F.length(T.byline_region(F.col("p"))) - 9).cast("bigint").alias("region"))
 
 
 @query("author_families", "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'van der Berg' WHEN 1 THEN 'Okoro' WHEN 2 THEN 'Smith' ELSE c_mktsegment END AS family FROM customer")
