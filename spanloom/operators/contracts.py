@@ -16,9 +16,9 @@ from spanloom.operators.rules import first_reason, reasons
 
 # The longest quote, aliases of an entity, further disciplines, and the least length of a descriptor.
 MAX_QUOTE, MAX_ALIASES, MAX_SECONDARY, MIN_DESCRIPTOR = 1_500, 10, 2, 45
-# The scores of a relevance verdict, its keys beside them, decisions and domains.
+# The scores of a relevance verdict, its keys, decisions and domains; the keys are a parameter where used.
 SCORES = ("african_centrality", "local_specificity", "scientific_depth", "knowledge_value", "local_applicability")
-VERDICT_KEYS = ("decision", "hard_exclusion", *SCORES, "mufasa_domain", "evidence", "reason")
+VERDICT_KEYS = ("decision", "hard_exclusion", *SCORES, "domain", "evidence", "reason")
 DECISIONS = ("include", "review", "exclude")
 DOMAINS = ("MAT", "AGR", "HLT", "ENR", "ENV", "TEC", "OUTSIDE_TAXONOMY")
 _NUMBER = r"[-+]?[0-9][0-9,]*(?:\.[0-9]+)?"
@@ -53,8 +53,11 @@ def has_keys(json: Column, keys: Iterable[str]) -> Column:
     return F.coalesce(F.array_sort(F.json_object_keys(json)) == F.array(*[F.lit(k) for k in sorted(keys)]), F.lit(False))
 
 
-def model_output(text: Column, keys: Iterable[str] = VERDICT_KEYS, scores: Iterable[str] = SCORES) -> Column:
-    """The first error of a model's verdict, or null. Thoughts and code fences around the object are cut off."""
+def model_output(text: Column, keys: Iterable[str] = VERDICT_KEYS, scores: Iterable[str] = SCORES, domain: str = "domain") -> Column:
+    """The first error of a model's verdict, or null. Thoughts and code fences around the object are cut off.
+
+    domain: the key of the verdict's domain, one of ``keys``.
+    """
     body = F.regexp_extract(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?s)<think>.*?</think>|```json|```", ""), r"(?s)\{.*\}", 0)
     field = lambda k: F.get_json_object(body, f"$.{k}")
     held = F.coalesce(F.json_object_keys(body), F.array().cast("array<string>"))
@@ -67,7 +70,7 @@ def model_output(text: Column, keys: Iterable[str] = VERDICT_KEYS, scores: Itera
         F.when(F.json_object_keys(body).isNull(), F.lit("no JSON")),
         F.when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.array_join(missing, ","))),
         F.when(outside(field("decision"), DECISIONS), F.lit("decision")),
-        F.when(outside(F.upper(F.trim(field("mufasa_domain"))), DOMAINS), F.lit("domain")),
+        F.when(outside(F.upper(F.trim(field(domain))), DOMAINS), F.lit("domain")),
         F.when(blank(field("evidence")), F.lit("evidence")),
         F.try_element_at(wrong, F.lit(1)),
     )
@@ -274,7 +277,7 @@ def task_errors(pairs: DataFrame, budgets: DataFrame, floors: DataFrame) -> Data
 def profile_errors(p: Column, complete: Column, disciplines: Iterable[str], domains: Iterable[str], kinds: Iterable[str]) -> Column:
     """P36. complete: was the whole paper supplied?
 
-    p: coverage_complete, language, key_contribution, is_real_science, is_africa_relevant, mufasa_domain, discipline,
+    p: coverage_complete, language, key_contribution, is_real_science, is_africa_relevant, domain, discipline,
     discipline_secondary, missing_content (kind, label, referenced_on_page, status; null: nothing is missing).
     """
     more, missing = p["discipline_secondary"], p["missing_content"]
@@ -285,7 +288,7 @@ def profile_errors(p: Column, complete: Column, disciplines: Iterable[str], doma
             "CONTRIBUTION_EMPTY": blank(p["key_contribution"]),
             "SCIENCE_FLAG": p["is_real_science"].isNull(),
             "RELEVANCE_FLAG": p["is_africa_relevant"].isNull(),
-            "DOMAIN": outside(p["mufasa_domain"], domains),
+            "DOMAIN": outside(p["domain"], domains),
             "DISCIPLINE": outside(p["discipline"], disciplines),
             "SECONDARY_LIST": more.isNull(),
             "SECONDARY_COUNT": F.size(more) > MAX_SECONDARY,

@@ -33,7 +33,7 @@ def model_outputs(spark: Spark, sf: str) -> DataFrame:
     """Verdicts of a model, with thoughts and fences around them, checked."""
     k = F.col("event_id") % 9
     field = lambda name, good, bad, at: F.when(k == at, bad).otherwise(good).alias(name)
-    fields = [field("decision", "include", "maybe", 2), F.lit(False).alias("hard_exclusion"), field("mufasa_domain", "agr", "XYZ", 3), field("evidence", "said so", " ", 4), F.when(k != 1, "because").alias("reason")]
+    fields = [field("decision", "include", "maybe", 2), F.lit(False).alias("hard_exclusion"), field("domain", "agr", "XYZ", 3), field("evidence", "said so", " ", 4), F.when(k != 1, "because").alias("reason")]
     fields += [F.when((k == 5) & (F.lit(n) == "scientific_depth"), "true").when((k == 6) & (F.lit(n) == "knowledge_value"), "2.5").otherwise("3").alias(n) for n in C.SCORES]
     said = F.concat(F.lit("<think>{no}</think>```json\n"), F.to_json(F.struct(*fields)), F.lit("\n```"))
     return read(spark, sf, "events").select("event_id", F.coalesce(C.model_output(F.when(k == 0, "I cannot say").otherwise(said)), F.lit("")).alias("error"))
@@ -203,7 +203,7 @@ _PROFILE = {
 def profile_contract(spark: Spark, sf: str) -> DataFrame:
     """P36"""
     rows = _parts(
-        spark, sf, coverage_complete="p_size % 2 = 0", language=F.lit("en"), key_contribution="CASE WHEN p_size = 1 THEN '' ELSE p_name END", is_real_science="CASE WHEN p_size <> 2 THEN true END", is_africa_relevant=F.lit(True), mufasa_domain="CASE WHEN p_size % 3 = 0 THEN '?' ELSE 'AGR' END",
+        spark, sf, coverage_complete="p_size % 2 = 0", language=F.lit("en"), key_contribution="CASE WHEN p_size = 1 THEN '' ELSE p_name END", is_real_science="CASE WHEN p_size <> 2 THEN true END", is_africa_relevant=F.lit(True), domain="CASE WHEN p_size % 3 = 0 THEN '?' ELSE 'AGR' END",
         discipline="p_type", discipline_secondary="CASE WHEN p_size % 5 = 0 THEN array('SMALL', 'LARGE', 'ECONOMY') WHEN p_size % 7 = 0 THEN array('SMALL', 'SMALL') ELSE array('SMALL') END",
         missing_content="CASE WHEN p_size % 11 = 0 THEN array(named_struct('kind', 'TABLE', 'label', 'T1', 'referenced_on_page', 3, 'status', 'LOST')) END",
     )
