@@ -24,8 +24,11 @@ def carried(sentence: Column, quotes: Column) -> Column:
 
 
 def stub(quotes: Column) -> Column:
-    """The first sentence of E1 with its tag."""
-    return F.concat(F.trim(F.regexp_extract(F.trim(F.try_element_at(quotes, F.lit("E1"))), "^[^.!?]*", 0)), F.lit(" [E1]."))
+    """The first sentence of E1 with its tag. A mark within a number or a word ends none; tags of the text's own go."""
+    quote = F.try_element_at(quotes, F.lit("E1"))
+    plain = F.regexp_replace(F.regexp_replace(quote, r"\[E[0-9]+\]", " "), r"\s+", " ")
+    first = F.coalesce(F.get(sentences(plain), F.lit(0)), F.when(quote.isNotNull(), ""))
+    return F.concat(F.trim(F.regexp_replace(first, r"[.!?]+$", "")), F.lit(" [E1]."))
 
 
 def answers(raw: DataFrame, bundle: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Answers against their evidence."""
 
+from pyspark.sql import functions as F
+
 from spanloom.operators import answers
 
 
@@ -10,3 +12,11 @@ def test_answers_are_validated_softened_or_replaced(spark):
     assert got[1] == ("supported", "Lead was 1250 mg [E1].", "E1") and got[2] == ("softened", "Lead was 1250 mg [E1].", "E1")
     assert got[3] == got[4] == got[5] == ("fallback", "Lead was 1,250 mg [E1].", "E1")
     assert got[6][0] == "supported" and got[6][2] == "E1,E2" and got[7] == ("abstained", answers.ABSTAINED, "")
+
+
+def test_a_stub_keeps_its_numbers_whole(spark):
+    quotes = ["Seen from 15.193.86.107 on.\nMore.", "It rose\n by 3.5 [E7]! Then fell.", "No end", "...", ""]
+    bundle = spark.createDataFrame([(q, "E1", t) for q, t in enumerate(quotes)], "question int, tag string, quote string")
+    raw = bundle.select("question", answers.stub(F.create_map("tag", "quote")).alias("raw"))
+    assert [r["raw"] for r in raw.orderBy("question").collect()] == ["Seen from 15.193.86.107 on [E1].", "It rose by 3.5 [E1].", "No end [E1].", " [E1].", " [E1]."]
+    assert [(r["verdict"], r["cited"]) for r in answers.answers(raw, bundle).collect()] == [("supported", "E1")] * 5
