@@ -235,3 +235,14 @@ def test_commits_are_made_once(spark):
     again = registry.commit(after, names, mentions, decisions, 3)
     assert again[0].count() == 2 and again[2].count() == 0
 
+
+
+def test_equal_names_are_scored_once(spark, monkeypatch):
+    from pyspark.sql.types import DoubleType
+
+    calls, score = spark.sparkContext.accumulator(0), F.udf(lambda a, b: calls.add(1) or 90.0, DoubleType())
+    monkeypatch.setattr(resolve, "label_score", lambda a, b: score(a, b))
+    mentions = spark.createDataFrame([(i, "Lake  Chad" if i % 2 else "lake chad", "X", "CANONICAL", "p", None, {}, True) for i in range(60)], M_SCHEMA)
+    targets = spark.createDataFrame([(f"T{i}", "CONCEPT", f"lake {i}", "X", None, None, {}) for i in range(3)], T_SCHEMA)
+    got = {tuple(r) for r in resolve.lexical_candidates(mentions, targets, k=2).collect()}
+    assert got == {(i, f"T{r}", 90.0, r + 1) for i in range(60) for r in range(2)} and calls.value <= 9  # three, but for retries and plans made anew
