@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators.ranks import spread
 from spanloom.storage import materialize
 
+#: Keys of equal values that are held together, and rows of a block whose pairs one task makes.
+CHUNK, BLOCK_ROWS = 1_024, 4_096
+
 
 def unique_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """A left join; a key that the right side has twice stops the job where the two rows meet."""
@@ -62,6 +67,29 @@ def range_join(spans: DataFrame, chunks: DataFrame, key: str, span: tuple[str, s
     return ends.join(held, [key, "__cell"]).where(starts | stops).drop("__cell").distinct()
 
 
+def pairs_within(rows: DataFrame, blocks: list[str], key: str, value: str, measure: Callable[[Column, Column], Column], name: str) -> DataFrame:
+    """(x, y, name) of all pairs of keys x < y of a block, with a symmetric measure of their values.
+
+    Rows of a block and an equal value are one group, in chunks of about CHUNK keys, so that a measure is taken once for
+    two groups and the pairs are told off their keys. Blocks of more than BLOCK_ROWS rows are dealt over several tasks.
+    """
+    many = rows.groupBy(*blocks, value).agg(F.count("*").alias("__n")).where(F.col("__n") > CHUNK).select(*[F.col(c).alias(f"__{c}") for c in (*blocks, value)], "__n")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*blocks, value)])
+    ways = lambda n, most: F.greatest(F.ceil(n / F.lit(most)), F.lit(1))
+    chunk = F.pmod(F.xxhash64(key), ways(F.coalesce("__n", F.lit(1)), CHUNK))
+    groups = rows.join(many, same, "left").groupBy(*blocks, value, chunk.alias("__chunk")).agg(F.collect_list(key).alias("__keys"))
+    wide = rows.groupBy(*blocks).agg(ways(F.count("*"), BLOCK_ROWS).alias("__ways"))
+    held = groups.join(wide, blocks)
+    side = lambda p: [*blocks, "__deal", F.struct(value, "__chunk").alias(f"{p}_group"), F.col("__keys").alias(f"{p}_keys")]
+    left = spread(held.withColumn("__deal", F.pmod(F.xxhash64(value, "__chunk"), "__ways")).select(*side("a")), *blocks, "__deal")
+    right = spread(held.withColumn("__deal", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__ways") - 1))).select(*side("b")), *blocks, "__deal")
+    met = left.join(right, [*blocks, "__deal"]).where(F.col("a_group") <= F.col("b_group"))
+    told = met.select((F.col("a_group") == F.col("b_group")).alias("own"), measure(F.col("a_group")[value], F.col("b_group")[value]).alias(name), "a_keys", "b_keys")
+    told = told.select("own", name, "b_keys", F.explode("a_keys").alias("a")).select("own", name, "a", F.explode("b_keys").alias("b"))
+    told = told.where((~F.col("own") & (F.col("a") != F.col("b"))) | (F.col("a") < F.col("b")))
+    return told.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), name)
+
+
 def as_of(rows: DataFrame, marks: DataFrame, key: str, at: str, value: str) -> DataFrame:
     """Each row with the last mark at or before it; ties of the place go to the greater mark."""
     both = marks.select(key, at, F.col(value).alias("__mark"), *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns if c not in (key, at)], F.lit(0).alias("__row"))

@@ -246,3 +246,15 @@ def test_equal_names_are_scored_once(spark, monkeypatch):
     targets = spark.createDataFrame([(f"T{i}", "CONCEPT", f"lake {i}", "X", None, None, {}) for i in range(3)], T_SCHEMA)
     got = {tuple(r) for r in resolve.lexical_candidates(mentions, targets, k=2).collect()}
     assert got == {(i, f"T{r}", 90.0, r + 1) for i in range(60) for r in range(2)} and calls.value <= 9  # three, but for retries and plans made anew
+
+
+@pytest.mark.parametrize(("chunk", "most"), [(1024, 4096), (3, 7)])
+def test_pairs_of_a_block(spark, monkeypatch, chunk, most):
+    monkeypatch.setattr(joins, "CHUNK", chunk)
+    monkeypatch.setattr(joins, "BLOCK_ROWS", most)
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["a", "a", "a", "b", None]), rng.choice([["x"], ["x", "y"], ["y"], None])) for i in range(60)] + [(7, "a", ["z"])]
+    share = lambda u, v: None if u is None or v is None else len(set(u) & set(v)) / len(set(u) | set(v))
+    expected = [(i, j, share(u, v)) for i, a, u in rows for j, b, v in rows if i < j and a == b and a is not None]
+    got = joins.pairs_within(spark.createDataFrame(rows, "k int, b string, w array<string>"), ["b"], "k", "w", metrics.overlap_share, "s")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, expected))
