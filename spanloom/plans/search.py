@@ -153,10 +153,8 @@ def phrase_matches(spark: SparkSession, sf: str) -> DataFrame:
 def expand_query(spark: SparkSession, sf: str) -> DataFrame:
     """Part names expanded by the types that share their first word, unless they hold the type already."""
     parts = read(spark, sf, "part")
-    aliases = parts.select(F.col("p_type").alias("canonical"), F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("alias")).distinct()
-    asked = parts.select("p_partkey", F.lower("p_name").alias("n"), F.explode(F.array_distinct(F.split(F.lower("p_name"), " "))).alias("alias"))
-    found = asked.join(aliases, "alias").where(~F.contains("n", F.lower("canonical"))).select("p_partkey", "canonical").distinct()
-    return found.groupBy("p_partkey").agg(F.array_join(F.array_sort(F.collect_list("canonical")), " ").alias("added"))
+    aliases = parts.select(F.col("p_type").alias("canonical"), F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("alias"))
+    return S.expand(parts.select("p_partkey", F.lower("p_name").alias("n")), aliases, "p_partkey", "n")
 
 
 _GATE = f"""{_BM25},
