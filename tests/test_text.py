@@ -122,3 +122,15 @@ def test_uuid5(spark):
 
     got = one(spark, N.uuid5(uuid.NAMESPACE_DNS.hex, F.col("t")), t="python.org")
     assert got == str(uuid.uuid5(uuid.NAMESPACE_DNS, "python.org"))
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    from spanloom.functions.vectorized import vectorized
+
+    @vectorized("int")
+    def rows(s):
+        return s.map(lambda _: len(s))
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    held = spark.range(2500).coalesce(1).select(rows(F.col("id")).alias("n"))
+    assert held.agg(F.max("n")).first()[0] <= 1000
