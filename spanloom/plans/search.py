@@ -226,15 +226,7 @@ def checked_answers(spark: SparkSession, sf: str) -> DataFrame:
 def chunk_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Lexical chunk scores with a length penalty; ties go to the later chunk."""
     docs, bench = read(spark, sf, "documents", "benchmark")
-    n = docs.agg(F.count("*").alias("n"))
-    tf = S.postings(docs, "doc_id", F.col("text"))
-    q = bench.select("item_id", F.explode(T.words(F.col("text"))).alias("term")).groupBy("item_id", "term").agg(F.count("*").alias("qf"))
-    tf = tf.join(q.select("term").distinct(), "term", "left_semi")
-    df = tf.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n))
-    gain = F.least("tf", "qf") * (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1)
-    sums = tf.join(q, "term").join(df, "term").groupBy("item_id", F.col("doc").alias("doc_id")).agg(F.sum(gain).alias("s"))
-    scored = sums.join(docs.select("doc_id", F.length("text").alias("chars")), "doc_id").select("item_id", "doc_id", F.round(F.col("s") / (1 + F.log1p(F.col("chars") / 800)), 6).alias("score"))
-    return S.top_k(scored, ["item_id"], [F.desc("score"), F.desc("doc_id")], 6)
+    return S.chunk_scores(docs, bench, 6)
 
 
 @query(
