@@ -124,6 +124,13 @@ def test_uuid5(spark):
     assert got == str(uuid.uuid5(uuid.NAMESPACE_DNS, "python.org"))
 
 
+@pytest.mark.parametrize("w", [["b", "a", "b", "c", "a", "b"], ["x"], [], None])
+def test_an_index_gives_its_text_back(spark, w):
+    row = spark.createDataFrame([(w,)], "w array<string>").select(T.inverted_index(F.col("w")).alias("x")).select("x", T.text_of_index(F.col("x")).alias("t")).first()
+    places = None if w is None else [(t, [i for i, x in enumerate(w) if x == t]) for t in sorted(set(w))]
+    assert row["t"] == (None if w is None else " ".join(w)) and (row["x"] and [(e["term"], e["places"]) for e in row["x"]] or row["x"]) == places
+
+
 def test_texts_reach_python_in_small_batches(spark):
     from spanloom.functions.vectorized import vectorized
 
