@@ -248,6 +248,19 @@ def test_equal_names_are_scored_once(spark, monkeypatch):
     assert got == {(i, f"T{r}", 90.0, r + 1) for i in range(60) for r in range(2)} and calls.value <= 9  # three, but for retries and plans made anew
 
 
+def test_buckets_of_hot_words_are_skipped(spark, monkeypatch):
+    rng, total = random.Random(3), 400
+    monkeypatch.setattr(families, "HOT", 8)
+    titles = [" ".join(["hot", f"rare{rng.randrange(150)}", f"some{rng.randrange(12)}"]) for _ in range(total)]
+    words = [{w for w in t.split()} for t in titles]
+    sizes = {w: sum(w in own for own in words) for w in set().union(*words)}
+    same = lambda i, j: any(2 <= sizes[w] <= families.RARE_MAX for w in words[i] & words[j]) or (words[i] == words[j] and 2 <= words.count(words[i]) <= families.BUCKET_MAX)
+    papers = spark.createDataFrame(list(enumerate(titles)), "k int, t string")
+    pairs = families.block(papers, "k", "t")
+    assert sorted(map(tuple, pairs.collect())) == [(i, j) for i in range(total) for j in range(i + 1, total) if same(i, j)]
+    assert "LeftAnti" in pairs._jdf.queryExecution().toString()  # hot words go before rows are exchanged
+
+
 @pytest.mark.parametrize(("chunk", "most"), [(1024, 4096), (3, 7)])
 def test_pairs_of_a_block(spark, monkeypatch, chunk, most):
     monkeypatch.setattr(joins, "CHUNK", chunk)
