@@ -11,12 +11,11 @@ import unicodedata
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 #: Characters on which the pattern engine and the tokenizer library agree for sure; others take the library's own way.
 _FOREIGN = regex.compile(r"[^\x00-˿Ͱ-ͷͺ-Ϳ΄-ΊΌΎ-ΡΣ-ҁҊ-ԯ‐-‧‰-⁞₠-₿ぁ-ゖァ-ヺ一-龥가-힣]")
-#: White space to str.split() that is none to the patterns.
-_SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 _NONE = np.int64(1 << 40)
 #: Bits of the slots' number in the table of pairs.
 _SLOTS = 18
@@ -26,6 +25,31 @@ def _slots(keys: np.ndarray) -> np.ndarray:
     return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
 
 
+def binaries(raw: np.ndarray, begins: np.ndarray) -> pa.LargeBinaryArray:
+    """Bytes cut at ``begins``, which holds one place more than the array has values; nothing is copied."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins) - 1, [None, pa.py_buffer(np.ascontiguousarray(begins, np.int64)), pa.py_buffer(raw)])
+
+
+def contents(values: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, where each value begins, and the end) of an array, without a copy of the bytes."""
+    off = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int64)
+    data = values.buffers()[2]
+    return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8))[off[0] : off[-1]], off - off[0]
+
+
+#: Kinds of characters to the patterns.
+_SPACE, _LETTER, _NUMBER, _OTHER = range(4)
+
+
+def _kinds() -> np.ndarray:
+    """The kind of every character up to U+FFFF, as the pattern engine sees it."""
+    out, every = np.full(1 << 16, _OTHER, np.uint8), "".join(map(chr, range(1 << 16)))
+    for kind, pattern in ((_SPACE, r"\s+"), (_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+")):
+        for found in regex.finditer(pattern, every):
+            out[slice(*found.span())] = kind
+    return out
+
+
 def byte_characters() -> dict[int, str]:
     """The printable stand-in of each byte in byte-level vocabularies: itself, or the next free one from U+0100."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -69,6 +93,9 @@ class Bpe:
         np.minimum.at(lowest, right, ranks)
         #: Ranks whose merge makes no pair of a lower or equal rank: all its places in a sequence can go in one round.
         self.at_once = lowest[made] > ranks
+        self.kinds = _kinds() if self.lowers else None
+        #: Special strings as :meth:`cut` marks them: after a space, so that no pre-token of a text equals one.
+        self.marked = {b" " + s.encode(): i for s, i in self.special.items()}
         self.piece = [""] * self.size
         for text, i in vocab.items():
             self.piece[i] = text
@@ -94,11 +121,62 @@ class Bpe:
             part = part.lower()
         return part
 
-    def words(self, part: str) -> list[str] | None:
-        """The part cut at white space, which no pre-token of a lower-casing vocabulary spans; None if that may differ."""
-        if not self.lowers or _SEPARATORS.search(part) or (not part.isascii() and _FOREIGN.search(part)):
-            return None
-        return self.normal(part).split()
+    def cut(self, texts: list[str]) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """The pre-tokens of all texts in a row, and how many stand before each text (and in all).
+
+        Texts without special strings and foreign characters are cut together by the kinds of their bytes; the others
+        one by one, with a special string standing as a pre-token of its own, marked by a space before it.
+        """
+        blobs, own = [], {}
+        for k, text in enumerate(texts):
+            parts = self.parts(text)
+            if len(parts) > 1 or not self.lowers or (not text.isascii() and _FOREIGN.search(text)):
+                own[k] = [t for i, p in enumerate(parts) for t in ([b" " + p.encode()] if i % 2 else [w.encode("utf-8", "surrogateescape") for w in self.pre_tokens(p)])]
+                blobs.append(b" " * sum(map(len, own[k])))
+            else:
+                blobs.append(self.normal(text).encode())
+        at = np.cumsum([0, *(len(b) + 1 for b in blobs)])
+        raw = np.frombuffer(bytearray(b"\n".join([*blobs, b"\n\n\n"])), np.uint8)  # so that three places follow any character
+        del blobs
+        begin, inside = self._begins(raw) if len(own) < len(texts) else (np.zeros(len(raw), bool), np.zeros(len(raw), bool))
+        for k, tokens in own.items():
+            stop = at[k + 1] - 1
+            raw[at[k] : stop] = np.frombuffer(b"".join(tokens), np.uint8)
+            inside[at[k] : stop] = True
+            begin[at[k] + np.cumsum([0, *map(len, tokens[:-1])])[: len(tokens)]] = True
+        before = np.searchsorted(np.flatnonzero(begin), at)
+        words = raw[inside]
+        return binaries(words, np.append(np.flatnonzero(begin[inside]), len(words))), before
+
+    def _begins(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of normalized texts' bytes: where a pre-token of the lower-casing pattern begins, and what lies inside one."""
+        kind = self.kinds[raw]
+        tails = []
+        if raw.max() >= 0x80:
+            for low, high, size in ((0xC0, 0xE0, 2), (0xE0, 0xF0, 3)):
+                lead = np.flatnonzero((raw >= low) & (raw < high))
+                code = raw[lead].astype(np.int64) & (high - low - 1)
+                for k in range(1, size):
+                    code = code << 6 | (raw[lead + k] & 0x3F)
+                for k in range(size):
+                    kind[lead + k] = self.kinds[code]
+                tails += [lead + k for k in range(1, size)]
+        begin = kind == _NUMBER  # each number alone, the others in runs
+        begin[0] |= kind[0] != _SPACE
+        begin[1:] |= kind[1:] != kind[:-1]
+        begin &= kind != _SPACE
+        for tail in tails:
+            begin[tail] = False
+        mark = np.flatnonzero(raw == 0x27)
+        mark = mark[begin[mark]]
+        mark = mark[kind[mark + 1] == _LETTER]
+        first, second = raw[mark + 1], raw[mark + 2]
+        one = np.isin(first, np.frombuffer(b"stmd", np.uint8))
+        two = (second == 0x65) & ((first == 0x72) | (first == 0x76)) | (second == 0x6C) & (first == 0x6C)  # re, ve, ll
+        for size, at in ((2, mark[one]), (3, mark[two])):
+            begin[at + 1] = False
+            begin[at + size] |= kind[at + size] == _LETTER
+        return begin, kind != _SPACE
 
     def _fill(self, keys: np.ndarray) -> None:
         """An open-addressing table from pairs to ranks, filled round by round: in each, the first pair of a free slot."""
@@ -131,14 +209,16 @@ class Bpe:
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in a row, where each word's ids begin) by rank-synchronous merging."""
         data = [w.encode("utf-8", "surrogateescape") for w in words]
-        sizes = np.fromiter(map(len, data), np.int64, len(data))
-        counts = np.zeros(len(words), np.int64)
-        raw = np.frombuffer(b"".join(data), np.uint8)
+        return self.merge_bytes(np.frombuffer(b"".join(data), np.uint8), np.fromiter(map(len, data), np.int64, len(data)))
+
+    def merge_bytes(self, raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`merge` of words that stand in a row as bytes."""
+        counts = np.zeros(len(sizes), np.int64)
         sym = self.inner[raw]
         if self.suffix:
             ends = np.cumsum(sizes)[sizes > 0] - 1
             sym[ends] = self.last[raw[ends]]
-        owner = np.repeat(np.arange(len(words)), sizes)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
         done_sym, done_owner = [], []
         rank = self._adjacent(sym, owner, np.arange(len(sym)))
         while len(sym):

@@ -4,6 +4,8 @@ Pre-tokens are counted over all documents. The most frequent ones are compiled i
 whose edges carry the number of words before them, so that the sum along a word's path is the word's place in
 the table of id outputs, and equal endings share states. The compiled arrays are one file in the shared folder, which
 Spark hands to every executor once and each Python worker maps into memory, so that workers share its pages. A pre-token outside the lexicon is merged exactly by :class:`~spanloom.llm.bpe.Bpe`.
+Counting and encoding hold the pre-tokens of a slice of texts as one Arrow array and work on its distinct values, so
+that Python takes no step for a single word. Only texts with special strings or foreign characters are cut one by one.
 
 Defined cases: a null text is empty (0 ids, the hash of the empty string, an empty decoded text); repeated rows
 each give a row; an empty table gives no rows; other columns are ignored; words of any length are encoded whole.
@@ -16,11 +18,12 @@ from __future__ import annotations
 import hashlib
 import mmap
 import uuid
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,11 +38,11 @@ LEXICON_WORDS = 32_768
 #: Longest word of the lexicon in UTF-8 bytes.
 LEXICON_BYTES = 48
 #: Distinct words that a task counts before it sends its counts on.
-COUNTED = 150_000
-#: Encoded words that a worker remembers from task to task; beyond it the memory starts anew.
-REMEMBERED = 100_000
-#: Bytes of text that are encoded together.
-ENCODED_BYTES = 1 << 19
+COUNTED = 200_000
+#: Merged words that a worker remembers from task to task, the last ones.
+REMEMBERED = 200_000
+#: Bytes of text that are counted or encoded together.
+ENCODED_BYTES = 1 << 21
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -58,12 +61,14 @@ class Lexicon:
 
     def find(self, words: list[bytes]) -> np.ndarray:
         """The place of each word in the id table, -1 where the lexicon lacks it; all words walk in step."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        out = np.full(len(words), -1, np.int64)
+        return self.places(np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words)))
+
+    def places(self, raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """:meth:`find` for words that stand in a row as bytes."""
+        out = np.full(len(sizes), -1, np.int64)
         live = np.flatnonzero((sizes > 0) & (sizes <= LEXICON_BYTES))
         if not len(live) or not len(self.keys):
             return out
-        raw = np.frombuffer(b"".join(words), np.uint8)
         begin = np.cumsum(sizes) - sizes
         state, total = np.zeros(len(live), np.int64), np.zeros(len(live), np.int64)
         for step in range(LEXICON_BYTES + 1):
@@ -154,28 +159,32 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(word, n) of every pre-token of every text; tasks add up before the exchange."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen, words = bpe.load(tokenizer), Counter(), Counter()
+        model, seen = bpe.load(tokenizer), []
         for batch in batches:
-            for part in slices(batch):
-                for text in filled(part).to_pylist():
-                    for piece in model.parts(text)[::2]:
-                        own = model.words(piece)
-                        if own is None:
-                            seen.update(model.pre_tokens(piece))
-                        else:
-                            words.update(own)
-                if len(seen) + len(words) > COUNTED:
-                    yield counted(model, seen, words)
-        yield counted(model, seen, words)
-
-    def counted(model: bpe.Bpe, seen: dict[str, int], words: dict[str, int]) -> pa.RecordBatch:
-        for word, n in words.items():
-            for token in model.pattern.findall(word):
-                seen[token] += n
-        words.clear()
-        kept = [(w, n) for w, n in seen.items() if len(w) <= LEXICON_BYTES and (w.isascii() or w.isprintable())]
-        seen.clear()
-        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
+            for part in slices(batch, most=ENCODED_BYTES):
+                seen.append(counted(model.cut(filled(part).to_pylist())[0]))
+                if sum(len(words) for words, _ in seen) > COUNTED:
+                    seen = [counted(pa.concat_arrays([w for w, _ in seen]), np.concatenate([n for _, n in seen]))]
+                    if len(seen[0][0]) > COUNTED:
+                        yield sent(model, *seen.pop())
+        if seen:
+            yield sent(model, *counted(pa.concat_arrays([w for w, _ in seen]), np.concatenate([n for _, n in seen])))
+
+    def counted(words: pa.LargeBinaryArray, n: np.ndarray | None = None) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """The distinct words and the sum of each one's counts."""
+        coded = words.dictionary_encode()
+        return coded.dictionary, np.bincount(coded.indices.to_numpy(), n, len(coded.dictionary)).astype(np.int64)  # exact below 2**53
+
+    def sent(model: bpe.Bpe, words: pa.LargeBinaryArray, n: np.ndarray) -> pa.RecordBatch:
+        fit = (pc.binary_length(words).to_numpy() <= LEXICON_BYTES) & ~pc.is_in(words, pa.array(list(model.marked), pa.large_binary())).to_numpy(zero_copy_only=False)
+        words, n = words.filter(pa.array(fit)), n[fit]
+        try:
+            words = words.cast(pa.string())
+        except pa.ArrowInvalid:  # bytes that are no text have no place in a table of strings; they are merged
+            texts = [w.decode(errors="ignore") for w in words.to_pylist()]
+            fit = np.array([t.encode() == w for t, w in zip(texts, words.to_pylist(), strict=True)])
+            words, n = pa.array(texts, pa.string()).filter(pa.array(fit)), n[fit]
+        return pa.RecordBatch.from_arrays([words, pa.array(n)], ["word", "n"])
 
     return pick(docs, "doc_id", "text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -211,17 +220,16 @@ def _codec(tokenizer: str, lexicon: str) -> "Codec":
     return _CODECS[tokenizer, lexicon]
 
 
-def _coded(part: pa.RecordBatch, codec: Codec, with_ids: bool) -> Iterator[pa.Array]:
-    """n_tokens, the two hashes and, with ``with_ids``, the ids and the decoded text of each row."""
-    coded = codec.encode(filled(part).to_pylist())
-    yield pa.array([n for n, _, _ in coded], pa.int64())
-    for k in (1, 2):
-        yield pa.array([hashlib.sha256(x[k].encode()).hexdigest() for x in coded], pa.string())
-    if with_ids:
-        ends = np.cumsum([0, *(n for n, _, _ in coded)])
-        flat = np.array(" ".join([ids for n, ids, _ in coded if n]).split(), np.int32)
-        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-        yield pa.array([x[2] for x in coded], pa.string())
+def _coded(part: pa.RecordBatch, codec: Codec, more: tuple[str, ...] = ()) -> Iterator[pa.Array]:
+    """n_tokens, the two hashes and, if named in ``more``, the ids and the decoded text of each row."""
+    coded = codec.coded(filled(part).to_pylist())
+    yield pa.array(np.diff(coded.ends))
+    for lines in (coded.ids, coded.decoded):
+        yield pa.array([hashlib.sha256(x).hexdigest() for x in lines], pa.string())
+    if "ids" in more:
+        yield pa.ListArray.from_arrays(pa.array(coded.ends, pa.int32()), coded.flat())
+    if "decoded" in more:
+        yield pa.array([str(x, "utf-8") for x in coded.decoded], pa.string())
 
 
 def encode(docs: DataFrame, tokenizer: str, words: list[str] | None = None, with_ids: bool = False) -> DataFrame:
@@ -238,7 +246,7 @@ def encode(docs: DataFrame, tokenizer: str, words: list[str] | None = None, with
         codec = _codec(tokenizer, lexicon)
         for batch in batches:
             for part in slices(batch, most=ENCODED_BYTES):
-                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), *_coded(part, codec, with_ids)], [c.split()[0] for c in schema.split(", ")])
+                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), *_coded(part, codec, ("ids", "decoded") if with_ids else ())], [c.split()[0] for c in schema.split(", ")])
 
     return pick(docs, "doc_id", "text").mapInArrow(run, schema)
 
@@ -258,85 +266,75 @@ def with_tokens(docs: DataFrame, tokenizer: str, words: list[str] | None = None)
         codec = _codec(tokenizer, lexicon)
         for batch in batches:
             for part in slices(batch, most=ENCODED_BYTES):
-                *coded, _ = _coded(part, codec, True)
-                yield pa.RecordBatch.from_arrays([*part.columns, *coded], schema.names)
+                yield pa.RecordBatch.from_arrays([*part.columns, *_coded(part, codec, ("ids",))], schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-_REMEMBERED: dict[int, tuple[dict, dict]] = {}
+_REMEMBERED: dict[int, list] = {}
+
+
+class Coded(NamedTuple):
+    """What texts were encoded to: ids before each text (and in all), lines of ids, decoded texts, and the ids in a row."""
+
+    ends: np.ndarray
+    ids: list[memoryview]
+    decoded: list[memoryview]
+    flat: Callable[[], pa.Array]
 
 
 class Codec:
-    """Texts to (number of ids, ids joined by spaces, decoded text)."""
+    """Texts to ids and back."""
 
     def __init__(self, model: bpe.Bpe, lexicon: Lexicon):
         self.model, self.lexicon = model, lexicon
-        self.name = list(map(str, range(model.size)))
-        self.ids, self.pieces = _REMEMBERED.setdefault(id(model), ({}, {}))  # exact, so the same under any lexicon
-        ids, begins = lexicon.ids.tolist(), lexicon.begins.tolist()
-        self.listed = [self._entry(ids[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]
-        self.special = {s: (str(i), s) for s, i in model.special.items()}
-
-    def _entry(self, ids: list[int]) -> tuple[str, str]:
-        if len(ids) == 1:
-            return self.name[ids[0]], self.model.piece[ids[0]]
-        return " ".join([self.name[i] for i in ids]), " ".join([self.model.piece[i] for i in ids])
+        piece = dict(enumerate(model.piece)) | {i: s for s, i in model.special.items()}  # whose ids may lie beyond the merges'
+        ids = range(max(piece) + 1)
+        self.names = pa.array([b"%d " % i for i in ids], pa.large_binary())
+        self.pieces = pa.array([piece.get(i, "").encode() + b" " for i in ids], pa.large_binary())
+        self.listed = pa.LargeListArray.from_arrays(pa.array(lexicon.begins), pa.array(lexicon.ids, pa.int32()))
+        self.special = pa.array(list(model.marked), pa.large_binary()), pa.array([[i] for i in model.marked.values()], pa.large_list(pa.int32()))
+        #: Words and their ids, exact, so the same under any lexicon.
+        self.known = _REMEMBERED.setdefault(id(model), [pa.array([], pa.large_binary()), pa.array([], pa.large_list(pa.int32()))])
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        rows = [self._units(text) for text in texts]
-        ids, pieces = self.ids, self.pieces
-        if len(ids) > REMEMBERED:
-            ids.clear(), pieces.clear()
-        new = [u for u in bpe.distinct(rows) if u not in ids]
-        tokens, find_all = {}, self.model.pattern.findall
-        alone = [u for u in new if isinstance(u, str) and u.isalpha()]  # letters alone are one pre-token
-        for unit in new:
-            if not isinstance(unit, str):
-                tokens[unit] = unit[1:]
-            elif not unit.isalpha():
-                tokens[unit] = find_all(unit)
-        ids_of, piece_of = self._entries(bpe.distinct([alone, *tokens.values()]))
-        for unit in alone:
-            ids[unit], pieces[unit] = ids_of[unit], piece_of[unit]
-        for unit, own in tokens.items():
-            if own:
-                ids[unit], pieces[unit] = " ".join([ids_of[t] for t in own]), " ".join([piece_of[t] for t in own])
-            else:
-                ids[unit], pieces[unit] = self.special[unit[0]]
-        out, id_of, name_of = [], ids.__getitem__, pieces.__getitem__
-        for row in rows:
-            line = " ".join(map(id_of, row))
-            out.append((line.count(" ") + 1 if row else 0, line, " ".join(map(name_of, row))))
-        return out
-
-    def _units(self, text: str) -> list[str | tuple]:
-        """Words between white space as strings; (special string,) and ("", pre-token) as tuples."""
-        parts, out = self.model.parts(text), []
-        for k, part in enumerate(parts):
-            if k % 2:
-                out.append((part,))
-            elif (words := self.model.words(part)) is not None:
-                out = out + words if out else words
-            else:
-                out += [("", t) for t in self.model.pre_tokens(part)]
-        return out
-
-    def _entries(self, unique: list[str]) -> tuple[dict[str, str], dict[str, str]]:
-        """The ids and the pieces of distinct pre-tokens: from the lexicon, else merged."""
-        found = self.lexicon.find([t.encode("utf-8", "surrogateescape") for t in unique]).tolist()
-        new = [t for t, k in zip(unique, found, strict=True) if k < 0]
-        ids, pieces = {}, {}
-        for t, k in zip(unique, found, strict=True):
-            if k >= 0:
-                ids[t], pieces[t] = self.listed[k]
-        if new:
-            flat, begins = self.model.merge(new)
-            flat, begins = flat.tolist(), begins.tolist()
-            names, parts = list(map(self.name.__getitem__, flat)), list(map(self.model.piece.__getitem__, flat))
-            for t, a, b in zip(new, begins[:-1], begins[1:], strict=True):
-                ids[t], pieces[t] = " ".join(names[a:b]), " ".join(parts[a:b])
-        return ids, pieces
+        """(number of ids, ids joined by spaces, decoded text) of each text."""
+        coded = self.coded(texts)
+        return [(n, str(a, "utf-8"), str(b, "utf-8")) for n, a, b in zip(np.diff(coded.ends).tolist(), coded.ids, coded.decoded, strict=True)]
+
+    def coded(self, texts: list[str]) -> Coded:
+        tokens, before = self.model.cut(texts)
+        tokens = tokens.dictionary_encode()
+        entries = self._entries(tokens.dictionary)
+        begins, flat = entries.offsets.to_numpy(), entries.values
+        ends = np.cumsum(np.concatenate([[0], np.diff(begins)[tokens.indices.to_numpy()]]))[before]
+
+        def lines(of: pa.LargeBinaryArray) -> list[memoryview]:
+            raw, off = bpe.contents(of.take(flat))
+            raw, off = bpe.contents(bpe.binaries(raw, off[begins]).take(tokens.indices))
+            raw, cut = memoryview(raw), off[before].tolist()
+            return [raw[a : max(a, b - 1)] for a, b in zip(cut[:-1], cut[1:], strict=True)]  # without the last space
+
+        return Coded(ends, lines(self.names), lines(self.pieces), lambda: entries.take(tokens.indices).flatten())
+
+    def _entries(self, words: pa.LargeBinaryArray) -> pa.LargeListArray:
+        """The ids of distinct pre-tokens: from the lexicon, else remembered, else merged."""
+        raw, off = bpe.contents(words)
+        place = self.lexicon.places(raw, np.diff(off))
+        rest = np.flatnonzero(place < 0)
+        others = words.take(pa.array(rest))
+        held = pa.concat_arrays([self.special[0], self.known[0]])
+        at = pc.fill_null(pc.index_in(others, held), -1).to_numpy().astype(np.int64)
+        unseen = np.flatnonzero(at < 0)
+        new = others.take(pa.array(unseen))
+        raw, off = bpe.contents(new)
+        ids, begins = self.model.merge_bytes(raw, np.diff(off))
+        at[unseen] = len(held) + np.arange(len(unseen))
+        place[rest] = len(self.listed) + at
+        merged = pa.concat_arrays([self.known[1], pa.LargeListArray.from_arrays(pa.array(begins), pa.array(ids, pa.int32()))])
+        drop = max(len(merged) - REMEMBERED, 0)
+        self.known[:] = pa.concat_arrays([self.known[0], new])[drop:], merged[drop:]
+        return pa.concat_arrays([self.listed, self.special[1], merged]).take(pa.array(place))
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:

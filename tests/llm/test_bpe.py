@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import sys
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -55,6 +57,52 @@ def test_lexicon_is_minimal_and_exact(tmp_path):
     assert len(lexicon.final) < sum(map(len, words)) // 2
 
 
+def test_cut_equals_the_pre_tokens_of_each_text():
+    model = bpe.load(WORD)
+    some = ["x's' 's's ''s 'RE've'll'd'x 'é .'s", "1²3Ⅷ٣ a1b", "\u2028a\u3000b\x85c\x1cd", "é", *texts(), "", "a"]
+    words, before = model.cut(some)
+    for k, text in enumerate(some):
+        want = []
+        for i, part in enumerate(model.parts(text)):
+            want += [" " + part] if i % 2 else model.pre_tokens(part)
+        assert [w.decode() for w in words[int(before[k]) : int(before[k + 1])].to_pylist()] == want, text
+    assert before[-1] == len(words) and len(model.cut([])[0]) == 0
+
+
+def test_encoding_takes_no_step_for_each_word(tmp_path):
+    model = bpe.load(WORD)
+    codec, steps = bpe_codec.Codec(model, lexicon_of(["ab"], model, tmp_path)), Counter()
+    rng = random.Random(7)
+    text = " ".join("".join(rng.choices("abcdefgh", k=7)) + rng.choice([",", "."]) for _ in range(20_000))
+    sys.setprofile(lambda frame, event, arg: steps.update([event]))
+    try:
+        (n, ids, decoded), = codec.encode([text])
+    finally:
+        sys.setprofile(None)
+    assert ids.count(" ") + 1 == n and decoded.replace("</w>", "").replace(" ", "") == text.replace(" ", "")
+    assert sum(steps.values()) < 10_000  # words differ; steps are those of the merger's rounds
+
+
+@pytest.mark.parametrize("most", [0, 40])
+def test_codec_is_exact_however_little_it_remembers(tmp_path, monkeypatch, most):
+    monkeypatch.setattr(bpe_codec, "REMEMBERED", most)
+    library, model = Tokenizer.from_file(WORD), bpe.load(WORD)
+    bpe_codec._REMEMBERED.clear()
+    codec = bpe_codec.Codec(model, lexicon_of(["ab", "tin"], model, tmp_path))
+    for start in range(0, 800, 100):
+        some = texts()[start : start + 100]
+        assert [ids for _, ids, _ in codec.encode(some)] == [" ".join(map(str, library.encode(t, add_special_tokens=False).ids)) for t in some]
+        assert len(codec.known[0]) == len(codec.known[1]) <= most
+    bpe_codec._REMEMBERED.clear()
+
+
+def test_word_counts_equal_the_pre_tokens(spark):
+    model = bpe.load(WORD)
+    want = Counter(w for t in texts() for part in model.parts(t)[::2] for w in model.pre_tokens(part) if len(w.encode()) <= bpe_codec.LEXICON_BYTES)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts(), None])], "doc_id bigint, text string")
+    assert {r["word"]: r["n"] for r in bpe_codec.word_counts(docs, WORD).collect()} == want
+
+
 def test_merge_keeps_order_of_words():
     ids, begins = bpe.load(BYTE).merge(["", "b", "", "aaaa"])
     assert np.diff(begins).tolist()[0] == 0 and np.diff(begins).tolist()[2] == 0 and len(ids) == begins[-1]
